@@ -1,0 +1 @@
+"""Nothing here: every job of this library is a batch rebuild, without streams."""
