@@ -12,32 +12,37 @@ OTHER_SCHEDULED_DAYS = 4
 def order_lines(spark, folder):
     """Raw-shaped order lines, with real timestamps instead of date text.
 
-    The order header is completed first, so the long line table is joined once
-    per remaining key. No join carries a hint: Catalyst broadcasts a side whose
-    measured size is under the session's threshold and otherwise sorts and merges,
-    where adaptive execution splits hot keys.
+    Every right side is a stored table or, for the order headers, a join kept at
+    order grain, so the line table is shuffled at most once per key: part, supplier,
+    order. No join carries a hint: Catalyst broadcasts a table whose stored size is
+    under the session's threshold and otherwise sorts and merges, where adaptive
+    execution splits hot keys.
     """
     table = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
-    nation = table("nation")
-    places = nation.join(table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
-        "n_nationkey", F.col("n_name").alias("Order Region"), F.col("r_name").alias("Market")
+    headers = (
+        table("orders")
+        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(
+            "o_orderkey",
+            "o_orderdate",
+            "o_orderstatus",
+            "o_orderpriority",
+            F.col("c_mktsegment").alias("Customer Segment"),
+            F.col("n_name").alias("Order Region"),
+            F.col("r_name").alias("Market"),
+        )
     )
-    buyers = (
-        table("customer")
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", "Market", "Order Region", F.col("c_mktsegment").alias("Customer Segment"))
-    )
-    headers = table("orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
-    sellers = (
-        table("supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.col("n_name").alias("Order Country"))
+    countries = table("nation").select(
+        F.col("n_nationkey").alias("country_key"), F.col("n_name").alias("Order Country")
     )
     lines = (
         table("lineitem")
-        .join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(countries, F.col("s_nationkey") == F.col("country_key"))
+        .join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
     )
     return lines.withColumns(_measures()).withColumns(_amounts()).select(_raw_columns())
 
