@@ -7,23 +7,24 @@ a job gives the same months on every cluster.
 from pyspark.sql import functions as F
 
 
+# Month, day, year and minute of a raw date; any other text as a whole.
+_RAW_TIME = r"(?s)^(?:(\d{1,2})/(\d{1,2})/(\d{2,4})\s+(\d{1,2}):(\d{1,2})|.*)$"
+
+
 def parse_minutes(text, strict=False):
     """Parse ``M/D/YYYY HH:MM``, padded or not; garbage gives NULL.
 
-    With ``strict`` a text that is present but not a valid time stops the job.
+    The text is respelled as an ISO time (a text of another form becomes one
+    without digits) and cast. With ``strict`` a text that is present but not a
+    valid time stops the job.
     """
-    parts = F.split(F.trim(text), "[/ :]")
-    number = lambda i: F.get(parts, F.lit(i)).try_cast("int")
-    parsed = F.when(
-        F.trim(text).rlike(r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$"),
-        F.try_make_timestamp_ntz(
-            number(2), number(0), number(1), number(3), number(4), F.lit(0).cast("decimal(16,6)")
-        ),
-    )
+    iso = F.regexp_replace(F.trim(text), _RAW_TIME, "00$3-$1-$2 $4:$5:00")
+    parsed = iso.try_cast("timestamp_ntz")
     if not strict:
         return parsed
     complaint = F.concat(F.lit("not a M/D/YYYY HH:MM time: "), text)
-    return F.coalesce(parsed, F.when(text.isNotNull(), F.raise_error(complaint).cast("timestamp_ntz")))
+    refused = F.when(text.isNotNull(), F.raise_error(complaint).cast("timestamp_ntz"))
+    return F.coalesce(parsed, refused)
 
 
 def month_start(ts):

@@ -50,9 +50,8 @@ def breaks(df, rule):
 
 
 def count_breaks(df, rules):
-    """One row with one count per row rule, in the order given."""
-    counts = [F.count_if(breaks(df, r)).alias(f"rule_{i}") for i, r in enumerate(rules)]
-    return df.agg(*counts)
+    """One row counting the breaks of each row rule; ``rules`` maps numbers to rules."""
+    return df.agg(*[F.count_if(breaks(df, r)).alias(f"rule_{n}") for n, r in rules.items()])
 
 
 def duplicate_surplus(df, column):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import measures as M
 from orderlens.functions.timestamps import month_label
 from orderlens.operators import histogram, ranking
+from orderlens.operators.distinct import with_distinct_count
 from orderlens.operators.filters import without_null_keys
 
 DEFAULT_TARGET = 20
@@ -41,6 +42,15 @@ def _profit():
     return M.total("profit").alias("profit")
 
 
+def _with_orders(selection, keys, *aggregates):
+    return with_distinct_count(selection, keys, "order_id", "nb_orders", aggregates)
+
+
+def _basket():
+    """Mean amount per order."""
+    return M.safe_ratio(F.col("_identified"), F.col("nb_orders"))
+
+
 def _with_margin(df):
     return df.withColumn("margin", M.margin(F.col("profit"), F.col("sales")))
 
@@ -70,9 +80,7 @@ def dimension_options(fact):
 
 
 def header_counts(selection):
-    return selection.agg(
-        F.countDistinct("order_id").alias("nb_orders"), F.count("*").alias("nb_lines")
-    )
+    return _with_orders(selection, [], F.count("*").alias("nb_lines"))
 
 
 def overall_late_rate(selection):
@@ -84,18 +92,22 @@ def overall_on_time_rate(selection):
 
 
 def average_basket(selection):
-    return selection.agg(M.basket().alias("avg_basket"))
+    sums = _with_orders(selection, [], M.identified_sales().alias("_identified"))
+    return sums.select(_basket().alias("avg_basket"))
 
 
 def kpi_cards(selection, late_target=DEFAULT_TARGET):
-    figures = selection.agg(
+    sums = _with_orders(
+        selection,
+        [],
         M.overall_late_rate().alias("late_rate"),
         M.flag_rate("is_on_time").alias("on_time_rate"),
         F.avg("delay_days").alias("avg_delay_days"),
         F.coalesce(M.total("sales"), F.lit(0.0)).alias("sales"),
         F.coalesce(M.total("profit"), F.lit(0.0)).alias("profit"),
-        M.basket().alias("avg_basket"),
+        M.identified_sales().alias("_identified"),
     )
+    figures = sums.withColumn("avg_basket", _basket()).drop("_identified", "nb_orders")
     margin = F.coalesce(M.margin(F.col("profit"), F.col("sales")), F.lit(0.0))
     return figures.withColumn("margin", margin).withColumns(
         {
@@ -224,8 +236,9 @@ def _having_kept(grouped):
 
 
 def _summary(selection, key):
-    grouped = _by(selection, key).agg(
-        F.countDistinct("order_id").alias("nb_orders"),
+    grouped = _with_orders(
+        without_null_keys(selection, key),
+        [key],
         _sales(),
         _profit(),
         M.flag_rate("is_late").alias("late_rate"),

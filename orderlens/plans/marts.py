@@ -1,29 +1,28 @@
 """The four aggregate marts over the fact.
 
-Each is one pass: partial aggregation before the shuffle, group keys of a few
-hundred values after it. NULL group keys are kept, and sorted last.
+Lines shrink to one row per group before they are shuffled; only the distinct
+order counts need a shuffle of their own. NULL group keys are kept, and sorted last.
 """
 
 from pyspark.sql import functions as F
 
 from orderlens.functions import measures as M
+from orderlens.operators.distinct import with_distinct_count
 
 
 def monthly_performance(fact):
-    return (
-        fact.groupBy("order_month", "order_year")
-        .agg(
-            F.countDistinct("order_id").alias("nb_orders"),
-            F.count("*").alias("nb_lines"),
-            M.mart_total("sales").alias("sales"),
-            M.mart_total("profit").alias("profit"),
-            M.mart_margin().alias("margin_pct"),
-            M.mart_late_rate().alias("late_rate_pct"),
-            M.mart_on_time_rate().alias("on_time_rate_pct"),
-            M.round_to(F.avg("delay_days"), 2).alias("avg_delay_days"),
-        )
-        .orderBy(F.col("order_month").asc_nulls_last())
-    )
+    measures = [
+        F.count("*").alias("nb_lines"),
+        M.mart_total("sales").alias("sales"),
+        M.mart_total("profit").alias("profit"),
+        M.mart_margin().alias("margin_pct"),
+        M.mart_late_rate().alias("late_rate_pct"),
+        M.mart_on_time_rate().alias("on_time_rate_pct"),
+        M.round_to(F.avg("delay_days"), 2).alias("avg_delay_days"),
+    ]
+    keys = ["order_month", "order_year"]
+    months = with_distinct_count(fact, keys, "order_id", "nb_orders", measures)
+    return months.orderBy(F.col("order_month").asc_nulls_last())
 
 
 def shipping_mode(fact):
@@ -64,21 +63,15 @@ def category_finance(fact):
 
 
 def region(fact):
-    return (
-        fact.groupBy("market", "order_region")
-        .agg(
-            F.countDistinct("order_id").alias("nb_orders"),
-            M.mart_total("sales").alias("sales"),
-            M.mart_total("profit").alias("profit"),
-            M.mart_margin().alias("margin_pct"),
-            M.mart_late_rate().alias("late_rate_pct"),
-        )
-        .orderBy(
-            F.col("sales").desc(),
-            F.col("market").asc_nulls_last(),
-            F.col("order_region").asc_nulls_last(),
-        )
-    )
+    measures = [
+        M.mart_total("sales").alias("sales"),
+        M.mart_total("profit").alias("profit"),
+        M.mart_margin().alias("margin_pct"),
+        M.mart_late_rate().alias("late_rate_pct"),
+    ]
+    keys = ["market", "order_region"]
+    regions = with_distinct_count(fact, keys, "order_id", "nb_orders", measures)
+    return regions.orderBy(F.col("sales").desc(), *[F.col(k).asc_nulls_last() for k in keys])
 
 
 MARTS = {
