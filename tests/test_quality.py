@@ -1,0 +1,140 @@
+import pytest
+from pyspark.sql import functions as F
+
+from orderlens.contracts import packaged_contract
+from orderlens.operators import rules as R
+from orderlens.plans import catalog, quality
+from orderlens.sources.contract import Rule, parse_contract
+
+ROWS = [
+    (1, "a", 5.0, 1),
+    (1, "b", -1.0, 2),
+    (2, None, 0.0, None),
+    (None, "z'q", float("nan"), 3),
+    (None, "a", None, 9),
+    (None, "c", 1.5, 9),
+]
+
+
+@pytest.fixture
+def tables(spark):
+    t = spark.createDataFrame(ROWS, "id int, code string, amount double, ref int").repartition(3)
+    parents = spark.createDataFrame([(1,), (2,), (2,), (4,)], "k int")
+    with_null = parents.union(spark.createDataFrame([(None,)], "k int"))
+    return {"t": t, "parents": parents, "with_null": with_null, "nobody": parents.where("false")}
+
+
+def rule(column, test, **options):
+    return Rule("t", column, test, options)
+
+
+CASES = [
+    (rule("code", "not_null"), 1, ""),
+    (rule("id", "unique"), 3, ""),
+    (rule("amount", "positive"), 2, ""),
+    (rule("code", "accepted_values", values=["a", "z'q"]), 2, "domaine autorise : ['a', \"z'q\"]"),
+    (rule("id", "accepted_values", values=[1, "3"]), 1, "domaine autorise : [1, '3']"),
+    (rule("amount", "accepted_range", min=0, max=2), 3, "bornes : {'min': 0, 'max': 2}"),
+    (rule("amount", "accepted_range", min=0), 1, "bornes : {'min': 0}"),
+    (rule("amount", "accepted_range", max=1.5), 2, "bornes : {'max': 1.5}"),
+    (rule("amount", "accepted_range"), 0, "bornes : {}"),
+    (rule("ref", "relationships", to="parents", field="k"), 3, "-> parents.k"),
+    (rule("ref", "relationships", to="with_null", field="k"), 0, "-> with_null.k"),
+    (rule("ref", "relationships", to="nobody", field="k"), 5, "-> nobody.k"),
+]
+
+
+@pytest.mark.parametrize("case, failing, detail", CASES)
+def test_single_rule(tables, case, failing, detail):
+    row = quality.run_contract(tables, [case]).first()
+    status = "PASS" if failing == 0 else "FAIL"
+    expected = {"rule_no": 1, "table": "t", "column": case.column, "test": case.test}
+    assert row.asDict() == {**expected, "status": status, "failing_rows": failing, "detail": detail}
+
+
+def test_fused_run_equals_rule_by_rule(tables):
+    declared = [case for case, _, _ in CASES] + [rule("code", "freshness")]
+    together = quality.run_contract(tables, declared).collect()
+    assert [r["rule_no"] for r in together] == list(range(1, len(declared) + 1))
+    alone = [quality.run_contract(tables, [one]).first().asDict() for one in declared]
+    assert [r.asDict() for r in together] == [{**r, "rule_no": n} for n, r in enumerate(alone, 1)]
+
+
+def test_orphans_equal_not_in(spark, tables):
+    for name, parent in tables.items():
+        if name == "t":
+            continue
+        parent.createOrReplaceTempView("p")
+        tables["t"].createOrReplaceTempView("c")
+        expected = spark.sql("SELECT count(*) FROM c WHERE ref IS NOT NULL AND ref NOT IN (SELECT k FROM p)").first()[0]
+        row = R.orphan_rows(tables["t"], "ref", parent, "k").first()
+        assert row["failing_rows"] == expected
+        assert row["parent_has_null"] == (name == "with_null")
+
+
+def test_orphans_with_a_key_that_fills_a_third_of_the_rows(spark):
+    child = spark.range(0, 30_000, 1, 8).select(F.when(F.col("id") < 10_000, -1).otherwise(F.col("id")).alias("k"))
+    parent = spark.range(0, 20_000, 1, 8)
+    row = R.orphan_rows(child, "k", parent, "id").first()
+    assert row["unmatched_rows"] == 10_000 + 10_000
+
+
+def test_unknown_test_is_skipped_and_counts_in_the_total(tables):
+    results = quality.run_contract(tables, [rule("code", "freshness"), rule("id", "accepted_values", values=[1, 2])])
+    assert [(r["status"], r["detail"]) for r in results.collect()][0] == ("SKIP", "test inconnu")
+    row = quality.quality_score(results).first()
+    assert (row["total_tests"], row["passed"], row["failed"], row["quality_score"]) == (2, 1, 0, 50.0)
+    assert row["gate_open"] and (row["score_tone"], row["failed_tone"]) == ("bad", "good")
+    quality.enforce(results)
+
+
+def test_failures_close_the_gate(tables):
+    results = quality.run_contract(tables, [rule("code", "not_null"), rule("id", "not_null")])
+    assert not quality.quality_score(results).first()["gate_open"]
+    with pytest.raises(quality.QualityGateError, match="2 quality tests"):
+        quality.enforce(results)
+
+
+def test_empty_contract_scores_zero(tables):
+    results = quality.run_contract(tables, [])
+    assert results.count() == 0
+    row = quality.quality_score(results).first()
+    assert (row["total_tests"], row["quality_score"], row["gate_open"]) == (0, 0.0, True)
+
+
+def test_score_rounds_half_to_even(spark):
+    statuses = spark.range(80).select(F.when(F.col("id") < 1, "PASS").otherwise("FAIL").alias("status"))
+    assert quality.quality_score(statuses).first()["quality_score"] == 1.2
+    statuses = spark.range(80).select(F.when(F.col("id") < 3, "PASS").otherwise("FAIL").alias("status"))
+    assert quality.quality_score(statuses).first()["quality_score"] == 3.8
+
+
+def test_report_lists_results_in_rule_order(tables):
+    results = quality.run_contract(tables, [case for case, _, _ in CASES])
+    row = quality.quality_report(results, "2024-05-06T07:08:09").first()
+    assert (row["generated_at"], row["total_tests"], row["passed"], row["failed"]) == ("2024-05-06T07:08:09", 12, 2, 10)
+    assert row["results"][0].asDict() == {k: v for k, v in results.first().asDict().items() if k != "rule_no"}
+    assert [r["test"] for r in row["results"]] == [case.test for case, _, _ in CASES]
+
+
+def test_packaged_contract_runs_on_clean_lines(make_fact):
+    lines = make_fact({}, {"market": "Africa"}, {"profit_ratio": -1.2})
+    failed = quality.run_contract({"fct_sales": lines}, packaged_contract("order_lines").rules).where("status != 'PASS'")
+    assert [(r["column"], r["test"], r["failing_rows"]) for r in failed.collect()] == [("profit_ratio", "accepted_range", 1)]
+
+
+def test_counts_of_rules_and_tables(tables):
+    document = {
+        "tables": [
+            {"name": "raw", "description": "r", "grain": "g"},
+            {"name": "t", "columns": [{"name": "code", "tests": ["not_null", {"accepted_range": {"min": -1}}]}]},
+        ]
+    }
+    found = parse_contract(document)
+    listing = catalog.rule_listing(found, tables).collect()
+    assert [(r["rule_no"], r["column"], r["test"], r["min"], r["nb_rows"], r["rows_with_value"]) for r in listing] == [
+        (1, "code", "not_null", None, 6, 5),
+        (2, "code", "accepted_range", -1.0, 6, 5),
+    ]
+    docs = catalog.table_catalog(found, tables).collect()
+    assert [(r["table"], r["documented_columns"], r["nb_rows"]) for r in docs] == [("raw", 0, None), ("t", 1, 6)]
