@@ -14,7 +14,7 @@ def write_fact(fact, path):
     order together, so distinct-order counts shrink before they are shuffled.
     """
     (
-        fact.hint("rebalance", "order_year")
+        fact.hint("rebalance", "order_year", "order_month")
         .sortWithinPartitions("order_year", "order_month", "order_id")
         .write.mode("overwrite")
         .partitionBy("order_year")

@@ -1,6 +1,7 @@
 """Comparing a Spark result with a DuckDB result, exactly and regardless of order."""
 
 import math
+import os
 
 import duckdb
 
@@ -19,7 +20,9 @@ TYPE_NAMES = {
 def oracle(folder):
     con = duckdb.connect()
     for table in TABLES:
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+        path = f"{folder}/{table}.parquet"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{files}'")
     return con
 
 
