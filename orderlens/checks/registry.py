@@ -31,6 +31,7 @@ ALL_FILTERS = Filters(
 )
 
 _built = {}
+_houses = {}
 
 
 def _scratch(spark, folder, name):
@@ -48,7 +49,8 @@ def _once(spark, folder, part, build):
 
 def warehouse(spark, folder):
     """The warehouse of a star folder, its fact written on first use."""
-    house = Warehouse(spark, _scratch(spark, folder, "warehouse"))
+    key = (spark.sparkContext.applicationId, folder)
+    house = _houses.setdefault(key, Warehouse(spark, _scratch(spark, folder, "warehouse")))
     _once(spark, folder, "fact", lambda: house.build_fact(star.order_lines(spark, folder)))
     return house
 

@@ -1,6 +1,6 @@
 """Layered rebuild: raw lines, staging, fact, marts."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,12 +12,17 @@ STAGING_VIEW = "stg_sales"
 FACT_TABLE = "fct_sales"
 
 
-@dataclass(frozen=True)
+@dataclass
 class Warehouse:
-    """Tables written under one folder; every read is lazy."""
+    """Tables written under one folder; every read is lazy.
+
+    The files of the fact are listed on first use and again after each build, not
+    for every query. When another process rebuilt the tables, make a new object.
+    """
 
     spark: SparkSession
     folder: str
+    _fact: DataFrame | None = field(default=None, repr=False, compare=False)
 
     def _path(self, name):
         return f"{self.folder.rstrip('/')}/{name}"
@@ -32,6 +37,7 @@ class Warehouse:
         staged = stage(raw, strict_dates)
         staged.createOrReplaceTempView(STAGING_VIEW)
         write_fact(fact(staged), self._path(FACT_TABLE))
+        self._fact = None
         return self
 
     def build_marts(self):
@@ -40,7 +46,9 @@ class Warehouse:
         return self
 
     def fact(self):
-        return read_fact(self.spark, self._path(FACT_TABLE))
+        if self._fact is None:
+            self._fact = read_fact(self.spark, self._path(FACT_TABLE))
+        return self._fact
 
     def mart(self, name):
         return read_table(self.spark, self._path(name))

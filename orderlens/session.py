@@ -10,7 +10,6 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # Rebalanced writes aim for files of this order.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
 }

@@ -176,3 +176,14 @@ def test_workspace_is_never_local_on_a_cluster():
     with pytest.raises(ValueError):
         workspace(stub("yarn"))
     assert workspace(stub("local[2]")) == workspace(stub("local[2]"))
+
+
+def test_rebuilt_fact_is_listed_again(spark, tmp_path):
+    names = list(S.RAW_TYPES)
+    row = {"Order Id": "1", "order date (DateOrders)": "1/5/2015 9:07"}
+    line = ",".join(row.get(n, "") for n in names)
+    one = raw_csv.read_order_lines(spark, write(tmp_path / "one.csv", [",".join(names), line]))
+    two = raw_csv.read_order_lines(spark, write(tmp_path / "two.csv", [",".join(names), line, line]))
+    house = Warehouse(spark, str(tmp_path / "house")).build_fact(one)
+    assert house.fact() is house.fact() and house.fact().count() == 1
+    assert house.build_fact(two).fact().count() == 2
