@@ -6,6 +6,8 @@ cluster. Variants with missing or odd values alter whole columns by an attribute
 never by sampling rows.
 """
 
+import re
+
 from pyspark.sql import functions as F
 
 from orderlens import schema as S
@@ -35,7 +37,7 @@ _houses = {}
 
 
 def _scratch(spark, folder, name):
-    source = folder.strip("/").replace("/", "_")
+    source = re.sub(r"[^A-Za-z0-9.]+", "_", folder).strip("_")
     return f"{workspace(spark)}/{source}/{name}"
 
 
