@@ -1,9 +1,15 @@
 """Queries of the training-data operators and, where SQL can express them, their SQL."""
 
-from orderlens.llm import simhash
+from orderlens.llm import exact_dedup, mixing, sharding, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_mixing": mixing.op2_mixing,
+    "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op6_sharding": sharding.op6_sharding,
 }
 
-ORACLE_SQL = {}
+ORACLE_SQL = {
+    "op2_mixing": mixing.OP2_SQL,
+    "op3_exact_dedup": exact_dedup.OP3_SQL,
+}
