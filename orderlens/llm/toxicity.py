@@ -1,14 +1,15 @@
 """Toxic spans by a linear-chain conditional random field.
 
-Documents carry one label each, so tokens get theirs first: words that toxic documents
-hold far more often than others, by a likelihood ratio that allows for the number of
-words looked at, are toxic where they stand in a toxic document; every other token is
-not. The field has two states, a weight per telling word, one for another such word
-nearby, a bias and transitions, fitted by conditional likelihood on windows of tokens.
-
-Forward and backward messages run over whole texts. Between telling words all tokens
+Documents carry one label each, so tokens get theirs first: words, beginnings and ends
+of words that toxic documents hold far more often than others, by a likelihood ratio
+that allows for the number of them looked at, are telling. Tokens with one are toxic
+where they stand in a toxic document; every other token is not. The field has two
+states, a weight per telling mark, one for another such token nearby, a bias and
+transitions, fitted by conditional likelihood on windows of tokens.
+
+Forward and backward messages run over whole texts. Between telling tokens all
 look alike, so a stretch of them is one power of one matrix, and the work per text is
-a look-up per word and a few products per telling word. The marginals of a document
+a look-up per word and a few products per telling token. The marginals of a document
 are summed up as the largest and the expected number of toxic tokens; a logistic
 curve over these two, fitted on the same sample, is the score.
 """
@@ -19,20 +20,27 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from orderlens.llm.common import table
-from orderlens.llm.labelled import SAMPLE_ROWS, labelled_sample, one_in_three
+from orderlens.llm.labelled import labelled_sample, one_in_three
 
-#: Bounds of the fit: telling words, windows of tokens, tokens per window.
-MOST_WORDS = 4_096
+#: Bounds of the fit: labelled documents, telling marks, windows of tokens, tokens per
+#: window, marks per token.
+FIT_ROWS = 12_000
+MOST_MARKS = 4_096
+TOKEN_MARKS = 8
 MOST_WINDOWS = 8_192
 WINDOW_TOKENS = 32
 LEAST_DOCUMENTS = 3
+LEAST_SHARE = 0.4
 MARGIN = 4.0
 AROUND = 4
 NEAR = 5
 STEPS = 120
 RIDGE = 1e-3
+_PARTS = (4, 5, 6, 7)
+_REMEMBERED = 200_000
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -41,41 +49,79 @@ def _lower(text):
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
-def _document_words(batches):
+def marks(word):
+    """The word itself, and its beginnings and ends of four to seven letters."""
+    out = [word]
+    for n in _PARTS:
+        if len(word) > n:
+            out += [word[:n] + "-", "-" + word[-n:]]
+    return out
+
+
+def _sketched(batches):
+    """The smallest hash of a text's three-word shingles beside it: near copies mostly share it."""
+    for batch in batches:
+        smallest = []
+        for text in batch.column("text").to_pylist():
+            words = _WORDS.findall(_lower(text))
+            shingles = zip(words, words[1:], words[2:]) if len(words) > 2 else [words]
+            smallest.append(min(xxh64_intdigest(" ".join(s)) for s in shingles) >> 1)
+        columns = [batch.column("label"), batch.column("text"), pa.array(smallest, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["label", "text", "sketch"])
+
+
+def _document_marks(batches):
     for batch in batches:
-        words, labels = [], []
+        counts = {}
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-            found = sorted(set(_WORDS.findall(_lower(text))))
-            words += found
-            labels += [label] * len(found)
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(labels, pa.int32())], ["word", "label"])
+            for mark in {m for w in set(_WORDS.findall(_lower(text))) for m in marks(w)}:
+                n, t = counts.get(mark, (0, 0))
+                counts[mark] = n + 1, t + label
+        columns = list(zip(*[(m, n, t) for m, (n, t) in counts.items()])) or [()] * 3
+        kinds = [pa.string(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["mark", "n", "t"])
 
 
-def telling_words(sample):
-    """Words of toxic documents beyond chance, at most MOST_WORDS of them."""
-    distinct = sample.dropDuplicates(["text", "label"])
-    n, toxic = distinct.agg(F.count("*"), F.sum("label")).first()
+def telling_marks(sample):
+    """Marks of toxic documents beyond chance, at most MOST_MARKS of them."""
+    n, toxic = sample.agg(F.count("*"), F.sum("label")).first()
     if not toxic or toxic == n:
         return []
-    counts = distinct.mapInArrow(_document_words, "word string, label int").groupBy("word")
-    counts = counts.agg(F.count("*").alias("n"), F.sum("label").alias("t"))
-    words = counts.count()
+    counts = sample.mapInArrow(_document_marks, "mark string, n long, t long").groupBy("mark")
+    counts = counts.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).where(F.col("t") >= LEAST_DOCUMENTS).persist()
+    looked_at = max(2, counts.count())
     share, t, k = toxic / n, F.col("t"), F.col("n")
     other = F.when(k > t, (k - t) * F.log((k - t) / (k * (1 - share)))).otherwise(0.0)
     ratio = 2 * (t * F.log(t / (k * share)) + other)
-    kept = counts.where((t >= LEAST_DOCUMENTS) & (t > k * share)).withColumn("g", ratio)
-    kept = kept.where(F.col("g") > 2 * float(np.log(words)) + 2 * MARGIN).where(t >= 0.6 * k)
-    return sorted(r.word for r in kept.orderBy(F.desc("g"), "word").limit(MOST_WORDS).collect())
+    kept = counts.where((t > k * share) & (t >= LEAST_SHARE * k)).withColumn("g", ratio)
+    kept = kept.where(F.col("g") > 2 * float(np.log(looked_at)) + 2 * MARGIN)
+    found = sorted(r.mark for r in kept.orderBy(F.desc("g"), "mark").limit(MOST_MARKS).collect())
+    counts.unpersist()
+    return found
+
+
+class _Marked(dict):
+    """Numbers of the telling marks of a word, most words remembered."""
+
+    def __init__(self, index):
+        self.index = index
+
+    def __missing__(self, word):
+        if len(self) > _REMEMBERED:
+            self.clear()
+        found = self[word] = tuple(self.index[m] for m in marks(word) if m in self.index)[:TOKEN_MARKS]
+        return found
 
 
 def _windows(index):
-    """Token windows (word numbers, 0 for any other) round telling words, or one without."""
+    """Token windows (numbers of telling marks) round telling tokens, or one without."""
 
     def run(batches):
+        marked = _Marked(index)
         for batch in batches:
             rows = []
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                tokens = [index.get(w, 0) for w in _WORDS.findall(_lower(text))]
+                tokens = [marked[w] for w in _WORDS.findall(_lower(text))]
                 at, found = 0, False
                 while at < len(tokens):
                     if tokens[at]:
@@ -87,14 +133,14 @@ def _windows(index):
                 if tokens and not found:
                     rows.append((tokens[: 2 * AROUND + 1], label))
             columns = list(zip(*rows)) or [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.list_(pa.int32())), pa.array(columns[1], pa.int32())], ["tokens", "label"])
+            kind = pa.list_(pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], kind), pa.array(columns[1], pa.int32())], ["tokens", "label"])
 
     return run
 
 
-def _near(tokens):
-    """1 where another telling word stands within NEAR tokens."""
-    telling = tokens > 0
+def _near(telling):
+    """Where a telling token has another within NEAR tokens."""
     out = np.zeros_like(telling)
     for d in range(1, NEAR + 1):
         out[:, d:] |= telling[:, :-d]
@@ -103,26 +149,26 @@ def _near(tokens):
 
 
 class Field:
-    """Weights: per telling word (0: the bias of all tokens), one for company, transitions."""
+    """Weights: per telling mark (0: the bias of all tokens), one for company, transitions."""
 
-    def __init__(self, words):
-        self.words = words
-        self.index = {w: i + 1 for i, w in enumerate(words)}
-        self.word = np.zeros(len(words) + 1)
+    def __init__(self, marks):
+        self.index = {m: i + 1 for i, m in enumerate(marks)}
+        self.word = np.zeros(len(marks) + 1)
         self.company = 0.0
         self.step = np.zeros((2, 2))
         self.curve = np.zeros(3)
-        self._powers = {}
+        self._powers, self._marked = {}, None
 
     def fit(self, tokens, lengths, y):
         """Adam on the mean conditional log-likelihood of padded windows."""
-        n, width = tokens.shape
-        near, inside = _near(tokens), np.arange(width)[None, :] < lengths[:, None]
+        n, width, _ = tokens.shape
+        telling = tokens[:, :, 0] > 0
+        near, inside = _near(telling), np.arange(width)[None, :] < lengths[:, None]
         theta = np.zeros(len(self.word) + 5)
         first, second = np.zeros_like(theta), np.zeros_like(theta)
         for step in range(1, STEPS + 1):
             word, company, trans = theta[: len(self.word)], theta[len(self.word)], theta[-4:].reshape(2, 2)
-            score = word[0] + np.where(tokens > 0, word[tokens], 0) + company * near
+            score = word[0] + np.where(tokens > 0, word[tokens], 0).sum(2) + company * near
             state = np.exp(np.clip(np.stack([np.zeros_like(score), score], axis=2), -30, 30))
             move = np.exp(trans)
             alpha, beta = np.zeros_like(state), np.ones_like(state)
@@ -137,7 +183,7 @@ class Field:
             marginal /= marginal.sum(2, keepdims=True)
             gap = np.where(inside, y - marginal[:, :, 1], 0)
             grad = np.zeros_like(theta)
-            grad[: len(word)] = np.bincount(tokens.reshape(-1), gap.reshape(-1), len(word))
+            grad[: len(word)] = np.bincount(tokens.reshape(-1), np.repeat(gap.reshape(-1), TOKEN_MARKS), len(word))
             grad[0] = gap.sum()
             grad[len(word)] = gap[near].sum()
             pairs = inside[:, 1:]
@@ -170,15 +216,18 @@ class Field:
         return self._powers[gap]
 
     def marginals(self, text):
-        """(number of tokens, [(token, number of its word, probability of being toxic)])."""
+        """[(token, probability of being toxic)] of the tokens with telling marks."""
+        if self._marked is None:
+            self._marked = _Marked(self.index)
         tokens = _WORDS.findall(_lower(text))
-        found = [(i, self.index[w]) for i, w in enumerate(tokens) if w in self.index]
+        found = [(i, m) for i, m in enumerate(map(self._marked.__getitem__, tokens)) if m]
         if not found:
-            return len(tokens), []
+            return []
         weights = []
-        for k, (at, word) in enumerate(found):
+        for k, (at, own) in enumerate(found):
             near = (k and at - found[k - 1][0] <= NEAR) or (k + 1 < len(found) and found[k + 1][0] - at <= NEAR)
-            weights.append(float(np.exp(min(30.0, self.word[0] + self.word[word] + (self.company if near else 0.0)))))
+            score = self.word[0] + sum(self.word[m] for m in own) + (self.company if near else 0.0)
+            weights.append(float(np.exp(np.clip(score, -30.0, 30.0))))
         move = np.exp(self.step).tolist()
         bias = float(np.exp(self.word[0]))
 
@@ -202,18 +251,18 @@ class Field:
         out = []
         for k in range(len(found) - 1, -1, -1):
             x, y = alphas[k][0] * b[0], alphas[k][1] * b[1]
-            out.append((*found[k], y / (x + y)))
+            out.append((found[k][0], y / (x + y)))
             if k:
                 c0, c1 = b[0], b[1] * weights[k]
                 b = (move[0][0] * c0 + move[0][1] * c1, move[1][0] * c0 + move[1][1] * c1)
                 p = self._power(found[k][0] - found[k - 1][0] - 1)
                 b = (p[0][0] * b[0] + p[0][1] * b[1], p[1][0] * b[0] + p[1][1] * b[1])
                 b = (b[0] / (b[0] + b[1]), b[1] / (b[0] + b[1]))
-        return len(tokens), out[::-1]
+        return out[::-1]
 
     def summary(self, text):
         """Largest marginal, and the logarithm of one plus the expected number of toxic tokens."""
-        p = [x[2] for x in self.marginals(text)[1]]
+        p = [q for _, q in self.marginals(text)]
         return max(p, default=0.0), float(np.log1p(sum(p)))
 
     def calibrate(self, x, y):
@@ -227,10 +276,10 @@ class Field:
 
     def judge(self, text):
         """(score, [(start, end, probability)] of tokens that are toxic rather than not)."""
-        _, found = self.marginals(text)
-        p = [x[2] for x in found]
+        found = self.marginals(text)
+        p = [q for _, q in found]
         x = self.curve @ np.array([1.0, max(p, default=0.0), np.log1p(sum(p))])
-        toxic = {at: q for at, _, q in found if q >= 0.5}
+        toxic = {at: q for at, q in found if q >= 0.5}
         spans = []
         if toxic:
             for at, match in enumerate(_WORDS.finditer(_lower(text))):
@@ -239,23 +288,26 @@ class Field:
         return float(1 / (1 + np.exp(-x))), spans
 
 
-def fit(docs, labels, rows=SAMPLE_ROWS):
+def fit(docs, labels, rows=FIT_ROWS):
     """A Field from at most ``rows`` labelled documents that are not held out.
 
-    To the driver come its telling words, windows of a few thousand documents, and two
-    numbers per document of the sample. Without labelled documents every score is one
-    half; with one class only, or no telling words, it is near the share of that class.
+    Of near copies with one label mostly one is used. To the driver come the telling
+    marks, windows of a few thousand documents, and two numbers per document. Without labelled documents every score is one
+    half; with one class only, or no telling marks, it is near the share of that class.
     """
-    sample = labelled_sample(docs, labels, "toxic", one_in_three, rows).select("label", "text").persist()
-    field = Field(telling_words(sample))
-    if field.words:
-        windows = sample.mapInArrow(_windows(field.index), "tokens array<int>, label int")
-        held = windows.orderBy(F.desc(F.exists("tokens", lambda w: w > 0)), F.xxhash64("tokens"), "label").limit(MOST_WINDOWS).collect()
-        tokens = np.zeros((len(held), WINDOW_TOKENS), np.int64)
+    sample = labelled_sample(docs, labels, "toxic", one_in_three, rows).select("label", "text")
+    sample = sample.mapInArrow(_sketched, "label int, text string, sketch long")
+    sample = sample.dropDuplicates(["sketch", "label"]).select("label", "text").persist()
+    field = Field(telling_marks(sample))
+    if field.index:
+        windows = sample.mapInArrow(_windows(field.index), "tokens array<array<int>>, label int")
+        held = windows.orderBy(F.desc(F.exists("tokens", lambda m: F.size(m) > 0)), F.xxhash64("tokens"), "label").limit(MOST_WINDOWS).collect()
+        tokens = np.zeros((len(held), WINDOW_TOKENS, TOKEN_MARKS), np.int64)
         for i, row in enumerate(held):
-            tokens[i, : len(row.tokens)] = row.tokens
+            for j, own in enumerate(row.tokens):
+                tokens[i, j, : len(own)] = own
         lengths = np.array([len(r.tokens) for r in held])
-        y = ((tokens > 0) & (np.array([r.label for r in held])[:, None] == 1)).astype(int)
+        y = ((tokens[:, :, 0] > 0) & (np.array([r.label for r in held])[:, None] == 1)).astype(int)
         field.fit(tokens, lengths, y)
 
     @F.pandas_udf("array<double>")
@@ -273,7 +325,7 @@ def scored(docs, labels, id_col="doc_id", text_col="text"):
     """One row per row of ``docs``: doc_id, score (the nearer to 1, the likelier toxic), spans.
 
     spans lists the toxic tokens by their characters in the text, end exclusive. Null,
-    empty and wordless texts get the score of a text without telling words. Repeated
+    empty and wordless texts get the score of a text without telling marks. Repeated
     rows get equal results, an empty table none. Other columns are not read.
     """
     field = fit(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), labels)
