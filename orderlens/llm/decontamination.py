@@ -13,6 +13,7 @@ documents out of the shuffle.
 """
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,24 +29,27 @@ COVERAGE = 0.5
 
 # Words that are read as units of measure.
 UNITS = frozenset(
-    "mm cm m km in ft yd mi mg g kg t oz lb lbs ml cl dl l gal s sec min h hr hrs ms hz khz mhz ghz w kw mw v a "
-    "j kj cal kcal pa kpa bar psi mph kph km/h m/s °c °f k % $ € £ ¥ usd eur gbp cents dollars euros pounds meters "
-    "metres kilometers kilometres miles inches feet yards grams kilograms liters litres gallons seconds minutes "
-    "hours days weeks months years degrees percent".split()
+    "mm cm km ft yd mi mg kg oz lb lbs ml cl dl gal sec min hr hrs ms hz khz mhz ghz kw mw kj cal kcal pa kpa bar "
+    "psi mph kph km/h m/s °c °f % $ € £ ¥ usd eur gbp cents dollars euros pounds meters metres kilometers kilometres "
+    "miles inches feet yards grams kilograms liters litres gallons seconds minutes hours days weeks months years "
+    "degrees percent".split()
 )
 _MARKS = re.compile(r"^[^\w%$€£¥°]+|[^\w%$€£¥°]+$")
 _JUNK = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[+-]?[$€£¥]?\d[\d.,:/]*(?:st|nd|rd|th|%)?$")
 _END = re.compile(r"[.!?][\W_]*$")
 _TYPES = (b"\x00number", b"\x00unit", b"\x00name")
-_REMEMBERED = 1 << 20
+_REMEMBERED = 1 << 18
+_PIECE_BYTES = 1 << 22
 
 
 class _Lexicon(dict):
-    """Numbers words; per number the hashes at the start of and inside a sentence."""
+    """Numbers words; per number what they are at the start of and inside a sentence."""
 
     def __init__(self):
-        self.start, self.inside, self.slot, self.start_slot, self.ends, self.value = [], [], [], [], [], []
+        self.start, self.inside = array("Q"), array("Q")
+        self.start_slot, self.inside_slot, self.ends = array("b"), array("b"), array("b")
+        self.value = []
 
     def __missing__(self, word):
         text = word.decode("utf-8", "replace")
@@ -54,54 +58,51 @@ class _Lexicon(dict):
         low = bare.lower()
         if _NUMBER.match(core):
             first = inside = _TYPES[0]
-        elif core.lower() in UNITS and core.lower() not in ("a", "in", "s", "t", "m", "k", "j", "w", "v", "l", "g", "h"):
+        elif core.lower() in UNITS:
             first = inside = _TYPES[1]
         else:
             first = low.encode()
             inside = _TYPES[2] if len(bare) > 1 and bare[0].isupper() and bare[1:].islower() else first
-        number = len(self.start)
+        number = len(self.value)
         self.start.append(xxh64_intdigest(first) if first else 0)
         self.inside.append(xxh64_intdigest(inside) if inside else 0)
-        self.slot.append(inside in _TYPES)
         self.start_slot.append(first in _TYPES)
+        self.inside_slot.append(inside in _TYPES)
         self.ends.append(bool(_END.search(text)))
-        self.value.append(low.encode() if low else core.encode())
+        self.value.append(low or core)
         self[word] = number
         return number
 
 
-def template(text, lexicon):
-    """Hashes of the template words of a text, which are slots, and their values.
+def templates(texts, lexicon):
+    """Of each text the hashes of its template words, which are slots, and their word numbers.
 
-    Values are numbers of the lexicon. Words without a letter, digit or unit are left out.
+    Words without a letter, digit or unit are left out.
     """
-    words = text.split()
-    ids = np.fromiter(map(lexicon.__getitem__, words), np.int64, len(words))
-    if not len(ids):
-        return np.zeros(0, np.uint64), np.zeros(0, bool), ids
-    first = np.ones(len(ids), bool)
-    first[1:] = lexicon.arrays()[4][ids[:-1]]
-    start, inside, slot, start_slot, _ = lexicon.arrays()
-    hashes = np.where(first, start[ids], inside[ids])
-    slots = np.where(first, start_slot[ids], slot[ids])
-    kept = hashes != 0
-    return hashes[kept], slots[kept], ids[kept]
-
-
-def _arrays(self):
-    if self.__dict__.get("_size") != len(self.start):
-        self._held = (
-            np.array(self.start, np.uint64),
-            np.array(self.inside, np.uint64),
-            np.array(self.slot, bool),
-            np.array(self.start_slot, bool),
-            np.array(self.ends, bool),
-        )
-        self._size = len(self.start)
-    return self._held
-
-
-_Lexicon.arrays = _arrays
+    numbered = []
+    for text in texts:
+        words = text.split()
+        numbered.append(np.fromiter(map(lexicon.__getitem__, words), np.int64, len(words)))
+    start, inside = np.array(lexicon.start, np.uint64), np.array(lexicon.inside, np.uint64)
+    start_slot, inside_slot, ends = (np.array(x, bool) for x in (lexicon.start_slot, lexicon.inside_slot, lexicon.ends))
+    for ids in numbered:
+        first = np.ones(len(ids), bool)
+        first[1:] = ends[ids[:-1]]
+        hashes = np.where(first, start[ids], inside[ids])
+        kept = hashes != 0
+        yield hashes[kept], np.where(first, start_slot[ids], inside_slot[ids])[kept], ids[kept]
+
+
+def _in_pieces(batch):
+    """Rows of a batch as (ids, texts), a few megabytes at a time."""
+    ids, texts, size = [], [], 0
+    for row in range(batch.num_rows):
+        ids.append(batch.column("id")[row].as_py())
+        texts.append(batch.column("text")[row].as_py())
+        size += len(texts[-1])
+        if size >= _PIECE_BYTES or row == batch.num_rows - 1:
+            yield ids, texts
+            ids, texts, size = [], [], 0
 
 
 def windows(hashes, length):
@@ -116,26 +117,23 @@ def windows(hashes, length):
     return out
 
 
-_WINDOW = "id long, hash long, at int, slots array<struct<j:int,value:string>>"
-
-
 def _item_windows(batches):
     """Windows of benchmark items: of full length, or the whole of a shorter item."""
     lexicon = _Lexicon()
     for batch in batches:
         rows = []
-        for item_id, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-            hashes, slots, ids = template(text, lexicon)
+        found = ((i, t) for ids, texts in _in_pieces(batch) for i, t in zip(ids, templates(texts, lexicon)))
+        for item_id, (hashes, slots, ids) in found:
             length = min(WINDOW, len(hashes))
             if not length:
                 continue
-            found = windows(hashes, length)
+            hashed = windows(hashes, length)
             plain = np.convolve(~slots, np.ones(length, int), "valid")
             told = plain >= min(LEAST_PLAIN, length)
-            told = told if told.any() else np.ones(len(found), bool)
+            told = told if told.any() else np.ones(len(hashed), bool)
             for at in np.flatnonzero(told):
-                values = [{"j": int(j), "value": lexicon.value[ids[at + j]].decode()} for j in np.flatnonzero(slots[at : at + length])]
-                rows.append((item_id, int(found[at : at + 1].view(np.int64)[0]), int(at), length, int(told.sum()), values))
+                values = [{"j": int(j), "value": lexicon.value[ids[at + j]]} for j in np.flatnonzero(slots[at : at + length])]
+                rows.append((item_id, int(hashed[at : at + 1].view(np.int64)[0]), int(at), length, int(told.sum()), values))
         columns = list(zip(*rows)) or [()] * 6
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.struct([("j", pa.int32()), ("value", pa.string())]))]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["item_id", "hash", "at", "length", "of", "slots"])
@@ -146,16 +144,15 @@ def _document_windows(bitmap, lengths):
         lexicon = _Lexicon()
         for batch in batches:
             rows = []
-            for doc_id, cell in zip(batch.column("id").to_pylist(), batch.column("text")):
-                text = cell.as_py()
+            for doc_ids, texts in _in_pieces(batch):
                 if len(lexicon) > _REMEMBERED:
                     lexicon = _Lexicon()
-                hashes, slots, ids = template(text, lexicon)
-                for length in lengths:
-                    found = windows(hashes, length)
-                    for at in np.flatnonzero(in_bitmap(bitmap.value, found)):
-                        values = [{"j": int(j), "value": lexicon.value[ids[at + j]].decode()} for j in np.flatnonzero(slots[at : at + length])]
-                        rows.append((doc_id, int(found[at : at + 1].view(np.int64)[0]), int(at), values))
+                for doc_id, (hashes, slots, ids) in zip(doc_ids, templates(texts, lexicon)):
+                    for length in lengths:
+                        found = windows(hashes, length)
+                        for at in np.flatnonzero(in_bitmap(bitmap.value, found)):
+                            values = [{"j": int(j), "value": lexicon.value[ids[at + j]]} for j in np.flatnonzero(slots[at : at + length])]
+                            rows.append((doc_id, int(found[at : at + 1].view(np.int64)[0]), int(at), values))
             columns = list(zip(*rows)) or [()] * 4
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.struct([("j", pa.int32()), ("value", pa.string())]))]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "hash", "doc_at", "doc_slots"])
