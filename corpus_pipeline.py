@@ -33,8 +33,7 @@ def mix_sources(spark, docs, sf_dir):
 
 def shard(spark, docs, sf_dir):
     """Every row with its shard and its slot there, beside the columns of the documents."""
-    placed = sharding.assign(spark, docs, carry=docs.columns)
-    return placed.select(*docs.columns, "size", "text_crc32", "shard", "slot")
+    return sharding.assign(spark, docs, carry=docs.columns).drop("law", "grown_shard")
 
 
 STAGES = [

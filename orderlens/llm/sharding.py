@@ -27,6 +27,7 @@ CELLS = 1 << CELL_BITS
 #: A cell with more rows than this is ranked in ``SALTS`` parts.
 CROWDED_ROWS = 1 << 20
 SALTS = 64
+ADDED = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def ring(shards, vnodes=VNODES):
@@ -96,17 +97,19 @@ def pieces(counts, shards, vnodes=VNODES):
 def assign(spark, docs, shards=SHARDS, id_col="doc_id", text_col="text", carry=None, crowded_rows=CROWDED_ROWS):
     """Rows of ``docs`` with size, text_crc32, law, shard and slot (gapless from 0).
 
-    ``carry`` names the columns to keep beside them (the id alone unless given).
+    ``carry`` names the columns to keep beside them (the id alone unless given); one
+    that has the name of an added column gives way to it.
     size: UTF-8 bytes of the text, none for null, plus 8; text_crc32 of a null text
     is that of an empty one. Rows that repeat an id, or have none, share a cell and
     are placed one by one; which of equal rows gets which slot is fixed by their place
     in the input. An empty table gives an empty result.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    carry = [c for c in carry or [id_col] if c not in ADDED]
     base = saved(
         spark,
         docs.select(
-            *[F.col(c) for c in (carry or [id_col])],
+            *[F.col(c) for c in carry],
             (F.octet_length(text) + 8).cast("long").alias("_size"),
             F.crc32(text.cast("binary")).alias("_crc"),
             F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 64 - CELL_BITS).cast("int").alias("_cell"),
@@ -134,7 +137,7 @@ def assign(spark, docs, shards=SHARDS, id_col="doc_id", text_col="text", carry=N
     # About one row per cell of the ring: bounded whatever the input.
     placed = ranked.join(F.broadcast(places), here)
     return placed.select(
-        *[F.col(c) for c in (carry or [id_col])],
+        *[F.col(c) for c in carry],
         F.col("_size").alias("size"),
         F.col("_crc").alias("text_crc32"),
         F.lit("rows").alias("law"),

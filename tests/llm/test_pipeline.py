@@ -1,0 +1,60 @@
+import corpus_pipeline
+import pytest
+
+from orderlens.llm import decontamination, mixing, quality, simhash
+from orderlens.llm.common import saved
+
+
+@pytest.fixture(scope="module")
+def stages(spark, folder):
+    """The rows before and after every stage."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    out = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        out.append(saved(spark, stage(spark, out[-1], folder)))
+    return out
+
+
+def ids(df):
+    return sorted(r.doc_id for r in df.select("doc_id").collect())
+
+
+def test_stages_and_columns(stages):
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality classifier", "SimHash near-dedup", "benchmark decontamination", "mixing sources", "sharding",
+    ]
+    assert all(df.columns == stages[0].columns for df in stages[1:-1])
+    assert stages[-1].columns == [*stages[0].columns, "size", "text_crc32", "shard", "slot"]
+
+
+def test_every_stage_against_its_operator(spark, folder, stages):
+    docs, good, single, clean, mixed, placed = stages
+    labels, benchmark = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("labels", "benchmark"))
+    assert ids(good) == sorted(r.doc_id for r in quality.scored(docs, labels).collect() if r.score >= 0.5)
+    assert ids(single) == sorted(r.doc_id for r in simhash.near_duplicates(spark, good).collect() if r.doc_id == r.component_id)
+    leaking = {r.doc_id for r in decontamination.leaks(spark, single, benchmark).collect()}
+    assert ids(clean) == [i for i in ids(single) if i not in leaking]
+    copies = {r.doc_id: r.copies for r in mixing.mix(spark, clean).collect()}
+    assert ids(mixed) == sorted(i for i, n in copies.items() for _ in range(n))
+    assert ids(placed) == ids(mixed)
+    assert 0 < placed.count() and len(ids(docs)) > len(ids(good)) > len(ids(single)) > len(ids(clean))
+
+
+def test_run_returns_the_last_stage(spark, folder, stages):
+    rows = corpus_pipeline.run(spark, folder)
+    assert sorted(map(str, rows.collect())) == sorted(map(str, stages[-1].collect()))
+
+
+def test_odd_rows_pass_through(spark, folder, odd_docs):
+    docs = odd_docs
+    for _, stage in corpus_pipeline.STAGES:
+        columns, docs = docs.columns, saved(spark, stage(spark, docs, folder))
+        assert set(columns) <= set(docs.columns)
+    assert len(docs.columns) == len(set(docs.columns))
+
+
+def test_empty_table(spark, folder, no_docs):
+    docs = no_docs
+    for _, stage in corpus_pipeline.STAGES:
+        docs = saved(spark, stage(spark, docs, folder))
+    assert docs.count() == 0

@@ -1,0 +1,55 @@
+import re
+
+from orderlens.llm import substring_dedup as sd
+
+
+def plain(rows):
+    """Every unit of a document that an earlier place holds, by a plain dictionary."""
+    first, out = {}, []
+    order = sorted({(i is None, i or 0, t) for i, t in rows if t})
+    for missing, doc_id, text in order:
+        for start, end, norm, words in sd.units(text):
+            place = (missing, doc_id, start)
+            if norm in first and first[norm] != place:
+                out.append((None if missing else doc_id, start, end, words, first[norm][1], first[norm][2]))
+            first.setdefault(norm, place)
+    return sorted(map(str, out))
+
+
+def result(df):
+    return sorted(str((r.doc_id, r.start, r.end, r.words, r.first_doc_id, r.first_start)) for r in df.collect())
+
+
+def test_against_brute_force(spark, make_docs, prose):
+    passage = prose(6, 77)
+    rows = [(i, prose(5, i)) for i in range(20)]
+    rows += [(20 + i, f"{prose(2, 300 + i)} and then {passage} {prose(2, 400 + i)}") for i in range(5)]
+    rows += [(30, prose(3, 1) + "\n" + prose(3, 3)), (31, None), (32, ""), (33, "short. line. here."), (34, rows[2][1])]
+    assert result(sd.repeated_units(spark, make_docs(rows))) == plain(rows)
+
+
+def test_passages_inside_other_text_are_found(spark, make_docs, prose):
+    passage = "Go on. " + prose(4, 9) + " So it is. " + prose(2, 10)
+    rows = [(1, f"something before {passage} something after"), (2, f"{prose(3, 2)} {passage}"), (3, prose(9, 3))]
+    found = sd.repeated_units(spark, make_docs(rows)).collect()
+    assert {r.doc_id for r in found} == {2} and {r.first_doc_id for r in found} == {1}
+    text = rows[1][1]
+    covered = {i for r in found for i in range(r.start, r.end)}
+    assert len(covered) > 0.8 * len(passage)
+    for r in found:
+        assert re.sub(r"\W+", " ", text[r.start : r.end]).strip() in re.sub(r"\W+", " ", rows[0][1])
+
+
+def test_text_without_its_repeats(spark, make_docs, prose):
+    docs = make_docs([(1, prose(4, 1)), (2, prose(2, 5) + "\n" + prose(4, 1)), (3, prose(4, 8))])
+    rows = sd.without_repeats(spark, docs).collect()
+    assert [r.doc_id for r in rows] == [2]
+    assert rows[0].text.strip() == prose(2, 5)
+    assert [(s.start, s.end) for s in rows[0].removed] == [(len(prose(2, 5)) + 1, len(prose(2, 5)) + 1 + len(prose(4, 1)))]
+
+
+def test_odd_rows_and_empty_table(spark, odd_docs, odd_rows, no_docs):
+    found = sd.repeated_units(spark, odd_docs).collect()
+    assert {r.doc_id for r in found} == {8}
+    assert sd.repeated_units(spark, no_docs).collect() == []
+    assert sd.without_repeats(spark, no_docs).collect() == []
