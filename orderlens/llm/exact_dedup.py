@@ -23,6 +23,7 @@ OWNER_ROWS = 1 << 20
 #: Bits of a fingerprint beyond the logarithm of the number of rows: one document in
 #: 2**8 or so is a suspect for nothing.
 SPARE_BITS = 8
+_CODED = 1 << 14  # values coded at a time
 
 
 def golomb_encode(values):
@@ -36,15 +37,23 @@ def golomb_encode(values):
     quotient = gaps >> k
     unary = np.zeros(int(quotient.sum()) + len(gaps), np.uint8)
     unary[np.cumsum(quotient + 1) - 1] = 1
-    rest = ((gaps[:, None] >> np.arange(k)) & 1).astype(np.uint8)
-    return k, np.packbits(unary).tobytes(), np.packbits(rest.reshape(-1)).tobytes()
+    rest = []
+    for at in range(0, len(gaps), _CODED):  # so many codes are whole bytes
+        bits = (gaps[at : at + _CODED, None] >> np.arange(k)) & 1
+        rest.append(np.packbits(bits.astype(np.uint8).reshape(-1)).tobytes())
+    return k, np.packbits(unary).tobytes(), b"".join(rest)
 
 
 def golomb_decode(n, k, unary, rest):
     ones = np.flatnonzero(np.unpackbits(np.frombuffer(unary, np.uint8)))[:n]
-    quotient = np.diff(ones, prepend=-1) - 1
-    bits = np.unpackbits(np.frombuffer(rest, np.uint8))[: n * k].reshape(n, k).astype(np.int64)
-    return np.cumsum((quotient << k) + (bits << np.arange(k)).sum(axis=1))
+    gaps = (np.diff(ones, prepend=-1) - 1) << k
+    rest = np.frombuffer(rest, np.uint8)
+    for at in range(0, n, _CODED):
+        rows = min(_CODED, n - at)
+        first = at * k // 8
+        bits = np.unpackbits(rest[first : first + (rows * k + 7) // 8])[: rows * k].reshape(rows, k)
+        gaps[at : at + rows] += (bits.astype(np.int64) << np.arange(k)).sum(axis=1)
+    return np.cumsum(gaps)
 
 
 _OUTBOX = "block string, owner int, n int, k int, unary binary, rest binary, repeats binary, doc_ids array<long>"
