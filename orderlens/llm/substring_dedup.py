@@ -90,7 +90,8 @@ def repeated_units(spark, docs, id_col="doc_id", text_col="text"):
     found = saved(spark, texts.mapInArrow(_unit_batches, _UNIT))
     place = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("start").alias("start"))
     firsts = found.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    again = found.join(firsts.select("digest", "first"), "digest")
+    # Saved, so that the join stands alone and a frequent digest can be split among tasks.
+    again = found.join(saved(spark, firsts.select("digest", "first")), "digest")
     later = ~(F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("start") == F.col("first.start")))
     return again.where(later | F.col("doc_id").isNull()).select(
         "doc_id", "start", "end", "words", F.col("first.id").alias("first_doc_id"), F.col("first.start").alias("first_start")
