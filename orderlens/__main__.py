@@ -4,13 +4,17 @@ import argparse
 import sys
 from datetime import datetime
 
+from pyspark import StorageLevel
+
 from orderlens.contracts import packaged_contract
 from orderlens.operators.filters import Filters, apply_filters
 from orderlens.plans import explore, quality
 from orderlens.plans.warehouse import Warehouse
+from orderlens.schema import EXPLORED_COLUMNS
 from orderlens.session import get_session
 from orderlens.sources import raw_csv, report
 from orderlens.sources.contract import read_contract
+from orderlens.sources.tables import write_table
 
 BREAKDOWNS = {
     f.__name__: f
@@ -38,16 +42,18 @@ BREAKDOWNS = {
     )
 }
 WITH_TARGET = {"kpi_cards", "monthly_late_rate"}
+ALL_ROWS = 2**31 - 2
 
 
 def transcode(spark, args):
-    raw_csv.transcode(spark, args.source, args.target, args.encoding)
+    raw_csv.transcode(spark, args.source, args.target, args.encoding, args.multiline)
 
 
 def build(spark, args):
-    raw = raw_csv.read_order_lines(spark, args.source, args.encoding)
+    raw = raw_csv.read_order_lines(spark, args.source, args.encoding, args.multiline)
     house = Warehouse(spark, args.warehouse).build(raw, args.strict_dates)
-    house.row_counts(raw_order_lines=raw).show(truncate=False)
+    house.row_counts().show(truncate=False)
+    print(f"lines without an order date, not in the fact: {house.undated_lines()}")
 
 
 def check(spark, args):
@@ -63,30 +69,48 @@ def check(spark, args):
     return 1 if head["failed"] else 0
 
 
-def run_breakdown(spark, args):
+def explore_selection(spark, args):
+    """Print, or write, breakdowns of one selection; several share its lines."""
     values = lambda given: tuple(given) if given else None
     filters = Filters(
         args.month_from, args.month_to, values(args.market), values(args.mode), values(args.segment)
     )
-    selection = apply_filters(Warehouse(spark, args.warehouse).fact(), filters)
-    options = {"late_target": args.late_target} if args.breakdown in WITH_TARGET else {}
-    BREAKDOWNS[args.breakdown](selection, **options).show(args.rows, truncate=False)
+    selection = apply_filters(Warehouse(spark, args.warehouse).fact(), filters).select(EXPLORED_COLUMNS)
+    names = sorted(BREAKDOWNS) if "all" in args.breakdown else list(dict.fromkeys(args.breakdown))
+    if len(names) > 1:
+        # Lost blocks are read from the fact again; what memory cannot hold goes to disk.
+        selection = selection.persist(StorageLevel.MEMORY_AND_DISK)
+    if explore.is_empty(selection):
+        print("no order line matches the filters")
+    for name in names:
+        options = {"late_target": args.late_target} if name in WITH_TARGET else {}
+        result = BREAKDOWNS[name](selection, **options)
+        if args.output:
+            write_table(result, f"{args.output.rstrip('/')}/{name}")
+        else:
+            print(name)
+            result.show(args.rows or ALL_ROWS, truncate=False)
+    if len(names) > 1:
+        selection.unpersist()
 
 
 def arguments(argv):
     parser = argparse.ArgumentParser(prog="orderlens")
+    parser.add_argument("--data-gb", type=float, help="rough size of the input, for the number of shuffle partitions")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     job = jobs.add_parser("transcode", help="rewrite CSV files as UTF-8")
     job.add_argument("source")
     job.add_argument("target")
     job.add_argument("--encoding", default="ISO-8859-1")
+    job.add_argument("--multiline", action="store_true", help="quoted fields hold line breaks")
     job.set_defaults(run=transcode)
 
     job = jobs.add_parser("build", help="rebuild fact and marts from raw CSV files")
     job.add_argument("source")
     job.add_argument("warehouse")
     job.add_argument("--encoding", default="UTF-8")
+    job.add_argument("--multiline", action="store_true", help="quoted fields hold line breaks")
     job.add_argument("--strict-dates", action="store_true", help="stop on a date that does not parse")
     job.set_defaults(run=build)
 
@@ -96,23 +120,24 @@ def arguments(argv):
     job.add_argument("--contract", help="JSON or YAML file; default: the packaged contract")
     job.set_defaults(run=check)
 
-    job = jobs.add_parser("explore", help="show one breakdown of the filtered fact")
+    job = jobs.add_parser("explore", help="show or write breakdowns of the filtered fact")
     job.add_argument("warehouse")
-    job.add_argument("breakdown", choices=sorted(BREAKDOWNS))
+    job.add_argument("breakdown", nargs="+", choices=[*sorted(BREAKDOWNS), "all"])
     job.add_argument("--month-from", metavar="YYYY-MM")
     job.add_argument("--month-to", metavar="YYYY-MM")
     job.add_argument("--market", action="append")
     job.add_argument("--mode", action="append")
     job.add_argument("--segment", action="append")
     job.add_argument("--late-target", type=int, default=explore.DEFAULT_TARGET)
-    job.add_argument("--rows", type=int, default=100, help="rows to print")
-    job.set_defaults(run=run_breakdown)
+    job.add_argument("--rows", type=int, help="rows to print of each; default: all")
+    job.add_argument("--output", help="folder to write the breakdowns to, instead of printing them")
+    job.set_defaults(run=explore_selection)
     return parser.parse_args(argv)
 
 
 def main(argv=None):
     args = arguments(argv)
-    return args.run(get_session(f"orderlens-{args.job}"), args) or 0
+    return args.run(get_session(f"orderlens-{args.job}", data_gb=args.data_gb), args) or 0
 
 
 if __name__ == "__main__":

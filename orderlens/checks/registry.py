@@ -6,6 +6,7 @@ cluster. Variants with missing or odd values alter whole columns by an attribute
 never by sampling rows.
 """
 
+import hashlib
 import re
 
 from pyspark.sql import functions as F
@@ -37,8 +38,9 @@ _houses = {}
 
 
 def _scratch(spark, folder, name):
+    """A folder of this application for a source; the digest keeps look-alike names apart."""
     source = re.sub(r"[^A-Za-z0-9.]+", "_", folder).strip("_")
-    return f"{workspace(spark)}/{source}/{name}"
+    return f"{workspace(spark)}/{source}-{hashlib.md5(folder.encode()).hexdigest()[:8]}/{name}"
 
 
 def _once(spark, folder, part, build):
@@ -91,21 +93,65 @@ def src_csv_scan(spark, folder):
     return with_double_amounts(stage(raw))
 
 
+def _odd_text(lines):
+    """File text with blanks, line breaks, empty fields, odd dates and fractional days.
+
+    What is odd about a line hangs on its payment type, priority, status and segment.
+    """
+    name, date, days = "Product Name", "order date (DateOrders)", "Days for shipping (real)"
+    paid, due = F.col("Type"), F.col("Shipping Mode")
+    odd_name = (
+        F.when(paid == "A", F.concat(F.lit("  "), name, F.lit(" ")))
+        .when(paid == "R", F.concat(name, F.lit("\nsecond, \"line\"")))
+        .otherwise(F.col(name))
+    )
+    odd_date = F.when(due == "5-LOW", None).when(F.col("Order Status") == "P", "n/a").otherwise(F.concat(F.lit("\t"), date))
+    odd_days = F.when(F.col("Customer Segment") == "BUILDING", F.col(days) + 0.5).otherwise(F.col(days))
+    country = F.when(paid == "N", "").otherwise(F.col("Order Country"))
+    return star.as_file_text(lines).withColumns(
+        {name: odd_name, date: odd_date, days: odd_days.cast("string"), "Order Country": country}
+    )
+
+
+def _odd_file(spark, folder):
+    path = _scratch(spark, folder, "odd_csv")
+    lines = _odd_text(star.order_lines(spark, folder))
+    _once(spark, folder, "odd_csv", lambda: raw_csv.write_order_lines(lines, path))
+    return path
+
+
+_ODD_COLUMNS = [
+    "order_item_id", "product_name", "order_country", "order_ts", "order_month", "days_real", "delay_days", "sales",
+]
+
+
+def src_csv_multiline(spark, folder):
+    """Staged rows of a file with quoted line breaks and other odd values."""
+    raw = raw_csv.read_order_lines(spark, _odd_file(spark, folder), multiline=True)
+    return with_double_amounts(stage(raw).select(_ODD_COLUMNS))
+
+
+def fct_from_odd_file(spark, folder):
+    """Fact rows of the same file: those without a date are gone."""
+    raw = raw_csv.read_order_lines(spark, _odd_file(spark, folder), multiline=True)
+    return with_double_amounts(fact(stage(raw)).select(_ODD_COLUMNS))
+
+
 def src_csv_latin1(spark, folder):
-    """Accented text written as ISO-8859-1, rewritten as UTF-8 and scanned."""
+    """Odd and accented text written as ISO-8859-1, scanned, and rewritten as UTF-8 and scanned."""
     latin, utf8 = _scratch(spark, folder, "latin1_csv"), _scratch(spark, folder, "utf8_csv")
-    lines = star.as_file_text(star.order_lines(spark, folder))
-    accented = lines.withColumn("Product Name", F.concat(F.lit("Niñez, \"été\" "), "Product Name"))
+    lines = _odd_text(star.order_lines(spark, folder))
+    accented = lines.withColumn("Product Name", F.concat("Product Name", F.lit("Niñez, \"été\" ")))
 
     def build():
         raw_csv.write_order_lines(accented, latin, "ISO-8859-1")
-        raw_csv.transcode(spark, latin, utf8)
+        raw_csv.transcode(spark, latin, utf8, multiline=True)
 
     _once(spark, folder, "latin1", build)
-    columns = ["order_item_id", "product_name", "order_ts", "sales"]
-    direct = stage(raw_csv.read_order_lines(spark, latin, "ISO-8859-1")).select(F.lit("latin1").alias("file"), *columns)
-    rewritten = stage(raw_csv.read_order_lines(spark, utf8)).select(F.lit("utf8").alias("file"), *columns)
-    return with_double_amounts(direct.unionByName(rewritten))
+    direct = stage(raw_csv.read_order_lines(spark, latin, "ISO-8859-1", multiline=True))
+    rewritten = stage(raw_csv.read_order_lines(spark, utf8, multiline=True))
+    parts = [df.select(F.lit(name).alias("file"), *_ODD_COLUMNS) for name, df in (("latin1", direct), ("utf8", rewritten))]
+    return with_double_amounts(parts[0].unionByName(parts[1]))
 
 
 def src_fact_scan(spark, folder):
@@ -133,7 +179,7 @@ def pipeline_row_counts(spark, folder):
     house = Warehouse(spark, _scratch(spark, folder, "rebuild"))
     _once(spark, folder, "rebuild", lambda: house.build(raw))
     width = F.when(F.col("object") == "raw_order_lines", len(raw.columns))
-    return house.row_counts(raw_order_lines=raw).withColumn("nb_columns", width)
+    return house.row_counts().withColumn("nb_columns", width)
 
 
 # --- staging -------------------------------------------------------------------
@@ -143,6 +189,14 @@ def stg_order_lines(spark, folder):
     return with_double_amounts(stage(star.order_lines(spark, folder)))
 
 
+def stg_large_amounts(spark, folder):
+    """Amounts beyond ten digits for urgent orders, summed per region and staged as text."""
+    lines = star.order_lines(spark, folder)
+    large = F.when(F.col("Shipping Mode") == "1-URGENT", F.col("Sales") * 1_000_000_000).otherwise(F.col("Sales"))
+    text = lines.withColumn("Sales", large.cast("decimal(38,2)").cast("string"))
+    return stage(text).groupBy("order_region", "shipping_mode").agg(M.total("sales").alias("sales"))
+
+
 def stg_parse_dates(spark, folder):
     """Dates as file text, garbage for pending orders and absent for low priority."""
     orders = _orders(spark, folder)
@@ -350,11 +404,12 @@ def contract_rules(spark, folder):
 
 
 def catalog_counts(spark, folder):
-    return warehouse_with_marts(spark, folder).row_counts(raw_order_lines=star.order_lines(spark, folder))
+    return warehouse_with_marts(spark, folder).row_counts()
 
 
 def catalog_tables(spark, folder):
-    known = {"raw_order_lines": star.order_lines(spark, folder), "fct_sales": _sales_fact(spark, folder)}
+    house = warehouse(spark, folder)
+    known = {"raw_order_lines": house.raw(), "fct_sales": house.fact()}
     return catalog.table_catalog(packaged_contract("star"), known)
 
 
@@ -367,16 +422,19 @@ QUERIES = {
     # sources and sinks
     "src_csv_scan": src_csv_scan,
     "src_csv_latin1": src_csv_latin1,
+    "src_csv_multiline": src_csv_multiline,
     "src_fact_scan": src_fact_scan,
     "sink_fact_roundtrip": sink_fact_roundtrip,
     "column_dictionary": column_dictionary,
     "pipeline_row_counts": pipeline_row_counts,
     # staging and fact
     "stg_order_lines": stg_order_lines,
+    "stg_large_amounts": stg_large_amounts,
     "stg_parse_dates": stg_parse_dates,
     "stg_month_year": stg_month_year,
     "stg_delay_flags": stg_delay_flags,
     "fct_sales": fct_sales,
+    "fct_from_odd_file": fct_from_odd_file,
     "fn_safe_ratio": fn_safe_ratio,
     "fn_bands": fn_bands,
     # marts

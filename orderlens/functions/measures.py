@@ -50,14 +50,6 @@ def mart_on_time_rate():
     return round_to(percent_of(F.count_if("is_on_time"), F.count_if(kept())), 1)
 
 
-def mart_margin():
-    return round_to(percent_of(total("profit"), F.sum("sales")), 1)
-
-
-def mart_total(column):
-    return round_to(total(column), 2)
-
-
 # --- exploration definitions ---------------------------------------------------
 
 

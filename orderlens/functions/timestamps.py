@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 
 # Month, day, year and minute of a raw date; any other text as a whole.
-_RAW_TIME = r"(?s)^(?:(\d{1,2})/(\d{1,2})/(\d{2,4})\s+(\d{1,2}):(\d{1,2})|.*)$"
+_RAW_TIME = r"(?s)^(?:\s*(\d{1,2})/(\d{1,2})/(\d{2,4})\s+(\d{1,2}):(\d{1,2})\s*|.*)$"
 
 
 def parse_minutes(text, strict=False):
@@ -18,7 +18,7 @@ def parse_minutes(text, strict=False):
     without digits) and cast. With ``strict`` a text that is present but not a
     valid time stops the job.
     """
-    iso = F.regexp_replace(F.trim(text), _RAW_TIME, "00$3-$1-$2 $4:$5:00")
+    iso = F.regexp_replace(text, _RAW_TIME, "00$3-$1-$2 $4:$5:00")
     parsed = iso.try_cast("timestamp_ntz")
     if not strict:
         return parsed

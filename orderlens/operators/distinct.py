@@ -3,20 +3,31 @@
 from pyspark.sql import functions as F
 
 
+def distinct_counts(df, keys, column, name):
+    """The number of distinct non-NULL values of ``column`` per group."""
+    pairs = df.select(*keys, column).where(F.col(column).isNotNull()).distinct()
+    return pairs.groupBy(*keys).agg(F.count("*").alias(name))
+
+
+def with_counts(totals, counts, keys, name):
+    """Two grouped results side by side, NULL keys included.
+
+    They meet in a union, where each group has at most one row from either side.
+    """
+    both = totals.unionByName(counts, allowMissingColumns=True)
+    others = [c for c in totals.columns if c not in keys]
+    return both.groupBy(*keys).agg(
+        F.coalesce(F.max(name), F.lit(0)).alias(name), *[F.max(c).alias(c) for c in others]
+    )
+
+
 def with_distinct_count(df, keys, column, name, aggregates):
     """Group by ``keys`` with ``aggregates`` and the distinct non-NULL ``column``.
 
     Asked for in one aggregation, Spark would first group by keys and column, and
     carry every running sum through that large shuffle. Here only the distinct
     pairs go through it; the other aggregates shrink to one row per group before
-    their shuffle. The two small results meet in a union, where each group has at
-    most one row from either side, NULL keys included.
+    their shuffle. The price is a second scan of two or three columns.
     """
     totals = df.groupBy(*keys).agg(*aggregates)
-    pairs = df.select(*keys, column).where(F.col(column).isNotNull()).distinct()
-    counts = pairs.groupBy(*keys).agg(F.count("*").alias(name))
-    both = totals.unionByName(counts, allowMissingColumns=True)
-    others = [c for c in totals.columns if c not in keys]
-    return both.groupBy(*keys).agg(
-        F.coalesce(F.max(name), F.lit(0)).alias(name), *[F.max(c).alias(c) for c in others]
-    )
+    return with_counts(totals, distinct_counts(df, keys, column, name), keys, name)

@@ -1,6 +1,5 @@
 """Histograms of whole-number columns."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
@@ -11,13 +10,14 @@ def value_counts(df, column, name="nb_lines"):
 def equal_width(df, column, bins=20):
     """At most ``bins`` equal bins between the smallest and largest value.
 
-    Lines are first counted per distinct value, so the bounds come from the small
-    counted table and the lines are read once.
+    Lines are first counted per distinct value; the bounds are one row of the small
+    counted table, however many distinct values there are.
     """
     counted = value_counts(df, column)
-    everything = Window.partitionBy()
-    low, high = F.min(column).over(everything), F.max(column).over(everything)
-    bounded = counted.withColumns({"_low": low.cast("double"), "_high": high.cast("double")})
+    ends = counted.select(F.struct(F.min(column).alias("low"), F.max(column).alias("high"))).scalar()
+    bounded = counted.withColumn("_ends", ends).withColumns(
+        {"_low": F.col("_ends.low").cast("double"), "_high": F.col("_ends.high").cast("double")}
+    )
     spread = F.col("_high") - F.col("_low")
     slot = F.floor(F.try_divide((F.col(column) - F.col("_low")) * bins, spread))
     # The largest value closes the last bin; a single value makes a single bin.

@@ -7,12 +7,22 @@ from orderlens import schema as S
 from orderlens.functions.timestamps import month_start, parse_minutes
 
 
-def _whole(raw, name):
-    """Integer column; fractional input is rounded half to even, garbage is NULL."""
-    kind = raw.schema[name].dataType
-    if isinstance(kind, T.IntegralType):
-        return F.col(f"`{name}`").cast("int")
-    return F.rint(F.col(f"`{name}`").try_cast("double")).try_cast("int")
+def _fitting(name, value):
+    """``value``, or an error that stops the job where the column holds what it cannot."""
+    column = F.col(f"`{name}`")
+    complaint = F.concat(F.lit(f"{name} does not fit: "), column.cast("string"))
+    return F.when(column.isNull() | value.isNotNull(), value).otherwise(F.raise_error(complaint))
+
+
+def _whole(raw, name, kind="int"):
+    """Integer column; fractional input is rounded half to even."""
+    column = F.col(f"`{name}`")
+    if isinstance(raw.schema[name].dataType, T.IntegralType):
+        return _fitting(name, column.try_cast(kind))
+    rounded = F.rint(column.try_cast("double")).try_cast(kind)
+    if isinstance(raw.schema[name].dataType, T.StringType):
+        rounded = F.coalesce(column.try_cast(kind), rounded)
+    return _fitting(name, rounded)
 
 
 def _time(raw, name, strict):
@@ -22,7 +32,10 @@ def _time(raw, name, strict):
 
 
 def _typed(name):
-    return F.col(f"`{name}`").try_cast(S.RAW_TYPES[name])
+    kind = S.RAW_TYPES[name]
+    if isinstance(kind, T.StringType):
+        return F.col(f"`{name}`").cast(kind)
+    return _fitting(name, F.col(f"`{name}`").try_cast(kind))
 
 
 def stage(raw, strict_dates=False):
@@ -30,11 +43,12 @@ def stage(raw, strict_dates=False):
 
     Names, e-mails, addresses and other personal fields of the raw file are not
     selected, so they never leave the scan. Dates are parsed once in the first
-    projection and derived from in the second.
+    projection and derived from in the second. A number that does not parse, or is
+    too large for its column, stops the job; no amount turns into NULL.
     """
     typed = raw.select(
-        _typed("Order Id").alias("order_id"),
-        _typed("Order Item Id").alias("order_item_id"),
+        _whole(raw, "Order Id", "long").alias("order_id"),
+        _whole(raw, "Order Item Id", "long").alias("order_item_id"),
         _time(raw, "order date (DateOrders)", strict_dates).alias("order_ts"),
         _time(raw, "shipping date (DateOrders)", strict_dates).alias("shipping_ts"),
         _whole(raw, "Days for shipping (real)").alias("days_real"),

@@ -181,12 +181,9 @@ def department_top_sales(selection, k=TOP_DEPARTMENTS):
 
 
 def sales_quantiles(selection, group="category_name", quantiles=(0.3, 0.4)):
-    """Interpolated quantiles of the sales per group to the cent, one row."""
+    """Interpolated quantiles of the sales per group, one row."""
     grouped = _by(selection, group).agg(_sales())
-    cuts = [
-        M.round_to(F.percentile("sales", F.lit(q)), 2).alias(f"q{round(q * 100)}") for q in quantiles
-    ]
-    return grouped.agg(*cuts)
+    return ranking.quantiles(grouped, "sales", {f"q{round(q * 100)}": q for q in quantiles})
 
 
 def category_margin_topflop(selection, group="category_name"):

@@ -1,78 +1,133 @@
 """The four aggregate marts over the fact.
 
-Lines shrink to one row per group before they are shuffled; only the distinct
-order counts need a shuffle of their own. NULL group keys are kept, and sorted last.
+Every figure of a mart follows from sums and counts, so a mart is its keys, a final
+projection and an order. It can be made from the lines themselves or, in a rebuild,
+rolled up from one summary of the fact for all marts. Only distinct orders need more:
+they are counted from the distinct orders per place and month. NULL group keys are
+kept, and sorted last.
 """
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import functions as F
 
 from orderlens.functions import measures as M
-from orderlens.operators.distinct import with_distinct_count
-
-
-def monthly_performance(fact):
-    measures = [
-        F.count("*").alias("nb_lines"),
-        M.mart_total("sales").alias("sales"),
-        M.mart_total("profit").alias("profit"),
-        M.mart_margin().alias("margin_pct"),
-        M.mart_late_rate().alias("late_rate_pct"),
-        M.mart_on_time_rate().alias("on_time_rate_pct"),
-        M.round_to(F.avg("delay_days"), 2).alias("avg_delay_days"),
-    ]
-    keys = ["order_month", "order_year"]
-    months = with_distinct_count(fact, keys, "order_id", "nb_orders", measures)
-    return months.orderBy(F.col("order_month").asc_nulls_last())
-
-
-def shipping_mode(fact):
-    return (
-        fact.groupBy("shipping_mode")
-        .agg(
-            F.count("*").alias("nb_lines"),
-            M.mart_late_rate().alias("late_rate_pct"),
-            M.round_to(F.avg("days_real"), 2).alias("avg_days_real"),
-            M.round_to(F.avg("days_scheduled"), 2).alias("avg_days_scheduled"),
-            M.round_to(F.avg("delay_days"), 2).alias("avg_delay_days"),
-            M.mart_total("sales").alias("sales"),
-            M.mart_total("profit").alias("profit"),
-        )
-        .orderBy(F.col("late_rate_pct").desc(), F.col("shipping_mode").asc_nulls_last())
-    )
-
-
-def category_finance(fact):
-    discount = M.round_to(100.0 * M.mean_of_decimal("discount_rate"), 1)
-    return (
-        fact.groupBy("department_name", "category_name")
-        .agg(
-            F.count("*").alias("nb_lines"),
-            F.sum("quantity").alias("units_sold"),
-            M.mart_total("sales").alias("sales"),
-            M.mart_total("profit").alias("profit"),
-            M.mart_margin().alias("margin_pct"),
-            discount.alias("avg_discount_pct"),
-            M.mart_late_rate().alias("late_rate_pct"),
-        )
-        .orderBy(
-            F.col("sales").desc(),
-            F.col("department_name").asc_nulls_last(),
-            F.col("category_name").asc_nulls_last(),
-        )
-    )
-
-
-def region(fact):
-    measures = [
-        M.mart_total("sales").alias("sales"),
-        M.mart_total("profit").alias("profit"),
-        M.mart_margin().alias("margin_pct"),
-        M.mart_late_rate().alias("late_rate_pct"),
-    ]
-    keys = ["market", "order_region"]
-    regions = with_distinct_count(fact, keys, "order_id", "nb_orders", measures)
-    return regions.orderBy(F.col("sales").desc(), *[F.col(k).asc_nulls_last() for k in keys])
+from orderlens.operators.distinct import distinct_counts, with_counts, with_distinct_count
+
+_SUMMED = ("sales", "profit", "quantity")
+_AVERAGED = ("delay_days", "days_real", "days_scheduled", "discount_rate")
+_KEYS = (
+    "order_month order_year shipping_mode department_name category_name market order_region".split()
+)
+
+
+def _additive():
+    """Sums and counts of lines from which all figures follow, by name."""
+    sums = {
+        "nb_lines": F.count("*"),
+        "late": F.count_if("is_late"),
+        "on_time": F.count_if("is_on_time"),
+        "kept": F.count_if(M.kept()),
+    }
+    sums |= {f"{c}_sum": F.sum(c) for c in (*_SUMMED, *_AVERAGED)}
+    return sums | {f"{c}_n": F.count(c) for c in _AVERAGED}
+
+
+def summarize(fact):
+    """One row per combination of the marts' keys: far fewer than lines."""
+    return fact.groupBy(*_KEYS).agg(*[c.alias(n) for n, c in _additive().items()])
+
+
+def order_places(fact):
+    """The distinct orders of every month, market and region."""
+    return fact.select("order_month", "order_year", "market", "order_region", "order_id").distinct()
+
+
+def _amount(name):
+    return M.round_to(F.col(f"{name}_sum").cast("double"), 2).alias(name)
+
+
+def _mean(name):
+    return M.round_to(M.safe_ratio(F.col(f"{name}_sum"), F.col(f"{name}_n")), 2).alias(f"avg_{name}")
+
+
+def _rate(name, alias):
+    return M.round_to(M.percent_of(F.col(name), F.col("kept")), 1).alias(alias)
+
+
+def _margin():
+    return M.round_to(M.percent_of(F.col("profit_sum"), F.col("sales_sum")), 1).alias("margin_pct")
+
+
+def _last(name):
+    return F.col(name).asc_nulls_last()
+
+
+@dataclass(frozen=True)
+class Mart:
+    """Keys, figures and order of a mart; the latter two as functions, for want of a session."""
+
+    keys: tuple
+    figures: Callable
+    order: Callable
+    with_orders: bool = False
+
+    def __call__(self, fact):
+        """The mart from order lines."""
+        sums = [c.alias(n) for n, c in _additive().items()]
+        if self.with_orders:
+            return self._finished(with_distinct_count(fact, self.keys, "order_id", "nb_orders", sums))
+        return self._finished(fact.groupBy(*self.keys).agg(*sums))
+
+    def rolled_up(self, summary, orders):
+        """The mart from ``summarize`` and ``order_places``."""
+        totals = summary.groupBy(*self.keys).agg(*[F.sum(n).alias(n) for n in _additive()])
+        if self.with_orders:
+            totals = with_counts(totals, distinct_counts(orders, self.keys, "order_id", "nb_orders"), self.keys, "nb_orders")
+        return self._finished(totals)
+
+    def _finished(self, grouped):
+        orders = ["nb_orders"] if self.with_orders else []
+        return grouped.select(*self.keys, *orders, *self.figures()).orderBy(*self.order())
+
+
+def _discount():
+    mean = M.safe_ratio(F.col("discount_rate_sum"), F.col("discount_rate_n"))
+    return M.round_to(100.0 * mean, 1).alias("avg_discount_pct")
+
 
+monthly_performance = Mart(
+    ("order_month", "order_year"),
+    lambda: [
+        "nb_lines", _amount("sales"), _amount("profit"), _margin(), _rate("late", "late_rate_pct"),
+        _rate("on_time", "on_time_rate_pct"), _mean("delay_days"),
+    ],
+    lambda: [_last("order_month")],
+    with_orders=True,
+)
+shipping_mode = Mart(
+    ("shipping_mode",),
+    lambda: [
+        "nb_lines", _rate("late", "late_rate_pct"), _mean("days_real"), _mean("days_scheduled"),
+        _mean("delay_days"), _amount("sales"), _amount("profit"),
+    ],
+    lambda: [F.col("late_rate_pct").desc(), _last("shipping_mode")],
+)
+category_finance = Mart(
+    ("department_name", "category_name"),
+    lambda: [
+        "nb_lines", F.col("quantity_sum").alias("units_sold"), _amount("sales"), _amount("profit"),
+        _margin(), _discount(), _rate("late", "late_rate_pct"),
+    ],
+    lambda: [F.col("sales").desc(), _last("department_name"), _last("category_name")],
+)
+region = Mart(
+    ("market", "order_region"),
+    lambda: [_amount("sales"), _amount("profit"), _margin(), _rate("late", "late_rate_pct")],
+    lambda: [F.col("sales").desc(), _last("market"), _last("order_region")],
+    with_orders=True,
+)
 
 MARTS = {
     "mart_monthly_performance": monthly_performance,

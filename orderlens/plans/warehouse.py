@@ -5,9 +5,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.operators.staging import fact, stage
+from orderlens.plans import marts
 from orderlens.plans.marts import MARTS
 from orderlens.sources.tables import count_rows, read_fact, read_table, write_fact, write_table
 
+RAW_TABLE = "raw_order_lines"
 STAGING_VIEW = "stg_sales"
 FACT_TABLE = "fct_sales"
 
@@ -28,23 +30,38 @@ class Warehouse:
         return f"{self.folder.rstrip('/')}/{name}"
 
     def build(self, raw: DataFrame, strict_dates=False):
-        """Replace everything. Marts read the written fact, not its lineage."""
+        """Replace everything. Each layer reads the written one below, not its lineage."""
         self.build_fact(raw, strict_dates)
         self.build_marts()
         return self
 
     def build_fact(self, raw, strict_dates=False):
-        staged = stage(raw, strict_dates)
+        """Replace the raw table and the fact; the source is read once."""
+        write_table(raw, self._path(RAW_TABLE))
+        staged = stage(self.raw(), strict_dates)
         staged.createOrReplaceTempView(STAGING_VIEW)
         write_fact(fact(staged), self._path(FACT_TABLE))
         self._fact = None
         return self
 
     def build_marts(self):
+        """Replace the marts, all rolled up from one summary of the fact."""
+        summary = marts.summarize(self.fact()).persist()
+        orders = marts.order_places(self.fact()).persist()
         for name, mart in MARTS.items():
-            write_table(mart(self.fact()), self._path(name))
+            write_table(mart.rolled_up(summary, orders), self._path(name))
+        summary.unpersist()
+        orders.unpersist()
         return self
 
+    def raw(self):
+        """The source's lines as they came, whatever their columns."""
+        return read_table(self.spark, self._path(RAW_TABLE))
+
+    def undated_lines(self):
+        """Number of raw lines that the fact lacks because they have no order date."""
+        return self.raw().count() - self.fact().count()
+
     def fact(self):
         if self._fact is None:
             self._fact = read_fact(self.spark, self._path(FACT_TABLE))
@@ -54,8 +71,8 @@ class Warehouse:
         return read_table(self.spark, self._path(name))
 
     def tables(self):
-        return {FACT_TABLE: self.fact(), **{name: self.mart(name) for name in MARTS}}
+        return {RAW_TABLE: self.raw(), FACT_TABLE: self.fact(), **{name: self.mart(name) for name in MARTS}}
 
-    def row_counts(self, **others):
-        """Rows per object; pass further tables, such as the raw one, by name."""
-        return count_rows({**others, **self.tables()})
+    def row_counts(self):
+        """Rows per object, raw table included."""
+        return count_rows(self.tables())

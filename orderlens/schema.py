@@ -2,15 +2,16 @@
 
 from pyspark.sql import types as T
 
-# Money keeps eight decimals: every digit of the source files survives, one line
-# may reach 9 999 999 999, and Spark widens a sum to decimal(28,8), so totals are
-# exact and do not depend on how the rows were partitioned.
-MONEY = T.DecimalType(18, 8)
-RATE = T.DecimalType(18, 12)
+# Money keeps eight decimals: every digit of the source files survives, a line may
+# have twenty digits before the point, and a sum has ten more, up to the largest
+# decimal there is. Totals are exact and do not depend on how rows were partitioned.
+MONEY = T.DecimalType(28, 8)
+RATE = T.DecimalType(28, 12)
 
 # --- fixed values: columns of the raw order-line file used by staging ----------
-# Whole-number fields are read as doubles so that "3.0" or "2.5" still parse;
-# staging rounds them half to even.
+# The types are those of staging; files are read as text and typed there.
+# Whole-number fields are doubles so that "3.0" or "2.5" still parse; staging rounds
+# them half to even.
 RAW_TYPES = {
     "Order Id": T.LongType(),
     "Order Item Id": T.LongType(),

@@ -12,6 +12,9 @@ OTHER_SCHEDULED_DAYS = 4
 def order_lines(spark, folder):
     """Raw-shaped order lines, with real timestamps instead of date text.
 
+    A line whose part, supplier, order, customer or nation is absent stays, without
+    what they would tell.
+
     Every right side is a stored table or, for the order headers, a join kept at
     order grain, so the line table is shuffled at most once per key: part, supplier,
     order. No join carries a hint: Catalyst broadcasts a table whose stored size is
@@ -21,9 +24,9 @@ def order_lines(spark, folder):
     table = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
     headers = (
         table("orders")
-        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select(
             "o_orderkey",
             "o_orderdate",
@@ -39,10 +42,10 @@ def order_lines(spark, folder):
     )
     lines = (
         table("lineitem")
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(countries, F.col("s_nationkey") == F.col("country_key"))
-        .join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
+        .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        .join(countries, F.col("s_nationkey") == F.col("country_key"), "left")
+        .join(headers, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     )
     return lines.withColumns(_measures()).withColumns(_amounts()).select(_raw_columns())
 
@@ -84,7 +87,7 @@ def _amounts():
 def _raw_columns():
     ratio = F.try_divide(F.col("profit").cast("double"), F.col("order_total").cast("double"))
     columns = {
-        "Order Id": F.col("o_orderkey"),
+        "Order Id": F.col("l_orderkey"),
         "Order Item Id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
         "order date (DateOrders)": F.col("o_orderdate"),
         "shipping date (DateOrders)": F.col("shipped"),

@@ -5,7 +5,9 @@ import json
 import pytest
 
 from orderlens.__main__ import BREAKDOWNS, main
+from orderlens.plans.warehouse import Warehouse
 from orderlens.schema import CANCELED, LATE, ON_TIME, RAW_TYPES
+from orderlens.sources.star import order_lines
 
 
 @pytest.fixture(scope="module")
@@ -67,6 +69,43 @@ def test_every_breakdown_shows_rows(name, built, capsys):
     assert capsys.readouterr().out.count("\n|") >= 2
 
 
+def test_all_breakdowns_are_written(built, tmp_path, spark, capsys):
+    assert main(["explore", str(built / "house"), "all", "--output", str(tmp_path / "out")]) == 0
+    assert {p.name for p in (tmp_path / "out").iterdir()} == set(BREAKDOWNS)
+    assert spark.read.parquet(str(tmp_path / "out" / "market_summary")).count() == 1
+    assert main(["explore", str(built / "house"), "market_summary", "--market", "Nowhere", "--output", str(tmp_path / "none")]) == 0
+    assert "no order line matches" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "none" / "market_summary")).count() == 0
+
+
+def test_nothing_is_left_out_of_a_listing(spark, folder, tmp_path, capsys):
+    house = Warehouse(spark, str(tmp_path / "house")).build_fact(order_lines(spark, folder))
+    want = BREAKDOWNS["monthly_sales_by_segment"](house.fact()).count()
+    assert want > 100
+    main(["explore", str(tmp_path / "house"), "monthly_sales_by_segment"])
+    assert capsys.readouterr().out.count("\n|") - 1 == want
+
+
+def test_rules_on_the_raw_table(built, tmp_path):
+    contract = {"tables": [{"name": "raw_order_lines", "columns": [{"name": "Order Id", "tests": ["not_null"]}]}]}
+    (tmp_path / "c.json").write_text(json.dumps(contract))
+    assert main(["check", str(built / "house"), str(tmp_path / "r"), "--contract", str(tmp_path / "c.json")]) == 0
+
+
+def test_both_ways_in_give_the_same_categories(spark, tmp_path):
+    names = list(RAW_TYPES)
+    row = {"Order Id": "1", "order date (DateOrders)": "1/5/2015 9:07", "Sales": "1", "Product Name": '"two\nlines"'}
+    lines = [",".join({**row, "Category Name": c}.get(n, "") for n in names) for c in ("Baby ", "Baby", "é")]
+    (tmp_path / "latin.csv").write_bytes("\n".join([",".join(names), *lines]).encode("latin-1"))
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        main(["build", str(tmp_path / "latin.csv"), str(tmp_path / "x"), "--encoding", "ISO-8859-1"])
+    main(["transcode", str(tmp_path / "latin.csv"), str(tmp_path / "utf8"), "--multiline"])
+    main(["build", str(tmp_path / "latin.csv"), str(tmp_path / "a"), "--encoding", "ISO-8859-1", "--multiline"])
+    main(["build", str(tmp_path / "utf8"), str(tmp_path / "b"), "--multiline"])
+    a, b = (sorted(map(str, Warehouse(spark, str(tmp_path / h)).mart("mart_category_finance").collect())) for h in "ab")
+    assert a == b and len(a) == 3
+
+
 def test_filters_and_target_are_applied(built, capsys):
     main(["explore", str(built / "house"), "monthly_late_rate", "--month-to", "2015-01", "--market", "Europe", "--late-target", "35"])
     shown = capsys.readouterr().out

@@ -1,6 +1,10 @@
 import datetime as dt
 import json
+import subprocess
+import sys
+import time
 from decimal import Decimal
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -10,9 +14,10 @@ from orderlens import schema as S
 from orderlens.contracts import packaged_contract
 from orderlens.operators.staging import fact, stage
 from orderlens.plans.warehouse import Warehouse
-from orderlens.session import workspace
+from orderlens.session import initial_partitions, workspace
 from orderlens.sources import contract, raw_csv, report, tables
 
+ROOT = str(Path(__file__).resolve().parents[1])
 HEADER = ["Order Id", "Customer Email", "Sales", "Product Name", "order date (DateOrders)", "Order Item Quantity"]
 
 
@@ -21,26 +26,51 @@ def write(path, lines, encoding="utf-8"):
     return str(path)
 
 
-def test_columns_are_found_by_name_and_typed(spark, tmp_path):
+def test_columns_are_found_by_name(spark, tmp_path):
     path = write(tmp_path / "a.csv", [",".join(HEADER), '7,x@y.z,12.5,"Tent, ""big""",1/5/2015 9:07,3'])
     raw = raw_csv.read_order_lines(spark, path)
     assert raw.columns == HEADER
-    kinds = {f.name: f.dataType.simpleString() for f in raw.schema}
-    assert kinds["Order Id"] == "bigint" and kinds["Sales"] == "decimal(18,8)" and kinds["Customer Email"] == "string"
+    assert {f.dataType.simpleString() for f in raw.schema} == {"string"}
     row = raw.first()
-    assert row["Product Name"] == 'Tent, "big"' and row["Sales"] == Decimal("12.5") and row["Order Item Quantity"] == 3.0
+    assert row["Product Name"] == 'Tent, "big"' and row["Sales"] == "12.5" and row["Order Item Quantity"] == "3"
 
 
 def test_unpadded_and_padded_headers_and_empty_fields(spark, tmp_path):
-    path = write(tmp_path / "a.csv", ["Order Id  , Sales,Product Name", "1,,", "2,1.25,Tent"])
+    path = write(tmp_path / "a.csv", ["Order Id  , Sales,Product Name", "1,,", '2,1.25,Tent', '3,"",""'])
     rows = raw_csv.read_order_lines(spark, path).orderBy("Order Id").collect()
-    assert [tuple(r) for r in rows] == [(1, None, None), (2, Decimal("1.25"), "Tent")]
+    assert [tuple(r) for r in rows] == [("1", None, None), ("2", "1.25", "Tent"), ("3", None, None)]
 
 
-def test_scan_reads_only_selected_columns(spark, tmp_path):
+def test_scan_hands_on_only_selected_columns(spark, tmp_path):
     path = write(tmp_path / "a.csv", [",".join(HEADER), "7,x@y.z,12.5,Tent,1/5/2015 9:07,3"])
     plan = raw_csv.read_order_lines(spark, path).select("Sales")._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<Sales:decimal(18,8)>" in plan
+    assert "ReadSchema: struct<Sales:string>" in plan
+
+
+@pytest.mark.parametrize("line", ["1,2.5", "1,2.5,Tent,more", '1,2.5,"Tent\nbig"'])
+def test_records_with_another_number_of_fields_are_refused(spark, tmp_path, line):
+    path = write(tmp_path / "a.csv", ["Order Id,Sales,Product Name", "7,1,Boat", line, "8,2,Tent"])
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        raw_csv.read_order_lines(spark, path).select("Sales").collect()
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    lines = ["Order Id,Sales,Product Name", '1,2.5,"Tent\nbig"', '2,1,"  Boat "', "3,4,Tent"]
+    path = write(tmp_path / "a.csv", lines)
+    rows = raw_csv.read_order_lines(spark, path, multiline=True).collect()
+    assert [(r["Order Id"], r["Product Name"]) for r in rows] == [("1", "Tent\nbig"), ("2", "  Boat "), ("3", "Tent")]
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        raw_csv.read_order_lines(spark, path).collect()
+
+
+def test_transcoding_keeps_blanks_and_line_breaks(spark, tmp_path):
+    lines = ["Order Id,Category Name,Product Name", '1,Baby ,"é\n ""b"" "', '2,Baby,""', "3, Baby,"]
+    source = write(tmp_path / "latin.csv", lines, "latin-1")
+    raw_csv.transcode(spark, source, str(tmp_path / "utf8"), multiline=True)
+    direct = raw_csv.read_order_lines(spark, source, "ISO-8859-1", multiline=True).collect()
+    again = raw_csv.read_order_lines(spark, str(tmp_path / "utf8"), multiline=True).collect()
+    assert again == direct
+    assert [tuple(r) for r in direct] == [("1", "Baby ", 'é\n "b" '), ("2", "Baby", None), ("3", " Baby", None)]
 
 
 def test_files_with_other_headers_are_refused(spark, tmp_path):
@@ -86,11 +116,12 @@ def test_whole_rebuild_from_a_small_file(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path / "house")).build(raw_csv.read_order_lines(spark, path))
     assert spark.table("stg_sales").count() == 3
     assert house.fact().columns == S.FACT_COLUMNS and house.fact().count() == 2
+    assert house.undated_lines() == 1 and house.raw().columns == names
     month = house.mart("mart_monthly_performance").first()
     assert month["order_month"] == dt.datetime(2015, 1, 1)
     assert (month["nb_orders"], month["nb_lines"], month["sales"], month["margin_pct"]) == (1, 2, 201.0, 10.0)
     assert {r["object"]: r["nb_rows"] for r in house.row_counts().collect()} == {
-        "fct_sales": 2, "mart_monthly_performance": 1, "mart_shipping_mode": 1,
+        "raw_order_lines": 3, "fct_sales": 2, "mart_monthly_performance": 1, "mart_shipping_mode": 1,
         "mart_category_finance": 1, "mart_region": 1,
     }
 
@@ -178,6 +209,34 @@ def test_workspace_is_never_local_on_a_cluster():
     assert workspace(stub("local[2]")) == workspace(stub("local[2]"))
 
 
+def test_look_alike_sources_get_folders_of_their_own(spark):
+    from orderlens.checks.registry import _scratch
+
+    assert len({_scratch(spark, folder, "x") for folder in ("/a/b-c", "/a/b_c", "/a/b/c")}) == 3
+
+
+def test_workspace_is_gone_when_the_application_ends(tmp_path):
+    code = (
+        "from orderlens.session import get_session, workspace\n"
+        f"s = get_session('t', 'local[1]', **{{'spark.ui.enabled': 'false', 'spark.checkpoint.dir': 'file://{tmp_path}/shared'}})\n"
+        "path = workspace(s)\n"
+        "s.range(3).write.parquet(path + '/x')\n"
+        "print(s.read.parquet(path + '/x').count())\n"
+        "s.stop()\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, timeout=120)
+    assert done.stdout.strip().endswith("3"), done.stderr[-500:]
+    for _ in range(50):
+        if not list((tmp_path / "shared").glob("orderlens/*")):
+            return
+        time.sleep(0.2)
+    raise AssertionError("scratch tables stayed")
+
+
+def test_initial_partitions_follow_the_data():
+    assert initial_partitions(1) == 200 and initial_partitions(100 * 1024) == 819_200
+
+
 def test_rebuilt_fact_is_listed_again(spark, tmp_path):
     names = list(S.RAW_TYPES)
     row = {"Order Id": "1", "order date (DateOrders)": "1/5/2015 9:07"}

@@ -37,6 +37,7 @@ def raw_frame(spark, *rows, schema=S.RAW_TYPES):
         ("1/5/2015 9:07", NINE),
         ("01/05/2015 09:07", NINE),
         (" 1/5/2015  9:07 ", NINE),
+        ("\t1/5/2015 9:07\n", NINE),
         ("12/31/2017 23:59", dt.datetime(2017, 12, 31, 23, 59)),
         ("2/29/2016 0:00", dt.datetime(2016, 2, 29)),
         ("2/29/2015 0:00", None),
@@ -112,11 +113,44 @@ def test_fractional_days_round_half_to_even(spark, given, expected):
     assert stage(raw_frame(spark, {"Days for shipping (real)": given})).first()["days_real"] == expected
 
 
-def test_text_numbers_that_do_not_parse_are_null(spark):
-    kinds = dict(S.RAW_TYPES, **{"Sales": T.StringType(), "Order Item Quantity": T.StringType()})
-    rows = [{"Sales": "12.5", "Order Item Quantity": "3"}, {"Sales": "many", "Order Item Quantity": "few"}]
-    staged = stage(raw_frame(spark, *rows, schema=kinds)).select("sales", "quantity").collect()
-    assert [tuple(r) for r in staged] == [(Decimal("12.5"), 3), (None, None)]
+AS_TEXT = {name: T.StringType() for name in S.RAW_TYPES}
+
+
+def text_frame(spark, **values):
+    given = {"Order Id": "1", "Order Item Id": "10", "Sales": "327.75", "Order Item Quantity": "1"}
+    given |= {"Days for shipping (real)": "3", "Days for shipment (scheduled)": "4", "Late_delivery_risk": "0"}
+    return raw_frame(spark, given | values, schema=AS_TEXT)
+
+
+@pytest.mark.parametrize(
+    "name, text",
+    [
+        ("Sales", "many"),
+        ("Sales", " "),
+        ("Sales", "1e21"),
+        ("Order Item Discount Rate", "12%"),
+        ("Order Item Quantity", "few"),
+        ("Order Item Quantity", "3000000000"),
+        ("Days for shipping (real)", "soon"),
+        ("Order Id", "x1"),
+        ("Order Id", "99999999999999999999"),
+        ("Order Item Profit Ratio", "a"),
+    ],
+)
+def test_a_number_that_does_not_fit_stops_the_job(spark, name, text):
+    with pytest.raises(PySparkException, match="does not fit"):
+        stage(text_frame(spark, **{name: text})).collect()
+
+
+def test_numbers_as_text(spark):
+    large = "12345678901234567890.5"
+    row = stage(text_frame(spark, **{"Sales": large, "Order Id": "7.0", "Days for shipping (real)": "2.5", "Order Item Quantity": None})).first()
+    assert row["sales"] == Decimal(large) and row["order_id"] == 7 and row["days_real"] == 2 and row["quantity"] is None
+
+
+def test_large_amounts_are_in_the_sums(spark):
+    rows = [{"Sales": Decimal(v), "Order Item Id": i} for i, v in enumerate(("12345678901.5", "10", "1"))]
+    assert stage(raw_frame(spark, *rows)).agg(F.sum("sales")).first()[0] == Decimal("12345678912.5")
 
 
 def test_fact_keeps_dated_lines_only(spark):
