@@ -25,7 +25,7 @@ from orderlens.llm.common import hash_bitmap, in_bitmap, saved, table
 WINDOW = 8
 #: Windows with fewer plain words than this say nothing, unless the item has no others.
 LEAST_PLAIN = 3
-COVERAGE = 0.5
+COVERAGE = 0.3
 
 # Words that are read as units of measure.
 UNITS = frozenset(

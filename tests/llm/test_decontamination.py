@@ -52,7 +52,7 @@ def test_windows_against_brute_force(spark, make_docs, prose):
         for item_id, item in enumerate(texts):
             parts = item.split()
             hits = [tuple(parts[i : i + 8]) in mine for i in range(len(parts) - 7)]
-            if np.mean(hits) >= 0.5:
+            if np.mean(hits) >= dc.COVERAGE:
                 want[doc_id, item_id] = pytest.approx(np.mean(hits))
     got = {k: r.coverage for k, r in found(spark, make_docs, items, rows).items()}
     assert got == want and got
