@@ -1,8 +1,10 @@
 """Timings of the headline queries; prints one JSON line.
 
 Every figure is the median of three runs after one untimed run. ``build_fact``
-assembles, stages and writes the fact from the star tables, ``build_marts`` writes the
-four marts from it; the queries read the written fact and end in a null sink.
+assembles and writes the raw lines and the fact from the star tables, ``build_marts``
+writes the four marts from it; the queries read the written fact and end in a null
+sink. The total is over these. ``REBUILT`` queries come beside it: what they write
+along the way is written anew at each run.
 """
 
 import json
@@ -43,6 +45,13 @@ HEADLINE = [
     "dq_relationships",
     "quality_results",
 ]
+# Queries with their build steps.
+REBUILT = {
+    "src_csv_scan": ["raw_csv"],
+    "pipeline_row_counts": ["rebuild"],
+    "catalog_counts": ["marts"],
+    "quality_report": ["quality_report"],
+}
 RUNS = 3
 
 
@@ -57,6 +66,16 @@ def to_null_sink(name, spark, folder):
     return lambda: query(spark, folder).write.format("noop").mode("overwrite").save()
 
 
+def rebuilt(name, spark, folder):
+    run = to_null_sink(name, spark, folder)
+
+    def action():
+        registry.forget(folder, *REBUILT[name])
+        run()
+
+    return action
+
+
 def main():
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -77,6 +96,8 @@ def main():
         "build_marts": house.build_marts,
         **{name: to_null_sink(name, spark, folder) for name in HEADLINE},
     }
+    total = len(actions)
+    actions |= {name: rebuilt(name, spark, folder) for name in REBUILT}
     seconds = {}
     for name, action in actions.items():
         action()
@@ -86,7 +107,7 @@ def main():
         json.dumps(
             {
                 "metric": "total seconds, headline queries",
-                "value": round(sum(seconds.values()), 3),
+                "value": round(sum(list(seconds.values())[:total]), 3),
                 "unit": "sec",
                 "queries": seconds,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),

@@ -51,6 +51,12 @@ def _once(spark, folder, part, build):
         _built[key] = True
 
 
+def forget(folder, *parts):
+    """Have these build steps of a source run again at their next use."""
+    for key in [k for k in _built if k[1] == folder and k[2] in parts]:
+        del _built[key]
+
+
 def warehouse(spark, folder):
     """The warehouse of a star folder, its fact written on first use."""
     key = (spark.sparkContext.applicationId, folder)
@@ -403,6 +409,10 @@ def contract_rules(spark, folder):
     return listing.withColumn("values", F.array_join("values", "|"))
 
 
+def contract_columns(spark, folder):
+    return catalog.documented_columns(packaged_contract("star"), _quality_tables(spark, folder))
+
+
 def catalog_counts(spark, folder):
     return warehouse_with_marts(spark, folder).row_counts()
 
@@ -486,6 +496,7 @@ QUERIES = {
     "edge_zero_sales_margins": _varied_exploration(explore.discount_vs_margin, _with_zero_sales),
     # quality
     "contract_rules": contract_rules,
+    "contract_columns": contract_columns,
     "dq_not_null": _tested("not_null"),
     "dq_unique": _tested("unique"),
     "dq_positive": _tested("positive"),

@@ -1,5 +1,8 @@
 """What the warehouse holds: documented tables, rules and columns with their fill."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.sources.tables import count_rows
@@ -18,6 +21,15 @@ def _filled(df, columns):
     return counted.select("nb_rows", F.inline(F.array(*pairs)))
 
 
+def _fills(columns, tables):
+    """(table, column, rows_with_value, nb_rows) of (table, column) pairs, a scan per table."""
+    parts = []
+    for name in dict.fromkeys(table for table, _ in columns):
+        own = list(dict.fromkeys(column for table, column in columns if table == name))
+        parts.append(_filled(tables[name], own).withColumn("table", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def table_catalog(contract, tables):
     """Documentation of each declared table next to its row count."""
     spark = next(iter(tables.values())).sparkSession
@@ -52,12 +64,17 @@ def rule_listing(contract, tables):
         "rule_no int, table string, column string, test string, values array<string>, "
         "min double, max double, to string, field string",
     )
-    fills = None
-    for name in dict.fromkeys(rule.table for rule in contract.rules):
-        columns = list(dict.fromkeys(r.column for r in contract.rules if r.table == name))
-        part = _filled(tables[name], columns).withColumn("table", F.lit(name))
-        fills = part if fills is None else fills.unionByName(part)
-    return rules.join(fills, ["table", "column"], "left").orderBy("rule_no")
+    columns = [(rule.table, rule.column) for rule in contract.rules]
+    return rules.join(_fills(columns, tables), ["table", "column"], "left").orderBy("rule_no")
+
+
+def documented_columns(contract, tables):
+    """Type and description of each documented column next to the rows that fill it."""
+    spark = next(iter(tables.values())).sparkSession
+    rows = [(d.table, d.column, d.type, d.description) for d in contract.columns]
+    docs = spark.createDataFrame(rows, "table string, column string, type string, description string")
+    fills = _fills([(d.table, d.column) for d in contract.columns], tables)
+    return docs.join(fills, ["table", "column"], "left").orderBy("table", "column")
 
 
 def column_listing(dictionary, raw):

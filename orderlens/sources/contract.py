@@ -1,7 +1,7 @@
 """Quality contracts: the documented tables, columns and tests of a warehouse."""
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 
 @dataclass(frozen=True)
@@ -22,10 +22,19 @@ class TableDoc:
     documented_columns: int
 
 
+@dataclass(frozen=True)
+class ColumnDoc:
+    table: str
+    column: str
+    type: str
+    description: str
+
+
 @dataclass(frozen=True)
 class Contract:
     tables: list
     rules: list
+    columns: list = field(default_factory=list)
 
 
 def _as_rule(table, column, declared):
@@ -37,15 +46,17 @@ def _as_rule(table, column, declared):
 
 
 def parse_contract(document):
-    docs, rules = [], []
+    docs, rules, documented = [], [], []
     for table in document["tables"]:
         columns = table.get("columns") or []
         text = " ".join(table.get("description", "").split())
         docs.append(TableDoc(table["name"], text, table.get("grain", ""), len(columns)))
         for column in columns:
+            about = " ".join(column.get("description", "").split())
+            documented.append(ColumnDoc(table["name"], column["name"], column.get("type", ""), about))
             for declared in column.get("tests") or []:
                 rules.append(_as_rule(table["name"], column["name"], declared))
-    return Contract(docs, rules)
+    return Contract(docs, rules, documented)
 
 
 def contract_from_text(text, yaml=False):

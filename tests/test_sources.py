@@ -159,6 +159,7 @@ def check_contract(found):
         ("a", "accepted_range", {"min": 0}),
         ("c", "accepted_values", {"values": ["x", 1]}),
     ]
+    assert [(d.table, d.column, d.type) for d in found.columns] == [("t", "a", ""), ("t", "b", ""), ("t", "c", "")]
     assert [(d.table, d.description, d.documented_columns) for d in found.tables] == [("raw", "", 0), ("t", "two words", 3)]
 
 
