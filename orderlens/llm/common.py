@@ -35,6 +35,16 @@ def crc_remainder(id_column, divisor):
     return F.crc32(text.cast("binary")) % divisor
 
 
+def below_share(key_column, wanted, n):
+    """Rows whose hash is among the smallest, about twice as many as ``wanted`` of ``n``.
+
+    What is left for an exact choice of the smallest is then of bounded size, wherever
+    it meets. All rows, where there are no more than twice as many.
+    """
+    place = F.shiftrightunsigned(key_column, 11) / F.lit(float(1 << 53))
+    return place * n <= 2.0 * wanted
+
+
 def running_totals(spark, df, order, sums=()):
     """Position of every row in a total order, and running sums up to and with it.
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import crc_remainder, table
+from orderlens.llm.common import below_share, crc_remainder, table
 
 GRAM = 3
 SLOT_BITS = 20
@@ -133,12 +133,15 @@ def held_out(id_column):
 def fit(docs, per_language=SAMPLE_PER_LANGUAGE):
     """Filters from at most ``per_language`` documents of each language, held-out ones aside.
 
-    They are the documents with the smallest hashed ids. What comes to the driver is
+    They are documents with the smallest hashed ids. What comes to the driver is
     the list of languages and at most one row per slot of the filter.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     order = Window.partitionBy("lang").orderBy("key", "doc_id")
     ids = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("key"))
+    # One row per language, as in the filter.
+    sizes = F.broadcast(ids.groupBy("lang").agg(F.count("*").alias("n")))
+    ids = ids.join(sizes, "lang").where(below_share(F.col("key"), per_language, F.col("n")))
     ids = ids.withColumn("number", F.row_number().over(order)).where(F.col("number") <= per_language)
     ids = ids.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     chosen = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))
