@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import crc_remainder
+from orderlens.llm.common import below_share, crc_remainder
 
 #: Largest number of labelled documents that a model is fitted on.
 SAMPLE_ROWS = 20_000
@@ -17,6 +17,8 @@ def labelled_sample(docs, labels, label, held_out, rows=SAMPLE_ROWS):
     """
     ids = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
     ids = ids.groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("label"))
+    labelled = ids.count()
+    ids = ids.where(below_share(F.xxhash64("doc_id"), rows, F.lit(labelled)))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     # At most ``rows`` ids.
