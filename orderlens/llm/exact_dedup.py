@@ -165,9 +165,10 @@ def exact_duplicates(spark, docs, id_col="doc_id", text_col="text", block_rows=B
     clash = F.raise_error(F.lit("different texts with one SHA-256"))
     verified = saved(spark, verified.select(F.when(F.col("texts") == 1, F.col("sha")).otherwise(clash).alias("sha")))
     first = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("row").alias("row"))
-    # Summed up before they are joined, so that a large group of copies is one row.
+    # Summed up before they are joined, so that a large group of copies is one row, and
+    # saved, so that the last join stands alone and can split such a group among tasks.
     groups = marked.groupBy("text_sha256").agg(F.min(first).alias("first"), F.count("*").alias("n"))
-    groups = groups.join(verified, F.col("text_sha256") == F.col("sha")).select("sha", "first", "n")
+    groups = saved(spark, groups.join(verified, F.col("text_sha256") == F.col("sha")).select("sha", "first", "n"))
     out = marked.join(groups, F.col("text_sha256") == F.col("sha"), "left")
     return out.select(
         "doc_id",
