@@ -16,7 +16,6 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -59,14 +58,17 @@ def fingerprint(text):
 
 def _fingerprint_batches(batches):
     for batch in batches:
-        prints = [fingerprint(text.as_py()) for text in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints, pa.int64())], ["doc_id", "fp"])
+        prints = pa.array([fingerprint(text.as_py()) for text in batch.column("text")], pa.int64())
+        names = [name for name in batch.schema.names if name != "text"]
+        yield pa.RecordBatch.from_arrays([*map(batch.column, names), prints], [*names, "fp"])
 
 
-def fingerprints(docs, id_col="doc_id", text_col="text"):
-    """doc_id and fp (the fingerprint as a signed long) of every row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(_fingerprint_batches, "doc_id long, fp long")
+def fingerprints(docs, id_col="doc_id", text_col="text", keep=None):
+    """doc_id and fp (the fingerprint as a signed long) of every row; ``keep`` names a long beside them."""
+    kept = [keep] if keep else []
+    text = F.col(text_col).cast("binary").alias("text")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *kept, text)
+    return rows.mapInArrow(_fingerprint_batches, ", ".join(f"{name} long" for name in ["doc_id", *kept, "fp"]))
 
 
 def _keys(fp):
@@ -191,11 +193,7 @@ def near_duplicates(spark, docs, id_col="doc_id", text_col="text"):
     equal results, an empty table none. Other columns of ``docs`` are not read.
     """
     marked = saved(spark, fingerprints(docs, id_col, text_col))
-    distinct = saved(spark, marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    joined = components(spark, links(spark, distinct))
-    rooted = distinct.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
-    )
+    rooted = _rooted(spark, marked)
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = saved(spark, rooted.join(named, "root").select("fp", "component_id"))
     return marked.join(named, "fp", "left").select(
@@ -203,18 +201,30 @@ def near_duplicates(spark, docs, id_col="doc_id", text_col="text"):
     )
 
 
+def _rooted(spark, marked):
+    """fp, first_id (its smallest doc_id) and root of every distinct fingerprint."""
+    distinct = saved(spark, marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    joined = components(spark, links(spark, distinct))
+    return distinct.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "root", F.coalesce("root", "fp")
+    )
+
+
 def one_of_each_group(spark, docs):
-    """The rows of ``docs`` of which the doc_id is the smallest of its component.
+    """One row of ``docs`` of each component, the one with the smallest doc_id.
 
-    Of rows that repeat that doc_id the first by text, source and lang stays. Rows
-    without doc_id stay only as a component that has no other member, one of them.
+    Of rows that repeat that doc_id within the component the first in the saved table
+    stays; a row without doc_id stays only where no other has one. Rows of different
+    components all stay, also if they share a doc_id or have none.
     """
-    named = near_duplicates(spark, docs)
-    stay = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays"))
-    kept = docs.join(stay.distinct(), docs["doc_id"].eqNullSafe(F.col("_stays")), "left_semi")
-    order = [F.col(c).asc_nulls_last() for c in ("text", "source", "lang")]
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
-    return kept.withColumn("_row", number).where("_row = 1").drop("_row")
+    numbered = saved(spark, docs.withColumn("_row", F.monotonically_increasing_id()))
+    marked = saved(spark, fingerprints(numbered, keep="_row"))
+    # Per fingerprint first, so that a large component is one row per task.
+    place = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "_row")).alias("place")
+    firsts = marked.groupBy("fp").agg(place)
+    firsts = firsts.join(_rooted(spark, marked).select("fp", "root"), "fp")
+    stay = firsts.groupBy("root").agg(F.min("place").alias("place")).select(F.col("place._row").alias("_row"))
+    return numbered.join(saved(spark, stay), "_row", "left_semi").select(docs.columns)
 
 
 def op1_simhash(spark, sf_dir):

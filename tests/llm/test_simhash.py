@@ -104,3 +104,9 @@ def test_one_of_each_group(spark, odd_docs, odd_rows):
     assert kept.columns == odd_docs.columns
     ids = sorted(str(r.doc_id) for r in kept.collect())
     assert ids.count("1") == 1 and "8" not in ids and "2" in ids and "3" not in ids
+
+
+def test_texts_that_share_or_lack_an_id_all_stay(spark, make_docs, prose):
+    rows = [(None, prose(6, 40)), (None, prose(6, 41)), (None, prose(6, 41)), (None, prose(6, 42)), (7, prose(6, 43)), (7, prose(6, 44)), (7, prose(6, 43))]
+    kept = simhash.one_of_each_group(spark, make_docs(rows)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted({(str(i), t) for i, t in rows})
