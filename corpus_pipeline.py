@@ -23,7 +23,7 @@ def near_duplicates(spark, docs, sf_dir):
 
 def decontaminate(spark, docs, sf_dir):
     """Documents that hold no benchmark item."""
-    return decontamination.clean(spark, docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.without_items(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark, docs, sf_dir):

@@ -14,6 +14,8 @@ documents out of the shuffle.
 
 import re
 from array import array
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -94,15 +96,16 @@ def templates(texts, lexicon):
 
 
 def _in_pieces(batch):
-    """Rows of a batch as (ids, texts), a few megabytes at a time."""
-    ids, texts, size = [], [], 0
+    """Rows of a batch as (keys, texts), a few megabytes at a time; a key is the other columns."""
+    others = [name for name in batch.schema.names if name != "text"]
+    keys, texts, size = [], [], 0
     for row in range(batch.num_rows):
-        ids.append(batch.column("id")[row].as_py())
+        keys.append(tuple(batch.column(name)[row].as_py() for name in others))
         texts.append(batch.column("text")[row].as_py())
         size += len(texts[-1])
         if size >= _PIECE_BYTES or row == batch.num_rows - 1:
-            yield ids, texts
-            ids, texts, size = [], [], 0
+            yield keys, texts
+            keys, texts, size = [], [], 0
 
 
 def windows(hashes, length):
@@ -122,7 +125,7 @@ def _item_windows(batches):
     lexicon = _Lexicon()
     for batch in batches:
         rows = []
-        found = ((i, t) for ids, texts in _in_pieces(batch) for i, t in zip(ids, templates(texts, lexicon)))
+        found = ((i, t) for keys, texts in _in_pieces(batch) for (i,), t in zip(keys, templates(texts, lexicon)))
         for item_id, (hashes, slots, ids) in found:
             length = min(WINDOW, len(hashes))
             if not length:
@@ -144,18 +147,18 @@ def _document_windows(bitmap, lengths):
         lexicon = _Lexicon()
         for batch in batches:
             rows = []
-            for doc_ids, texts in _in_pieces(batch):
+            for keys, texts in _in_pieces(batch):
                 if len(lexicon) > _REMEMBERED:
                     lexicon = _Lexicon()
-                for doc_id, (hashes, slots, ids) in zip(doc_ids, templates(texts, lexicon)):
+                for key, (hashes, slots, ids) in zip(keys, templates(texts, lexicon)):
                     for length in lengths:
                         found = windows(hashes, length)
                         for at in np.flatnonzero(in_bitmap(bitmap.value, found)):
                             values = [{"j": int(j), "value": lexicon.value[ids[at + j]]} for j in np.flatnonzero(slots[at : at + length])]
-                            rows.append((doc_id, int(found[at : at + 1].view(np.int64)[0]), int(at), values))
-            columns = list(zip(*rows)) or [()] * 4
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.struct([("j", pa.int32()), ("value", pa.string())]))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "hash", "doc_at", "doc_slots"])
+                            rows.append((*key, int(found[at : at + 1].view(np.int64)[0]), int(at), values))
+            columns = list(zip(*rows)) or [()] * 5
+            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.struct([("j", pa.int32()), ("value", pa.string())]))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [*_DOCUMENT, "hash", "doc_at", "doc_slots"])
 
     return run
 
@@ -166,27 +169,28 @@ def _bytes(df, id_col, text_col):
     )
 
 
-def leaks(spark, docs, benchmark, id_col="doc_id", text_col="text"):
-    """One row per (doc_id, item_id) where the item is found in the document.
+#: Rows of equal id and text are one document, so a digest of the text tells apart what the id does not.
+_TEXT = "_text_digest"
+_DOCUMENT = ["doc_id", _TEXT]
 
-    windows: of the item, windows_found: distinct ones found in consistent occurrences,
-    coverage: their ratio; first_word and last_word: where they lie, in template words
-    of the document; exact: every slot has the item's own value. Null and empty texts
-    on either side match nothing; documents without doc_id are listed with a null,
-    repeated rows count as one document; items that repeat an item_id count as one
-    item. An empty table on either side gives an empty result. Other columns are not
-    read.
-    """
+
+def _digest(text_col):
+    return F.unhex(F.md5(F.col(text_col).cast("binary")))
+
+
+def _leaking(spark, docs, benchmark, id_col="doc_id", text_col="text"):
+    """The rows of ``leaks`` per document, which is to say per doc_id and text."""
     kind = "item_id long, hash long, at int, length int, of int, slots array<struct<j:int,value:string>>"
     items = saved(spark, _bytes(benchmark, "item_id", text_col).mapInArrow(_item_windows, kind))
     # At most WINDOW lengths.
     lengths = sorted(r[0] for r in items.select("length").distinct().collect())
     bitmap = spark.sparkContext.broadcast(hash_bitmap(items, "hash"))
-    kind = "doc_id long, hash long, doc_at int, doc_slots array<struct<j:int,value:string>>"
-    called = _bytes(docs, id_col, text_col).mapInArrow(_document_windows(bitmap, lengths), kind)
+    kind = f"doc_id long, {_TEXT} binary, hash long, doc_at int, doc_slots array<struct<j:int,value:string>>"
+    texts = _bytes(docs, id_col, text_col).withColumn("digest", _digest("text"))
+    called = texts.mapInArrow(_document_windows(bitmap, lengths), kind)
     found = called.join(items, "hash").withColumn("shift", F.col("doc_at") - F.col("at"))
     found = saved(spark, found.where(F.size("slots") == F.size("doc_slots")))
-    place = ["doc_id", "item_id", "shift"]
+    place = [*_DOCUMENT, "item_id", "shift"]
     # One value for one value, both ways, within an occurrence.
     pairs = found.select(*place, F.explode(F.arrays_zip("slots", "doc_slots")).alias("z"))
     pairs = pairs.select(*place, F.col("z.slots.value").alias("mine"), F.col("z.doc_slots.value").alias("theirs")).distinct()
@@ -195,14 +199,14 @@ def leaks(spark, docs, benchmark, id_col="doc_id", text_col="text"):
     clashes = from_item.where("count > 1").select(place).unionByName(from_doc.where("count > 1").select(place)).distinct()
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in place]
     clashes = clashes.toDF(*[f"_{c}" for c in place])
-    kept = found.join(clashes, same[0] & same[1] & same[2], "left_anti")
-    kept = kept.groupBy("doc_id", "item_id", "at").agg(
+    kept = found.join(clashes, reduce(and_, same), "left_anti")
+    kept = kept.groupBy(*_DOCUMENT, "item_id", "at").agg(
         F.first("of").alias("of"),
         F.min("doc_at").alias("low"),
         F.max(F.col("doc_at") + F.col("length")).alias("high"),
         F.max(F.transform("slots", lambda s: s["value"]) == F.transform("doc_slots", lambda s: s["value"])).alias("exact"),
     )
-    whole = kept.groupBy("doc_id", "item_id").agg(
+    whole = kept.groupBy(*_DOCUMENT, "item_id").agg(
         F.max("of").alias("windows"),
         F.count("*").cast("int").alias("windows_found"),
         F.min("low").alias("first_word"),
@@ -212,10 +216,31 @@ def leaks(spark, docs, benchmark, id_col="doc_id", text_col="text"):
     return whole.withColumn("coverage", F.col("windows_found") / F.col("windows")).where(F.col("coverage") >= COVERAGE)
 
 
+def leaks(spark, docs, benchmark, id_col="doc_id", text_col="text"):
+    """One row per (document, item_id) where the item is found in the document.
+
+    windows: of the item, windows_found: distinct ones found in consistent occurrences,
+    coverage: their ratio; first_word and last_word: where they lie, in template words
+    of the document; exact: every slot has the item's own value. Null and empty texts
+    on either side match nothing; documents without doc_id are listed with a null,
+    rows that repeat both doc_id and text count as one document, other texts of an id
+    are documents of their own; items that repeat an item_id count as one item. An
+    empty table on either side gives an empty result. Other columns are not read.
+    """
+    return _leaking(spark, docs, benchmark, id_col, text_col).drop(_TEXT)
+
+
+def without_items(spark, docs, benchmark):
+    """The rows of ``docs`` that hold no benchmark item, whether they have a doc_id or not."""
+    leaking = saved(spark, _leaking(spark, docs, benchmark).select(*[F.col(c).alias(f"_leaks_{c}") for c in _DOCUMENT]).distinct())
+    marked = docs.withColumn(_TEXT, _digest("text"))
+    same = [F.col(c).eqNullSafe(F.col(f"_leaks_{c}")) for c in _DOCUMENT]
+    return marked.join(leaking, reduce(and_, same), "left_anti").select(docs.columns)
+
+
 def clean(spark, docs, benchmark):
-    """The rows of ``docs`` that hold no benchmark item. Rows without doc_id stay."""
-    leaking = leaks(spark, docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaking, "doc_id", "left_anti").select(docs.columns)
+    """As ``without_items``, but rows without doc_id stay."""
+    return without_items(spark, docs.where(F.col("doc_id").isNotNull()), benchmark).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def op10_decontamination(spark, sf_dir):

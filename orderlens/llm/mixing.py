@@ -59,6 +59,13 @@ def mix(spark, docs, id_col="doc_id", text_col="text", source_col="source"):
     items side by side. Documents without words are taken or not, at no cost. An empty
     table gives an empty result. Reruns agree.
     """
+    return _copies(spark, docs, F.monotonically_increasing_id(), id_col, text_col, source_col).select(
+        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
+def _copies(spark, docs, row, id_col="doc_id", text_col="text", source_col="source"):
+    """row, doc_id, size, source_size, target and copies per row of ``docs``; ``row`` tells its rows apart."""
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     key = F.md5(F.concat(F.lit("mix/"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
     sized = saved(
@@ -68,7 +75,7 @@ def mix(spark, docs, id_col="doc_id", text_col="text", source_col="source"):
             F.col(source_col).alias("source"),
             size.alias("size"),
             F.conv(F.substring(key, 1, 15), 16, 10).cast("long").alias("shuffle"),
-            F.monotonically_increasing_id().alias("row"),
+            row.alias("row"),
         ),
     )
     targets, budget = source_targets(spark, sized)
@@ -81,7 +88,7 @@ def mix(spark, docs, id_col="doc_id", text_col="text", source_col="source"):
         return F.when(F.col("target") > 0, (at + F.col("source_size") * earlier) / F.col("target")).otherwise(F.lit(0.0))
 
     finishes = {f"finish_{n}": finish(n) for n in range(ROUNDS)}
-    queued = saved(spark, queued.select("doc_id", "size", "source_size", "target", "pos", *[c.alias(n) for n, c in finishes.items()]))
+    queued = saved(spark, queued.select("row", "doc_id", "size", "source_size", "target", "pos", *[c.alias(n) for n, c in finishes.items()]))
     rounds = F.explode(F.array(*[F.struct(F.col(f"finish_{n}").alias("finish"), F.lit(n).alias("round")) for n in range(ROUNDS)]))
     items = queued.select("size", F.col("pos").alias("item"), rounds.alias("r")).select("size", "item", "r.*")
     sent = running_totals(spark, items, ["finish", "round", "item"], ["size"])
@@ -95,18 +102,14 @@ def mix(spark, docs, id_col="doc_id", text_col="text", source_col="source"):
         return (item <= bound).cast("long")
 
     copies = sum((taken(n) for n in range(1, ROUNDS)), taken(0)).cast("long")
-    return queued.withColumn("copies", copies).select(
-        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
-    )
+    return queued.select("row", "doc_id", "size", "source_size", "target", copies.alias("copies"))
 
 
 def mixed(spark, docs):
-    """The rows of ``docs``, each as often as the mix takes it.
-
-    Rows that share a doc_id are taken equally often, as often as the first of them.
-    """
-    copies = mix(spark, docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    taken = docs.join(copies.where("_copies > 0"), docs["doc_id"].eqNullSafe(F.col("_id")))
+    """The rows of ``docs``, each as often as the mix takes it, also where they share a doc_id or have none."""
+    numbered = saved(spark, docs.withColumn("_row", F.monotonically_increasing_id()))
+    copies = _copies(spark, numbered, F.col("_row")).where("copies > 0").select(F.col("row").alias("_row"), F.col("copies").alias("_copies"))
+    taken = numbered.join(copies, "_row")
     return taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select(docs.columns)
 
 

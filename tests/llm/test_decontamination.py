@@ -75,3 +75,18 @@ def test_query_finds_whole_passages(spark, folder):
     held = {(d.doc_id, b.item_id) for d in docs for b in items if b.text in d.text}
     got = {(r.doc_id, r.item_id) for r in dc.op10_decontamination(spark, folder).collect()}
     assert held and held <= got
+
+
+def test_documents_that_share_or_lack_an_id(spark, make_docs, items, prose):
+    """Each text is decided by itself: no clash and no coverage across texts, and none stays for want of an id."""
+    parts = QUESTION.split()
+    rows = [
+        (None, QUESTION), (None, QUESTION.replace("Boston", "Denver")), (None, prose(4, 1)), (7, OTHER), (7, prose(4, 2)),
+        (None, " ".join(parts[:13])), (None, " ".join(parts[12:22])), (None, " ".join(parts[20:30])),
+    ]
+    docs = make_docs(rows)
+    found = [(r.doc_id, r.item_id) for r in dc.leaks(spark, docs, items).collect()]
+    assert sorted(map(str, found)) == sorted(map(str, [(None, 1), (None, 1), (7, 2)]))
+    kept = dc.without_items(spark, docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(r.text for r in kept.collect()) == sorted(rows[i][1] for i in (2, 4, 5, 6, 7))

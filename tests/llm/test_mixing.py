@@ -64,3 +64,14 @@ def test_empty_and_wordless_tables(spark, no_docs, make_docs):
     assert mixing.mix(spark, no_docs).collect() == []
     rows = mixing.mix(spark, make_docs([(1, None), (2, " "), (3, "", "aa", "s")])).collect()
     assert [(r.size, r.target, r.taken) for r in rows] == [(0, 0.0, 0)] * 3
+
+
+def test_rows_without_id_are_taken_one_by_one(spark, make_docs):
+    rows = [(None, f"{i} " + "w " * (i % 7), "aa", "a") for i in range(200)] + [(i, f"{i} " + "v " * (i % 5), "aa", "b") for i in range(200)]
+    docs = make_docs(rows)
+    want = {r.source_size: r.target for r in mixing.mix(spark, docs).collect()}
+    got = {"a": 0, "b": 0}
+    for r in mixing.mixed(spark, docs).collect():
+        got[r.source] += words(r.text)
+    sizes = {s: sum(words(t) for _, t, _, x in rows if x == s) for s in got}
+    assert all(abs(got[s] - want[sizes[s]]) <= 14 for s in got)
