@@ -3,10 +3,11 @@
 Both sides are turned into templates: numbers, names (capitalised words inside a
 sentence) and units become typed slots, other words are lower-cased and stripped of
 marks. Windows of ``WINDOW`` template words are joined by hash. Windows of a document
-that stand at the same distance from the windows of an item make one occurrence; it
-counts only if its slots are consistent: one value in the item is one value in the
-document throughout, and the other way round. An item is in a document if at least
-``COVERAGE`` of its windows are found in consistent occurrences.
+that stand at the same distance from the windows of an item make one occurrence.
+Windows whose slots have the item's own values count always; others only if the
+occurrence is consistent: one value in the item is one value in the document
+throughout. Two values of the item may become one. An item is in a document if at
+least ``COVERAGE`` of its windows are found so.
 
 A bitmap of the benchmark's hashes, of fixed size, keeps other windows of the
 documents out of the shuffle.
@@ -191,20 +192,20 @@ def _leaking(spark, docs, benchmark, id_col="doc_id", text_col="text"):
     found = called.join(items, "hash").withColumn("shift", F.col("doc_at") - F.col("at"))
     found = saved(spark, found.where(F.size("slots") == F.size("doc_slots")))
     place = [*_DOCUMENT, "item_id", "shift"]
-    # One value for one value, both ways, within an occurrence.
+    values = [F.transform(c, lambda s: s["value"]) for c in ("slots", "doc_slots")]
+    found = found.withColumn("same", values[0] == values[1])
+    # One value of the document for one of the item, within an occurrence.
     pairs = found.select(*place, F.explode(F.arrays_zip("slots", "doc_slots")).alias("z"))
     pairs = pairs.select(*place, F.col("z.slots.value").alias("mine"), F.col("z.doc_slots.value").alias("theirs")).distinct()
-    from_item = pairs.groupBy(*place, "mine").count()
-    from_doc = pairs.groupBy(*place, "theirs").count()
-    clashes = from_item.where("count > 1").select(place).unionByName(from_doc.where("count > 1").select(place)).distinct()
+    clashes = pairs.groupBy(*place, "mine").count().where("count > 1").select(place).distinct()
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in place]
-    clashes = clashes.toDF(*[f"_{c}" for c in place])
-    kept = found.join(clashes, reduce(and_, same), "left_anti")
+    clashes = clashes.toDF(*[f"_{c}" for c in place]).withColumn("clash", F.lit(True))
+    kept = found.join(clashes, reduce(and_, same), "left").where(F.col("same") | F.col("clash").isNull())
     kept = kept.groupBy(*_DOCUMENT, "item_id", "at").agg(
         F.first("of").alias("of"),
         F.min("doc_at").alias("low"),
         F.max(F.col("doc_at") + F.col("length")).alias("high"),
-        F.max(F.transform("slots", lambda s: s["value"]) == F.transform("doc_slots", lambda s: s["value"])).alias("exact"),
+        F.max("same").alias("exact"),
     )
     whole = kept.groupBy(*_DOCUMENT, "item_id").agg(
         F.max("of").alias("windows"),
@@ -219,7 +220,7 @@ def _leaking(spark, docs, benchmark, id_col="doc_id", text_col="text"):
 def leaks(spark, docs, benchmark, id_col="doc_id", text_col="text"):
     """One row per (document, item_id) where the item is found in the document.
 
-    windows: of the item, windows_found: distinct ones found in consistent occurrences,
+    windows: of the item, windows_found: distinct ones found with the item's values or in consistent occurrences,
     coverage: their ratio; first_word and last_word: where they lie, in template words
     of the document; exact: every slot has the item's own value. Null and empty texts
     on either side match nothing; documents without doc_id are listed with a null,

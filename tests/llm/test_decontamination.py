@@ -90,3 +90,15 @@ def test_documents_that_share_or_lack_an_id(spark, make_docs, items, prose):
     kept = dc.without_items(spark, docs, items)
     assert kept.columns == docs.columns
     assert sorted(r.text for r in kept.collect()) == sorted(rows[i][1] for i in (2, 4, 5, 6, 7))
+
+
+def test_one_clash_does_not_discard_the_other_windows(spark, make_docs, prose):
+    tail = prose(3, 8).lower().replace(".", "")
+    items = spark.createDataFrame([(1, f"take 12 of them and then 7 {tail} until 12 are left")], "item_id long, text string")
+    rows = [
+        (1, f"take 12 of them and then 7 {tail} until 13 are left"),
+        (2, f"take 9 of them and then 9 {tail} until 9 are left"),
+    ]
+    found_rows = found(spark, make_docs, items, rows)
+    assert set(found_rows) == {(1, 1), (2, 1)}
+    assert found_rows[2, 1].coverage == 1 and found_rows[1, 1].coverage > 0.7
