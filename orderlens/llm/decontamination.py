@@ -2,7 +2,8 @@
 
 Both sides are turned into templates: numbers, names (capitalised words inside a
 sentence) and units become typed slots, other words are lower-cased and stripped of
-marks. Windows of ``WINDOW`` template words are joined by hash. Windows of a document
+marks. A capitalised word that begins a sentence is read both ways, on both sides.
+Windows of ``WINDOW`` template words are joined by hash. Windows of a document
 that stand at the same distance from the windows of an item make one occurrence.
 Windows whose slots have the item's own values count always; others only if the
 occurrence is consistent: one value in the item is one value in the document
@@ -77,23 +78,62 @@ class _Lexicon(dict):
         return number
 
 
-def templates(texts, lexicon):
-    """Of each text the hashes of its template words, which are slots, and their word numbers.
+class _Templates:
+    """Template words of some texts, one after the other.
 
-    Words without a letter, digit or unit are left out.
+    hashes and slots: the first reading, ``other`` and ``other_slots`` the second, which
+    differs where a word that begins a sentence is capitalised: it may be a name. ids
+    are word numbers, text tells which text a word is of. Words without a letter, digit
+    or unit are left out.
     """
-    numbered = []
-    for text in texts:
-        words = text.split()
-        numbered.append(np.fromiter(map(lexicon.__getitem__, words), np.int64, len(words)))
-    start, inside = np.array(lexicon.start, np.uint64), np.array(lexicon.inside, np.uint64)
-    start_slot, inside_slot, ends = (np.array(x, bool) for x in (lexicon.start_slot, lexicon.inside_slot, lexicon.ends))
-    for ids in numbered:
+
+    def __init__(self, texts, lexicon):
+        numbered = []
+        for text in texts:
+            words = text.split()
+            numbered.append(np.fromiter(map(lexicon.__getitem__, words), np.int64, len(words)))
+        ids = np.concatenate([np.zeros(0, np.int64), *numbered])
+        text = np.repeat(np.arange(len(numbered)), [len(x) for x in numbered])
+        start, inside = np.array(lexicon.start, np.uint64), np.array(lexicon.inside, np.uint64)
+        start_slot, inside_slot, ends = (np.array(x, bool) for x in (lexicon.start_slot, lexicon.inside_slot, lexicon.ends))
         first = np.ones(len(ids), bool)
-        first[1:] = ends[ids[:-1]]
-        hashes = np.where(first, start[ids], inside[ids])
-        kept = hashes != 0
-        yield hashes[kept], np.where(first, start_slot[ids], inside_slot[ids])[kept], ids[kept]
+        first[1:] = ends[ids[:-1]] | (text[1:] != text[:-1])
+        kept = start[ids] != 0
+        first, self.ids, self.text = first[kept], ids[kept], text[kept]
+        self.other, self.other_slots = inside[self.ids], inside_slot[self.ids]
+        self.hashes = np.where(first, start[self.ids], self.other)
+        self.slots = np.where(first, start_slot[self.ids], self.other_slots)
+
+
+def readings(t, length, most):
+    """(places, hashes, slots, second) of the windows of so many words, in all their readings.
+
+    The first yield has every window in the first reading. ``second`` marks the words
+    that are taken in their second reading. Windows with more than ``most`` words of
+    two readings are read with every ``most``-th of those alike.
+    """
+    n = len(t.hashes) - length + 1
+    if n <= 0:
+        return
+
+    def within(mask):
+        sums = np.concatenate([[0], np.cumsum(mask)])
+        return sums[length:] - sums[:-length]
+
+    whole = t.text[:n] == t.text[length - 1 :]
+    double = t.hashes != t.other
+    k = min(most, int(within(double)[whole].max(initial=0)))
+    number = np.cumsum(double) - 1
+    groups = [double & (number % k == i) for i in range(k)]
+    held = [within(group) > 0 for group in groups]
+    for reading in range(1 << k):
+        second, here = np.zeros(len(double), bool), whole.copy()
+        for i in range(k):
+            if reading >> i & 1:
+                second |= groups[i]
+                here &= held[i]
+        at = np.flatnonzero(here)
+        yield at, windows(np.where(second, t.other, t.hashes), length, at), np.where(second, t.other_slots, t.slots), second
 
 
 def _in_pieces(batch):
@@ -109,38 +149,59 @@ def _in_pieces(batch):
             keys, texts, size = [], [], 0
 
 
-def windows(hashes, length):
-    """One hash per window of so many template words."""
-    n = len(hashes) - length + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    out = np.full(n, length, np.uint64)
+def windows(hashes, length, at):
+    """One hash per window of so many template words, at the given places."""
+    out = np.full(len(at), length, np.uint64)
     for j in range(length):
-        out = (out ^ hashes[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
+        out = (out ^ hashes[at + j]) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(32)
     return out
 
 
+_SLOTS = "array<struct<j:int,value:string,start:boolean>>"
+_SLOT_LIST = pa.list_(pa.struct([("j", pa.int32()), ("value", pa.string()), ("start", pa.bool_())]))
+
+
+def _slot_values(lexicon, t, at, length, slots, second):
+    """The slots of a window; ``start`` where a word that begins a sentence is taken for a name."""
+    return [
+        {"j": int(j), "value": lexicon.value[t.ids[at + j]], "start": bool(second[at + j])} for j in np.flatnonzero(slots[at : at + length])
+    ]
+
+
 def _item_windows(batches):
-    """Windows of benchmark items: of full length, or the whole of a shorter item."""
+    """Windows of benchmark items: of full length, or the whole of a shorter item.
+
+    Those that say too little in a further reading are weak: only exact copies count.
+    """
     lexicon = _Lexicon()
     for batch in batches:
         rows = []
-        found = ((i, t) for keys, texts in _in_pieces(batch) for (i,), t in zip(keys, templates(texts, lexicon)))
-        for item_id, (hashes, slots, ids) in found:
-            length = min(WINDOW, len(hashes))
+        for item_id, text in ((i, text) for keys, texts in _in_pieces(batch) for (i,), text in zip(keys, texts)):
+            t = _Templates([text], lexicon)
+            length = min(WINDOW, len(t.hashes))
             if not length:
                 continue
-            hashed = windows(hashes, length)
-            plain = np.convolve(~slots, np.ones(length, int), "valid")
-            told = plain >= min(LEAST_PLAIN, length)
-            told = told if told.any() else np.ones(len(hashed), bool)
-            for at in np.flatnonzero(told):
-                values = [{"j": int(j), "value": lexicon.value[ids[at + j]]} for j in np.flatnonzero(slots[at : at + length])]
-                rows.append((item_id, int(hashed[at : at + 1].view(np.int64)[0]), int(at), length, int(told.sum()), values))
-        columns = list(zip(*rows)) or [()] * 6
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.struct([("j", pa.int32()), ("value", pa.string())]))]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["item_id", "hash", "at", "length", "of", "slots"])
+            told = None
+            for at, hashed, slots, second in readings(t, length, WINDOW):
+                plain = np.convolve(~slots, np.ones(length, int), "valid")
+                enough = plain >= min(LEAST_PLAIN, length)
+                weak = np.zeros(len(enough), bool) if told is None else ~enough
+                if told is None:
+                    told = enough if enough.any() else np.ones(len(enough), bool)
+                of = int(told.sum())
+                for place, value in zip(at[told[at]].tolist(), hashed.view(np.int64)[told[at]].tolist()):
+                    values = _slot_values(lexicon, t, place, length, slots, second)
+                    rows.append((item_id, value, place, length, of, values, bool(weak[place])))
+        columns = list(zip(*rows)) or [()] * 7
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), _SLOT_LIST, pa.bool_()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["item_id", "hash", "at", "length", "of", "slots", "weak"]
+        )
+
+
+#: Up to so many capitalised words that begin sentences in a window have all their readings in documents.
+_DOUBLE = 3
 
 
 def _document_windows(bitmap, lengths):
@@ -151,14 +212,17 @@ def _document_windows(bitmap, lengths):
             for keys, texts in _in_pieces(batch):
                 if len(lexicon) > _REMEMBERED:
                     lexicon = _Lexicon()
-                for key, (hashes, slots, ids) in zip(keys, templates(texts, lexicon)):
-                    for length in lengths:
-                        found = windows(hashes, length)
-                        for at in np.flatnonzero(in_bitmap(bitmap.value, found)):
-                            values = [{"j": int(j), "value": lexicon.value[ids[at + j]]} for j in np.flatnonzero(slots[at : at + length])]
-                            rows.append((*key, int(found[at : at + 1].view(np.int64)[0]), int(at), values))
+                t = _Templates(texts, lexicon)
+                begins = np.searchsorted(t.text, np.arange(len(texts)))
+                for length in lengths:
+                    for at, hashed, slots, second in readings(t, length, _DOUBLE):
+                        hit = np.flatnonzero(in_bitmap(bitmap.value, hashed))
+                        for place, value in zip(at[hit].tolist(), hashed.view(np.int64)[hit].tolist()):
+                            text = t.text[place]
+                            values = _slot_values(lexicon, t, place, length, slots, second)
+                            rows.append((*keys[text], value, place - int(begins[text]), values))
             columns = list(zip(*rows)) or [()] * 5
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.struct([("j", pa.int32()), ("value", pa.string())]))]
+            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), _SLOT_LIST]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [*_DOCUMENT, "hash", "doc_at", "doc_slots"])
 
     return run
@@ -181,26 +245,36 @@ def _digest(text_col):
 
 def _leaking(spark, docs, benchmark, id_col="doc_id", text_col="text"):
     """The rows of ``leaks`` per document, which is to say per doc_id and text."""
-    kind = "item_id long, hash long, at int, length int, of int, slots array<struct<j:int,value:string>>"
+    kind = f"item_id long, hash long, at int, length int, of int, slots {_SLOTS}, weak boolean"
     items = saved(spark, _bytes(benchmark, "item_id", text_col).mapInArrow(_item_windows, kind))
     # At most WINDOW lengths.
     lengths = sorted(r[0] for r in items.select("length").distinct().collect())
     bitmap = spark.sparkContext.broadcast(hash_bitmap(items, "hash"))
-    kind = f"doc_id long, {_TEXT} binary, hash long, doc_at int, doc_slots array<struct<j:int,value:string>>"
+    kind = f"doc_id long, {_TEXT} binary, hash long, doc_at int, doc_slots {_SLOTS}"
     texts = _bytes(docs, id_col, text_col).withColumn("digest", _digest("text"))
     called = texts.mapInArrow(_document_windows(bitmap, lengths), kind)
     found = called.join(items, "hash").withColumn("shift", F.col("doc_at") - F.col("at"))
-    found = saved(spark, found.where(F.size("slots") == F.size("doc_slots")))
-    place = [*_DOCUMENT, "item_id", "shift"]
     values = [F.transform(c, lambda s: s["value"]) for c in ("slots", "doc_slots")]
-    found = found.withColumn("same", values[0] == values[1])
-    # One value of the document for one of the item, within an occurrence.
-    pairs = found.select(*place, F.explode(F.arrays_zip("slots", "doc_slots")).alias("z"))
-    pairs = pairs.select(*place, F.col("z.slots.value").alias("mine"), F.col("z.doc_slots.value").alias("theirs")).distinct()
-    clashes = pairs.groupBy(*place, "mine").count().where("count > 1").select(place).distinct()
+    found = found.where(F.size("slots") == F.size("doc_slots")).withColumn("same", values[0] == values[1])
+    found = saved(spark, found.where(~F.col("weak") | F.col("same")))
+    place = [*_DOCUMENT, "item_id", "shift"]
+    # One value of the document for one of the item, within an occurrence. Where a word
+    # that begins a sentence may be no name, a clash is one of its own windows only.
+    zipped = F.arrays_zip("slots", "doc_slots")
+    pairs = found.select(*place, F.explode(zipped).alias("z")).select(
+        *place,
+        F.col("z.slots.value").alias("mine"),
+        F.col("z.doc_slots.value").alias("theirs"),
+        (F.col("z.slots.start") | F.col("z.doc_slots.start")).alias("start"),
+    )
+    pairs = pairs.groupBy(*place, "mine", "theirs").agg(F.min("start").alias("start"))
+    many = pairs.groupBy(*place, "mine").agg(F.count("*").alias("n"), F.count_if(~F.col("start")).alias("sure")).where("n > 1")
+    # The values of one occurrence: bounded by the length of its item.
+    clashes = many.groupBy(*place).agg(F.max(F.col("sure") > 1).alias("clash"), F.collect_set("mine").alias("unsure"))
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in place]
-    clashes = clashes.toDF(*[f"_{c}" for c in place]).withColumn("clash", F.lit(True))
-    kept = found.join(clashes, reduce(and_, same), "left").where(F.col("same") | F.col("clash").isNull())
+    clashes = clashes.toDF(*[f"_{c}" for c in place], "clash", "unsure")
+    torn = F.exists(zipped, lambda z: (z["slots"]["start"] | z["doc_slots"]["start"]) & F.array_contains("unsure", z["slots"]["value"]))
+    kept = found.join(clashes, reduce(and_, same), "left").where(F.col("same") | F.col("clash").isNull() | ~(F.col("clash") | torn))
     kept = kept.groupBy(*_DOCUMENT, "item_id", "at").agg(
         F.first("of").alias("of"),
         F.min("doc_at").alias("low"),

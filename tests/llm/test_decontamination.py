@@ -102,3 +102,19 @@ def test_one_clash_does_not_discard_the_other_windows(spark, make_docs, prose):
     found_rows = found(spark, make_docs, items, rows)
     assert set(found_rows) == {(1, 1), (2, 1)}
     assert found_rows[2, 1].coverage == 1 and found_rows[1, 1].coverage > 0.7
+
+
+def test_words_that_begin_sentences_match_as_names_too(spark, make_docs, prose):
+    short = "What is the capital of the old kingdom?"
+    named = "Tom has 12 red apples in the box. Tom buys 5 more of them there. Tom eats 3 of those in the park."
+    items = spark.createDataFrame([(1, short), (2, named)], "item_id long, text string")
+    rows = [
+        (1, f"Question: {short}"),
+        (2, f"{prose(1, 1)[:-1]} {short} {prose(1, 2)}"),
+        (3, named.replace("Tom", "Lucy").replace("12", "14")),
+        (4, f"they said {named.replace('Tom', 'Lucy')}"),
+        (5, prose(20, 3)),
+    ]
+    out = found(spark, make_docs, items, rows)
+    assert set(out) == {(1, 1), (2, 1), (3, 2), (4, 2)}
+    assert out[1, 1].exact and out[2, 1].exact and out[3, 2].coverage == 1 and not out[3, 2].exact
