@@ -5,6 +5,7 @@ from orderlens.llm import (
     exact_dedup,
     language_id,
     language_model,
+    merkle,
     mixing,
     quality,
     sharding,
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_language_id": language_id.op9_language_id,
     "op10_decontamination": decontamination.op10_decontamination,
+    "op11_merkle": merkle.op11_merkle,
 }
 
 ORACLE_SQL = {
     "op2_mixing": mixing.OP2_SQL,
     "op3_exact_dedup": exact_dedup.OP3_SQL,
+    "op11_merkle": merkle.OP11_SQL,
 }

@@ -1,0 +1,112 @@
+"""The Merkle manifest against a tree built plainly in one place."""
+
+from hashlib import sha256
+from zlib import crc32
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderlens.llm import merkle
+
+
+def h(text):
+    return sha256(text.encode()).hexdigest()
+
+
+def field(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def up(hashes):
+    """Levels of a tree, and per leaf its siblings level by level."""
+    places, proofs = list(range(len(hashes))), [[] for _ in hashes]
+    while len(hashes) > 1:
+        runs = [hashes[i : i + 8] for i in range(0, len(hashes), 8)]
+        for leaf, at in enumerate(places):
+            run = runs[at // 8]
+            proofs[leaf].append((run[: at % 8], run[at % 8 + 1 :]))
+        places, hashes = [at // 8 for at in places], [h("".join(run)) for run in runs]
+    return hashes[0], proofs
+
+
+def by_hand(rows):
+    """doc_id, leaf, subroot, root, proof, folded root of tampered rows (doc_id, text, lang, source, n_chars)."""
+    groups = {}
+    for doc_id, text, lang, source, n in rows:
+        leaf = h("".join(map(field, (doc_id, source, lang, n, text))))
+        tampered = doc_id is not None and crc32(str(doc_id).encode()) % 3 == 0
+        new = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text) if tampered and text is not None else text
+        groups.setdefault(lang, []).append((doc_id is not None, doc_id or 0, leaf, doc_id, h("".join(map(field, (doc_id, source, lang, n, new))))))
+    langs = sorted(groups, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {lang: (sorted(groups[lang]), *up([x[2] for x in sorted(groups[lang])])) for lang in langs}
+    root, upper = up([trees[lang][1] for lang in langs])
+    out = []
+    for lang, above in zip(langs, upper):
+        leaves, subroot, proofs = trees[lang]
+        for (_, _, leaf, doc_id, new), proof in zip(leaves, proofs):
+            path, folded = proof + above, new
+            for left, right in path:
+                folded = h("".join([*left, folded, *right]))
+            proof = h("".join("".join(left + right) for left, right in path))
+            out.append((doc_id, leaf, subroot, root, proof, folded, folded == root))
+    return out
+
+
+def found(spark, docs, tmp_path):
+    docs.write.mode("overwrite").parquet(str(tmp_path / "documents.parquet"))
+    return merkle.op11_merkle(spark, str(tmp_path)).collect()
+
+
+def key(row):
+    return tuple(map(repr, row))
+
+
+def test_odd_rows_and_empty_tables(spark, odd_docs, odd_rows, no_docs, tmp_path):
+    rows = [(a, t, lang, s, None if t is None else len(t)) for a, t, lang, s in odd_rows]
+    assert sorted(map(key, found(spark, odd_docs, tmp_path / "odd"))) == sorted(map(key, by_hand(rows)))
+    assert found(spark, no_docs, tmp_path / "none") == []
+
+
+def test_a_lone_leaf_is_its_own_root(spark, make_docs, tmp_path):
+    (row,) = found(spark, make_docs([(12, "A lone TEXT", "aa", None)]), tmp_path)
+    assert row.leaf == row.subroot == row.root and row.proof_sha256 == h("")
+    assert list(row) == list(by_hand([(12, "A lone TEXT", "aa", None, 11)])[0])
+
+
+@pytest.mark.parametrize("n", [8, 9, 64, 65, 1100])
+def test_sizes_around_whole_runs(spark, make_docs, tmp_path, n):
+    langs = ["b", None, "é", "a"]
+    rows = [(7 * i + 3, f"Text {i} Ü", langs[min(i % 11, 3)], f"s{i % 5}") for i in range(n)]
+    full = [(*r, len(r[1])) for r in rows]
+    assert sorted(map(key, found(spark, make_docs(rows), tmp_path))) == sorted(map(key, by_hand(full)))
+
+
+def test_height_of_blocks_changes_nothing(spark, make_docs):
+    docs = make_docs([(i, f"Text {i}", f"l{i % 3 if i > 90 else 0}", "s") for i in range(300)])
+    low, high = (
+        merkle.versions(spark, docs, {"text": F.lower("text")}, height=height).collect() for height in (1, merkle.HEIGHT)
+    )
+    assert sorted(map(key, low)) == sorted(map(key, high))
+
+
+def test_versions_copy_ancestors_only():
+    leaves = [h(str(i)) for i in range(300)]
+    top = merkle.grown(leaves, 3)
+    version = merkle.replaced(top, 77, "x", 3)
+
+    def inner(node):
+        return [node, *[x for c in node.children if isinstance(c, merkle.Node) for x in inner(c)]]
+
+    kept = {id(n) for n in inner(top)}
+    own = [n for n in inner(version) if id(n) not in kept]
+    assert len(own) == 3 and [n.hash for n in own][::-1] == merkle.copied(version, 77, 3)
+    assert merkle.grown(leaves, 3).hash == top.hash
+    assert version.hash == merkle.grown([*leaves[:77], "x", *leaves[78:]], 3).hash
+
+
+def test_manifest_proofs_lead_to_the_root(spark, make_docs):
+    docs = make_docs([(i, f"t{i}", "aa" if i % 3 else None, "s") for i in range(100)])
+    rows = merkle.manifest(spark, docs).collect()
+    assert {r.doc_id for r in rows} == set(range(100)) and len({r.root for r in rows}) == 1
+    for r in rows:
+        assert merkle.folded(r.leaf, r.proof)[-1] == r.root
