@@ -18,14 +18,14 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(spark, df: DataFrame) -> DataFrame:
+def saved(spark, df: DataFrame, compression="snappy") -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Later jobs, and repeats of lost tasks, see the same rows: what was drawn from the
     order or the partitions of the input is fixed from here on.
     """
     path = f"{workspace(spark)}/llm/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,6 +7,7 @@ from orderlens.llm import (
     language_model,
     merkle,
     mixing,
+    packing,
     quality,
     sharding,
     simhash,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_language_id": language_id.op9_language_id,
     "op10_decontamination": decontamination.op10_decontamination,
     "op11_merkle": merkle.op11_merkle,
+    "op12_packing": packing.op12_packing,
 }
 
 ORACLE_SQL = {
