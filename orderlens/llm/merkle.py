@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import saved, table
+from orderlens.llm.common import crc_sql, crc_table_sql, saved, table
 
 ARITY = 8
 #: Levels of a block: 512 nodes at most.
@@ -366,20 +366,6 @@ def _climb_sql(nodes, levels, tree, start):
     return ", ".join(out), before
 
 
-def crc_table_sql():
-    """CTE crc_table: ``tab``, the 256 remainders of the polynomial of crc32."""
-    return """crc_steps(i, c, k) AS (
-  SELECT i::BIGINT, i::BIGINT, 0 FROM range(256) r(i)
-  UNION ALL
-  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_steps WHERE k < 8
-), crc_table AS (SELECT list(c ORDER BY i) AS tab FROM crc_steps WHERE k = 8)"""
-
-
-def crc_sql(codes, table_column):
-    """crc32 of a list of byte values; the list starts with the initial remainder."""
-    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, b: xor(c >> 8, {table_column}[(xor(c, b) & 255) + 1])), 4294967295)"
-
-
 def _field_sql(column):
     return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || {column}, '-')"
 

@@ -13,6 +13,7 @@ from orderlens.llm import (
     simhash,
     substring_dedup,
     toxicity,
+    variants,
 )
 
 QUERIES = {
@@ -28,10 +29,12 @@ QUERIES = {
     "op10_decontamination": decontamination.op10_decontamination,
     "op11_merkle": merkle.op11_merkle,
     "op12_packing": packing.op12_packing,
+    "op13_variants": variants.op13_variants,
 }
 
 ORACLE_SQL = {
     "op2_mixing": mixing.OP2_SQL,
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op11_merkle": merkle.OP11_SQL,
+    "op13_variants": variants.OP13_SQL,
 }
