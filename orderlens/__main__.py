@@ -51,7 +51,7 @@ def transcode(spark, args):
 
 def build(spark, args):
     raw = raw_csv.read_order_lines(spark, args.source, args.encoding, args.multiline)
-    house = Warehouse(spark, args.warehouse).build(raw, args.strict_dates)
+    house = Warehouse(spark, args.warehouse).build(raw, args.strict_dates, args.wide_amounts)
     house.row_counts().show(truncate=False)
     print(f"lines without an order date, not in the fact: {house.undated_lines()}")
 
@@ -112,6 +112,7 @@ def arguments(argv):
     job.add_argument("--encoding", default="UTF-8")
     job.add_argument("--multiline", action="store_true", help="quoted fields hold line breaks")
     job.add_argument("--strict-dates", action="store_true", help="stop on a date that does not parse")
+    job.add_argument("--wide-amounts", action="store_true", help="amounts of 10 billion and more occur; slower")
     job.set_defaults(run=build)
 
     job = jobs.add_parser("check", help="run a quality contract, write its report")

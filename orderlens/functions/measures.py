@@ -58,6 +58,22 @@ def flag_rate(flag):
     return F.avg(F.when(kept(), F.col(flag).cast("int"))) * 100.0
 
 
+def count_names(flag):
+    return f"_{flag}", f"_{flag}_known"
+
+
+def flag_counts(flag):
+    """Kept lines with a flag, and those for which it is known: counts that add up."""
+    hits, known = count_names(flag)
+    return F.count_if(kept() & F.col(flag)).alias(hits), F.count(F.when(kept(), F.col(flag))).alias(known)
+
+
+def rate_of_counts(flag):
+    """``flag_rate`` from the counts of ``flag_counts``."""
+    hits, known = count_names(flag)
+    return safe_ratio(F.col(hits), F.col(known)) * 100.0
+
+
 def overall_late_rate():
     """Late share in percent, 0 when every line was cancelled."""
     return F.when(F.count_if(kept()) == 0, 0.0).otherwise(flag_rate("is_late"))

@@ -2,32 +2,62 @@
 
 from pyspark.sql import functions as F
 
-
-def distinct_counts(df, keys, column, name):
-    """The number of distinct non-NULL values of ``column`` per group."""
-    pairs = df.select(*keys, column).where(F.col(column).isNotNull()).distinct()
-    return pairs.groupBy(*keys).agg(F.count("*").alias(name))
+#: Name of the bucket column of ``with_bucket``.
+BUCKET = "_bucket"
+_PLACE = "_place"
 
 
-def with_counts(totals, counts, keys, name):
-    """Two grouped results side by side, NULL keys included.
+def with_bucket(df, column):
+    """Adds the bitmap bucket of a whole-number column and the bit within it.
 
-    They meet in a union, where each group has at most one row from either side.
+    A bucket holds 32,768 neighbouring values; every value has one bit in one bucket,
+    NULL has neither.
     """
-    both = totals.unionByName(counts, allowMissingColumns=True)
-    others = [c for c in totals.columns if c not in keys]
-    return both.groupBy(*keys).agg(
-        F.coalesce(F.max(name), F.lit(0)).alias(name), *[F.max(c).alias(c) for c in others]
-    )
+    value = F.col(f"`{column}`").cast("long")
+    return df.withColumns({BUCKET: F.bitmap_bucket_number(value), _PLACE: F.bitmap_bit_position(value)})
+
+
+def bits_set():
+    """Distinct values among the rows of one bucket."""
+    return F.bitmap_count(F.bitmap_construct_agg(F.col(_PLACE)))
+
+
+def added_up(df, aggregates):
+    """For each sum or count of ``aggregates``, by name, the aggregate that adds partial ones."""
+    merged = []
+    for field in df.groupBy().agg(*aggregates).schema:
+        total = F.sum(field.name)
+        # A count is 0, not NULL, where there is no row.
+        merged.append((total if field.nullable else F.coalesce(total, F.lit(0))).alias(field.name))
+    return merged
 
 
 def with_distinct_count(df, keys, column, name, aggregates):
-    """Group by ``keys`` with ``aggregates`` and the distinct non-NULL ``column``.
+    """Group by ``keys`` with sums and counts and the distinct non-NULL ``column``.
+
+    ``aggregates`` are aliased sums or counts, which add up. ``column`` holds whole
+    numbers dealt out in sequence, as ids are. Rows are first grouped by keys and bucket
+    of 32,768 values, with a bitmap of 4 KiB; the bits set and the sums of the buckets then
+    add up per group. One scan, and the shuffle carries a row per group and bucket of
+    a task, however many distinct values there are. (Ids that are scattered over all 64
+    bits would cost a bitmap each: use ``with_scattered_distinct_count`` for those.)
+    """
+    buckets = with_bucket(df, column).groupBy(*keys, BUCKET).agg(bits_set().alias(name), *aggregates)
+    count = F.coalesce(F.sum(name), F.lit(0)).alias(name)
+    return buckets.groupBy(*keys).agg(count, *added_up(df, aggregates))
+
+
+def with_scattered_distinct_count(df, keys, column, name, aggregates):
+    """The same for values of any kind, by their distinct pairs with the keys.
 
-    Asked for in one aggregation, Spark would first group by keys and column, and
-    carry every running sum through that large shuffle. Here only the distinct
-    pairs go through it; the other aggregates shrink to one row per group before
-    their shuffle. The price is a second scan of two or three columns.
+    Only the distinct pairs go through the large shuffle, the sums shrink to one row per
+    group before theirs. The two results meet in a union, where each group has at
+    most one row from either side, NULL keys included. The price is a second scan.
     """
+    pairs = df.select(*keys, column).where(F.col(column).isNotNull()).distinct()
+    counts = pairs.groupBy(*keys).agg(F.count("*").alias(name))
     totals = df.groupBy(*keys).agg(*aggregates)
-    return with_counts(totals, distinct_counts(df, keys, column, name), keys, name)
+    both = totals.unionByName(counts, allowMissingColumns=True)
+    others = [c for c in totals.columns if c not in keys]
+    count = F.coalesce(F.max(name), F.lit(0)).alias(name)
+    return both.groupBy(*keys).agg(count, *[F.max(c).alias(c) for c in others])

@@ -1,4 +1,4 @@
-"""Histograms of whole-number columns."""
+"""Value counts and histograms of numeric columns."""
 
 from pyspark.sql import functions as F
 
@@ -8,26 +8,23 @@ def value_counts(df, column, name="nb_lines"):
 
 
 def equal_width(df, column, bins=20):
-    """At most ``bins`` equal bins between the smallest and largest value.
+    """At most ``bins`` equal bins between the smallest and largest value of any numeric column.
 
-    Lines are first counted per distinct value; the bounds are one row of the small
-    counted table, however many distinct values there are.
+    One pass finds the bounds, one counts: the bin of a line is computed before the
+    partial aggregation, so a task hands on at most ``bins`` rows, however many distinct
+    values there are.
     """
-    counted = value_counts(df, column)
-    ends = counted.select(F.struct(F.min(column).alias("low"), F.max(column).alias("high"))).scalar()
-    bounded = counted.withColumn("_ends", ends).withColumns(
-        {"_low": F.col("_ends.low").cast("double"), "_high": F.col("_ends.high").cast("double")}
-    )
-    spread = F.col("_high") - F.col("_low")
-    slot = F.floor(F.try_divide((F.col(column) - F.col("_low")) * bins, spread))
+    value = F.col(column).cast("double")
+    ends = df.select(F.struct(F.min(column).cast("double").alias("low"), F.max(column).cast("double").alias("high"))).scalar()
+    low, spread = F.col("_ends.low"), F.col("_ends.high") - F.col("_ends.low")
     # The largest value closes the last bin; a single value makes a single bin.
+    slot = F.floor(F.try_divide((value - low) * bins, spread))
     number = F.least(F.coalesce(slot, F.lit(0)) + 1, F.lit(bins)).cast("int")
-    return (
-        bounded.groupBy(number.alias("bin"))
-        .agg(
-            F.min(F.col("_low") + spread / bins * (number - 1)).alias("bin_from"),
-            F.min(F.col("_low") + spread / bins * number).alias("bin_to"),
-            F.sum("nb_lines").alias("nb_lines"),
-        )
-        .orderBy("bin")
-    )
+    lines = df.select(column).dropna().withColumn("_ends", ends)
+    counted = lines.groupBy(number.alias("bin")).agg(F.count("*").alias("nb_lines")).withColumn("_ends", ends)
+    return counted.select(
+        "bin",
+        (low + spread / bins * (F.col("bin") - 1)).alias("bin_from"),
+        (low + spread / bins * F.col("bin")).alias("bin_to"),
+        "nb_lines",
+    ).orderBy("bin")

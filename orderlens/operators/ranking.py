@@ -1,19 +1,20 @@
 """Top-k, both ends of a ranking and quantile cuts over grouped rows.
 
-Nothing here sorts or gathers all groups in one task: ends are top-k selections,
-totals and cuts are single values computed beside the groups.
+Nothing here sorts or gathers all groups in one task: ends are top-k selections, totals
+single values, and a quantile is found by counting values in bins, again and again within
+the bin where it lies.
 """
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-#: Up to this many values a quantile looks at all of them; beyond, at those whose
-#: approximate rank is within ``NEAR`` of it.
-FEW_VALUES = 10_000
-NEAR = 0.001
-ACCURACY = 10_000
+from orderlens.sources.tables import written_aside
+
+#: Bins per counting pass: at most so many rows reach the driver.
+BINS = 1 << 16
 
 
 def top_k(grouped, measure, key, k):
@@ -22,50 +23,107 @@ def top_k(grouped, measure, key, k):
     return best.sortWithinPartitions(F.col(measure).asc(), F.col(key).desc())
 
 
-def quantiles(grouped, measure, named):
-    """Interpolated quantiles of a column, exactly; one row, a column per name.
+@dataclass(frozen=True)
+class Grouped:
+    """Grouped rows, written once, with the count and bounds of their measure."""
 
-    The quantile lies between two neighbours in rank. An approximate quantile a little
-    below and one a little above enclose them (their error is a tenth of the distance);
-    the values in between, a few in a thousand, and the count of those below give
-    the exact ones.
-    """
-    values = grouped.select(F.col(measure).cast("double").alias("v")).dropna()
-    edges = [max(0.0, min(1.0, q + d)) for q in named.values() for d in (-NEAR, NEAR)]
-    rough = F.percentile_approx("v", F.array(*map(F.lit, edges)), ACCURACY)
-    known = values.select(F.struct(F.count("*").alias("n"), rough.alias("at"))).scalar()
-    marked = values.withColumn("_known", known)
-    few = F.col("_known.n") <= FEW_VALUES
-    found = []
-    for i, name in enumerate(named):
-        low, high = F.col("_known.at")[2 * i], F.col("_known.at")[2 * i + 1]
-        near = few | F.col("v").between(low, high)
-        found += [
-            F.count_if(~near & (F.col("v") < low)).alias(f"{name}_below"),
-            F.array_sort(F.collect_list(F.when(near, F.col("v")))).alias(f"{name}_near"),
-        ]
-    one = marked.agg(F.count("*").alias("_n"), *found)
-
-    def between(name, q):
-        rank = F.lit(q) * (F.col("_n") - 1)
-        at = F.floor(rank)
-        first = (at - F.col(f"{name}_below") + 1).cast("int")
-        low = F.try_element_at(f"{name}_near", first)
-        high = F.coalesce(F.try_element_at(f"{name}_near", first + 1), low)
-        return F.when(F.col("_n") > 0, low + (rank - at) * (high - low)).alias(name)
-
-    return one.select(*[between(name, q) for name, q in named.items()])
+    rows: DataFrame
+    measure: str
+    n: int
+    low: float | None
+    high: float | None
+
+    def quantiles(self, quantiles):
+        """Interpolated quantiles of the measure, exactly; None where no row has a value.
+
+        NULL measures are left out, and those that are not finite.
+        """
+        ranks = [q * (self.n - 1) for q in quantiles]
+        wanted = sorted({int(r) + d for r in ranks for d in (0, 1) if 0 <= int(r) + d < self.n})
+        values = dict(zip(wanted, ranked_values(self.rows, self.measure, wanted, self.low, self.high)))
+        out = []
+        for rank in ranks:
+            low = values.get(int(rank)) if self.n else None
+            high = values.get(int(rank) + 1, low)
+            out.append(None if low is None else low + (rank - int(rank)) * (high - low))
+        return out
+
+    def above_quantile(self, q):
+        """Rows strictly above the interpolated quantile of the measure."""
+        (cut,) = self.quantiles([q])
+        return self.rows.where(F.col(self.measure) > F.lit(cut).cast("double"))
+
+
+def _finite(measure):
+    value = F.col(measure).cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def above_quantile(grouped, measure, q):
     """Groups strictly above the interpolated quantile of the grouped measure."""
-    cut = quantiles(grouped, measure, {"cut": q}).scalar()
-    return grouped.withColumn("_cut", cut).where(F.col(measure) > F.col("_cut")).drop("_cut")
+    return grouped_aside(grouped, measure).above_quantile(q)
+
+
+def grouped_aside(grouped, measure):
+    """Write grouped rows once for all that is read from them; what bounds a quantile is noted meanwhile."""
+    seen = Observation()
+    value = _finite(measure)
+    bounds = [F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high")]
+    rows = written_aside(grouped.observe(seen, *bounds))
+    return Grouped(rows, measure, **seen.get)
+
+
+def ranked_values(rows, measure, ranks, low, high):
+    """The values at ascending ranks (from 0) among the non-NULL values of a column.
+
+    Every pass counts the values of each span that still holds a rank, in ``BINS`` equal
+    bins by partial aggregation, with the least and largest value of each bin; the bins
+    that hold the ranks are the spans of the next. Bounds are values that occur, so a
+    span always divides; spread as values may be, each pass leaves one bin of 2**16. A
+    span of one value is done. No value is gathered, and nothing is approximate.
+    """
+    value = _finite(measure)
+    found, spans = {}, [(low, high, 0, list(ranks))]  # least, largest, rows below, ranks inside
+    while spans:
+        for least, largest, below, inside in [s for s in spans if s[0] == s[1]]:
+            found |= dict.fromkeys(inside, least)
+        spans = [s for s in spans if s[0] != s[1]]
+        if not spans:
+            break
+        tests = [value.between(least, largest) for least, largest, _, _ in spans]
+        bins = [_bin(value, least, largest) for least, largest, _, _ in spans]
+        span = reduce(lambda c, i: c.when(tests[i], i), range(1, len(spans)), F.when(tests[0], 0))
+        place = reduce(lambda c, i: c.when(tests[i], bins[i]), range(1, len(spans)), F.when(tests[0], bins[0]))
+        grouped = rows.where(reduce(lambda a, b: a | b, tests)).groupBy(span.alias("span"), place.alias("bin"))
+        counted = grouped.agg(F.count("*"), F.min(value), F.max(value)).collect()
+        spans = _narrowed(spans, counted)
+    return [found[r] for r in ranks]
+
+
+def _bin(value, least, largest):
+    # The spread of two very large values is beyond a double, that of their halves is not.
+    part = 1.0 if largest - least < float("inf") else 0.5
+    share = (value * part - least * part) / (largest * part - least * part)
+    return F.least(F.floor(share * BINS), F.lit(BINS - 1))
+
+
+def _narrowed(spans, counted):
+    """The bins that hold ranks, as spans."""
+    out = []
+    for number, (_, _, below, inside) in enumerate(spans):
+        for _, _, n, least, largest in sorted((r for r in counted if r[0] == number), key=lambda r: r[1]):
+            here = [r for r in inside if below <= r < below + n]
+            if here:
+                out.append((least, largest, below, here))
+            below += n
+    return out
 
 
 def both_ends(grouped, measure, key, k):
     """The k lowest and the k highest groups, with their position from the lowest.
 
+    Reads ``grouped`` three times: hand it in written (``grouped_aside``) where it is costly.
+
     Two top-k selections; their k rows each are numbered in place. A group that
     belongs to both ends comes out twice, as a UNION ALL of the two cuts would give.
     """

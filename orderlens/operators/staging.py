@@ -85,9 +85,17 @@ def stage(raw, strict_dates=False):
     return typed.withColumns(derived).select(S.FACT_COLUMNS)
 
 
-def fact(staged):
-    """Staged lines that have an order date."""
-    return staged.where(F.col("order_ts").isNotNull())
+def fact(staged, wide_amounts=False):
+    """Staged lines that have an order date, in the types of the fact.
+
+    An amount with more than ten digits before the point stops the job, unless
+    ``wide_amounts`` keeps the wider types of staging.
+    """
+    dated = staged.where(F.col("order_ts").isNotNull())
+    if wide_amounts:
+        return dated
+    narrow = {f.name: f.dataType for f in S.FACT_SCHEMA if isinstance(f.dataType, T.DecimalType)}
+    return dated.withColumns({name: _fitting(name, F.col(name).try_cast(kind)) for name, kind in narrow.items()})
 
 
 def with_double_amounts(df):

@@ -59,6 +59,15 @@ def _kept_rows():
     return F.count_if(M.kept()).alias("_kept")
 
 
+def _decimals(*names):
+    """Exact sums, to be handed out by ``_handed_out`` after they are added up."""
+    return [F.sum(name).alias(name) for name in names]
+
+
+def _handed_out(df, *names):
+    return df.withColumns({name: F.col(name).cast("double") for name in names})
+
+
 # --- option lists --------------------------------------------------------------
 
 
@@ -100,14 +109,21 @@ def kpi_cards(selection, late_target=DEFAULT_TARGET):
     sums = _with_orders(
         selection,
         [],
-        M.overall_late_rate().alias("late_rate"),
-        M.flag_rate("is_on_time").alias("on_time_rate"),
-        F.avg("delay_days").alias("avg_delay_days"),
-        F.coalesce(M.total("sales"), F.lit(0.0)).alias("sales"),
-        F.coalesce(M.total("profit"), F.lit(0.0)).alias("profit"),
+        *M.flag_counts("is_late"),
+        *M.flag_counts("is_on_time"),
+        _kept_rows(),
+        *_decimals("sales", "profit", "delay_days"),
+        F.count("delay_days").alias("_delays"),
         M.identified_sales().alias("_identified"),
     )
-    figures = sums.withColumn("avg_basket", _basket()).drop("_identified", "nb_orders")
+    late = F.when(F.col("_kept") == 0, 0.0).otherwise(M.rate_of_counts("is_late"))
+    figures = sums.select(
+        late.alias("late_rate"),
+        M.rate_of_counts("is_on_time").alias("on_time_rate"),
+        M.safe_ratio(F.col("delay_days"), F.col("_delays")).alias("avg_delay_days"),
+        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ("sales", "profit")],
+        _basket().alias("avg_basket"),
+    )
     margin = F.coalesce(M.margin(F.col("profit"), F.col("sales")), F.lit(0.0))
     return figures.withColumn("margin", margin).withColumns(
         {
@@ -182,14 +198,16 @@ def department_top_sales(selection, k=TOP_DEPARTMENTS):
 
 def sales_quantiles(selection, group="category_name", quantiles=(0.3, 0.4)):
     """Interpolated quantiles of the sales per group, one row."""
-    grouped = _by(selection, group).agg(_sales())
-    return ranking.quantiles(grouped, "sales", {f"q{round(q * 100)}": q for q in quantiles})
+    grouped = ranking.grouped_aside(_by(selection, group).agg(_sales()), "sales")
+    found = grouped.quantiles(quantiles)
+    named = [F.lit(value).cast("double").alias(f"q{round(q * 100)}") for q, value in zip(quantiles, found)]
+    return grouped.rows.sparkSession.range(1).select(*named)
 
 
 def category_margin_topflop(selection, group="category_name"):
     """Lowest and highest margins among groups that sell enough."""
-    grouped = _by(selection, group).agg(_sales(), _profit())
-    selling = _with_margin(ranking.above_quantile(grouped, "sales", MARGIN_SALES_QUANTILE))
+    grouped = ranking.grouped_aside(_by(selection, group).agg(_sales(), _profit()), "sales")
+    selling = _with_margin(grouped.above_quantile(MARGIN_SALES_QUANTILE))
     ends = ranking.both_ends(selling, "margin", group, CATEGORY_ENDS)
     return ends.withColumn("tone", M.category_tone(F.col("margin"))).orderBy("side", "position")
 
@@ -201,7 +219,7 @@ def discount_vs_margin(selection):
         _sales(),
         F.sum("quantity").alias("units"),
     )
-    selling = ranking.above_quantile(grouped, "sales", DISCOUNT_SALES_QUANTILE)
+    selling = ranking.grouped_aside(grouped, "sales").above_quantile(DISCOUNT_SALES_QUANTILE)
     return _with_margin(selling).orderBy("category_name")
 
 
@@ -233,15 +251,11 @@ def _having_kept(grouped):
 
 
 def _summary(selection, key):
-    grouped = _with_orders(
-        without_null_keys(selection, key),
-        [key],
-        _sales(),
-        _profit(),
-        M.flag_rate("is_late").alias("late_rate"),
-        _kept_rows(),
+    sums = _with_orders(
+        without_null_keys(selection, key), [key], *_decimals("sales", "profit"), *M.flag_counts("is_late"), _kept_rows()
     )
-    return _with_margin(_having_kept(grouped))
+    grouped = _handed_out(sums, "sales", "profit").withColumn("late_rate", M.rate_of_counts("is_late"))
+    return _with_margin(_having_kept(grouped)).drop(*M.count_names("is_late"))
 
 
 def market_summary(selection):

@@ -1,10 +1,10 @@
 """The four aggregate marts over the fact.
 
 Every figure of a mart follows from sums and counts, so a mart is its keys, a final
-projection and an order. It can be made from the lines themselves or, in a rebuild,
-rolled up from one summary of the fact for all marts. Only distinct orders need more:
-they are counted from the distinct orders per place and month. NULL group keys are
-kept, and sorted last.
+projection and an order. It can be made from the lines alone or, in a rebuild, with all
+others in one pass: grouping sets over the keys of all marts, whose rows each mart then
+picks and adds up. Distinct orders are bits of bitmaps, one per bucket of order numbers,
+so they add up too. NULL group keys are kept, and sorted last.
 """
 
 from collections.abc import Callable
@@ -13,15 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import functions as F
 
 from orderlens.functions import measures as M
-from orderlens.operators.distinct import distinct_counts, with_counts, with_distinct_count
+from orderlens.operators.distinct import BUCKET, bits_set, with_bucket, with_distinct_count
 
 _SUMMED = ("sales", "profit", "quantity")
 _AVERAGED = ("delay_days", "days_real", "days_scheduled", "discount_rate")
-_KEYS = (
-    "order_month order_year shipping_mode department_name category_name market order_region".split()
-)
-
-
 def _additive():
     """Sums and counts of lines from which all figures follow, by name."""
     sums = {
@@ -34,14 +29,8 @@ def _additive():
     return sums | {f"{c}_n": F.count(c) for c in _AVERAGED}
 
 
-def summarize(fact):
-    """One row per combination of the marts' keys: far fewer than lines."""
-    return fact.groupBy(*_KEYS).agg(*[c.alias(n) for n, c in _additive().items()])
-
-
-def order_places(fact):
-    """The distinct orders of every month, market and region."""
-    return fact.select("order_month", "order_year", "market", "order_region", "order_id").distinct()
+def _sums():
+    return [c.alias(n) for n, c in _additive().items()]
 
 
 def _amount(name):
@@ -75,17 +64,14 @@ class Mart:
 
     def __call__(self, fact):
         """The mart from order lines."""
-        sums = [c.alias(n) for n, c in _additive().items()]
         if self.with_orders:
-            return self._finished(with_distinct_count(fact, self.keys, "order_id", "nb_orders", sums))
-        return self._finished(fact.groupBy(*self.keys).agg(*sums))
+            return self._finished(with_distinct_count(fact, self.keys, "order_id", "nb_orders", _sums()))
+        return self._finished(fact.groupBy(*self.keys).agg(*_sums()))
 
-    def rolled_up(self, summary, orders):
-        """The mart from ``summarize`` and ``order_places``."""
-        totals = summary.groupBy(*self.keys).agg(*[F.sum(n).alias(n) for n in _additive()])
-        if self.with_orders:
-            totals = with_counts(totals, distinct_counts(orders, self.keys, "order_id", "nb_orders"), self.keys, "nb_orders")
-        return self._finished(totals)
+    def rolled_up(self, totals):
+        """The mart from the rows of ``totals_of_all`` that belong to its keys."""
+        mine = totals.where(F.col("grouped_by") == _grouping_number(self))
+        return self._finished(mine.groupBy(*self.keys).agg(*[F.sum(n).alias(n) for n in ("nb_orders", *_additive())]))
 
     def _finished(self, grouped):
         orders = ["nb_orders"] if self.with_orders else []
@@ -135,3 +121,27 @@ MARTS = {
     "mart_category_finance": category_finance,
     "mart_region": region,
 }
+
+_KEYS = list(dict.fromkeys(k for mart in MARTS.values() for k in mart.keys))
+
+
+def _grouping_set(mart):
+    """Keys of a mart, and the bucket of its orders where it counts them."""
+    return [*mart.keys, BUCKET] if mart.with_orders else list(mart.keys)
+
+
+def _grouping_number(mart):
+    """What ``grouping_id`` says of a mart's rows: a bit for every column that is not grouped by."""
+    present = _grouping_set(mart)
+    return sum(1 << i for i, c in enumerate(reversed([*_KEYS, BUCKET])) if c not in present)
+
+
+def totals_of_all(fact):
+    """Sums and counts of all marts from one scan of the fact.
+
+    One aggregation over grouping sets: a row per group of each mart, or per group and
+    bucket of order numbers, with ``grouped_by`` telling the marts apart.
+    """
+    sets = [[F.col(c) for c in _grouping_set(mart)] for mart in MARTS.values()]
+    grouped = with_bucket(fact, "order_id").groupingSets(sets, *_KEYS, BUCKET)
+    return grouped.agg(F.grouping_id().alias("grouped_by"), bits_set().alias("nb_orders"), *_sums())

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlens.operators.staging import fact, stage
 from orderlens.plans import marts
 from orderlens.plans.marts import MARTS
-from orderlens.sources.tables import count_rows, read_fact, read_table, write_fact, write_table
+from orderlens.sources.tables import count_rows, read_fact, read_table, write_fact, write_table, written_aside
 
 RAW_TABLE = "raw_order_lines"
 STAGING_VIEW = "stg_sales"
@@ -29,29 +29,26 @@ class Warehouse:
     def _path(self, name):
         return f"{self.folder.rstrip('/')}/{name}"
 
-    def build(self, raw: DataFrame, strict_dates=False):
+    def build(self, raw: DataFrame, strict_dates=False, wide_amounts=False):
         """Replace everything. Each layer reads the written one below, not its lineage."""
-        self.build_fact(raw, strict_dates)
+        self.build_fact(raw, strict_dates, wide_amounts)
         self.build_marts()
         return self
 
-    def build_fact(self, raw, strict_dates=False):
+    def build_fact(self, raw, strict_dates=False, wide_amounts=False):
         """Replace the raw table and the fact; the source is read once."""
         write_table(raw, self._path(RAW_TABLE))
         staged = stage(self.raw(), strict_dates)
         staged.createOrReplaceTempView(STAGING_VIEW)
-        write_fact(fact(staged), self._path(FACT_TABLE))
+        write_fact(fact(staged, wide_amounts), self._path(FACT_TABLE))
         self._fact = None
         return self
 
     def build_marts(self):
-        """Replace the marts, all rolled up from one summary of the fact."""
-        summary = marts.summarize(self.fact()).persist()
-        orders = marts.order_places(self.fact()).persist()
+        """Replace the marts, all from one pass over the fact."""
+        totals = written_aside(marts.totals_of_all(self.fact()))
         for name, mart in MARTS.items():
-            write_table(mart.rolled_up(summary, orders), self._path(name))
-        summary.unpersist()
-        orders.unpersist()
+            write_table(mart.rolled_up(totals), self._path(name))
         return self
 
     def raw(self):

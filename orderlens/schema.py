@@ -2,11 +2,14 @@
 
 from pyspark.sql import types as T
 
-# Money keeps eight decimals: every digit of the source files survives, a line may
-# have twenty digits before the point, and a sum has ten more, up to the largest
-# decimal there is. Totals are exact and do not depend on how rows were partitioned.
-MONEY = T.DecimalType(28, 8)
-RATE = T.DecimalType(28, 12)
+# Money keeps eight decimals: every digit of the source files survives. Staging allows
+# twenty digits before the point. The fact keeps ten, unless asked for all: then a value
+# is one long in files and rows, and a sum has ten digits more. Totals are exact and do
+# not depend on how rows were partitioned.
+WIDE_MONEY = T.DecimalType(28, 8)
+WIDE_RATE = T.DecimalType(28, 12)
+MONEY = T.DecimalType(18, 8)
+RATE = T.DecimalType(18, 12)
 
 # --- fixed values: columns of the raw order-line file used by staging ----------
 # The types are those of staging; files are read as text and typed there.
@@ -31,12 +34,12 @@ RAW_TYPES = {
     "Category Name": T.StringType(),
     "Product Name": T.StringType(),
     "Type": T.StringType(),
-    "Sales": MONEY,
-    "Order Item Total": MONEY,
-    "Order Profit Per Order": MONEY,
+    "Sales": WIDE_MONEY,
+    "Order Item Total": WIDE_MONEY,
+    "Order Profit Per Order": WIDE_MONEY,
     "Order Item Profit Ratio": T.DoubleType(),
-    "Order Item Discount": MONEY,
-    "Order Item Discount Rate": RATE,
+    "Order Item Discount": WIDE_MONEY,
+    "Order Item Discount Rate": WIDE_RATE,
     "Order Item Quantity": T.DoubleType(),
 }
 

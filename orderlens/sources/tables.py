@@ -1,8 +1,13 @@
 """Parquet tables of the warehouse."""
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens.schema import FACT_COLUMNS, FACT_SCHEMA
+from orderlens.session import workspace
 
 
 def write_fact(fact, path):
@@ -23,8 +28,13 @@ def write_fact(fact, path):
 
 
 def read_fact(spark, path):
-    """The fact with its declared column order; nothing is inferred from files."""
-    return spark.read.schema(FACT_SCHEMA).parquet(path).select(FACT_COLUMNS)
+    """The fact with its declared columns and types; only the width of amounts is that of its files."""
+    try:
+        found = spark.read.parquet(path).schema
+    except AnalysisException:  # a fact without lines has no files
+        found = FACT_SCHEMA
+    kinds = [T.StructField(f.name, found[f.name].dataType if isinstance(f.dataType, T.DecimalType) else f.dataType) for f in FACT_SCHEMA]
+    return spark.read.schema(T.StructType(kinds)).parquet(path).select(FACT_COLUMNS)
 
 
 def write_table(df, path):
@@ -35,6 +45,17 @@ def read_table(spark, path):
     return spark.read.parquet(path)
 
 
+def written_aside(df):
+    """A result that several later ones read, written to the scratch folder and read again.
+
+    It is computed once, and a lost executor takes none of it along. Meant for results
+    that are small beside their input; the folder goes when the driver ends.
+    """
+    path = f"{workspace(df.sparkSession)}/aside/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def count_rows(tables):
     """One row per named table: (object, nb_rows), every table counted in one job."""
     counts = [

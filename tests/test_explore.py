@@ -122,6 +122,50 @@ def test_quantile_cut(spark, n, q):
     assert kept == sorted(v for v in values if v > np.quantile(values, q))
 
 
+@pytest.mark.parametrize(
+    "values",
+    [
+        [5e-324, 0.0, 1e-300, 1.0, 1e300, -1e308, 1.7e308, 3.0, 3.0, 3.0],
+        [1.0, 1.0 + 2**-52, 1.0 + 2**-51, 1.0, 2.0**60],
+        [float("nan"), None, float("inf"), 7.5, -2.25, float("-inf")],
+        [4.0] * 9,
+        [],
+    ],
+)
+def test_quantiles_of_far_flung_values(spark, values):
+    """Values that one bin of the first passes holds together, and those without a rank."""
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    known = sorted(v for v in values if v is not None and abs(v) < float("inf"))
+    qs = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
+    found = ranking.grouped_aside(df, "v").quantiles(qs)
+    if not known:
+        assert found == [None] * len(qs)
+        return
+    for q, value in zip(qs, found):
+        rank = q * (len(known) - 1)
+        low, high = known[int(rank)], known[min(int(rank) + 1, len(known) - 1)]
+        assert value == (low if rank == int(rank) else low + (rank - int(rank)) * (high - low))
+
+
+def test_quantiles_of_many_groups_need_few_passes(spark):
+    """A million skewed values, a third of them equal; every pass hands on counts, not values."""
+    v = F.when(F.col("id") % 3 == 0, 2.5).otherwise(F.exp(F.rand(1) * 12))
+    rows = spark.range(1_000_000).select(v.alias("v"))
+    grouped = ranking.grouped_aside(rows, "v")
+    values = np.array([r[0] for r in grouped.rows.collect()])
+    for q, value in zip((0.1, 0.3, 0.9999), grouped.quantiles((0.1, 0.3, 0.9999))):
+        assert value == pytest.approx(np.quantile(values, q), rel=1e-15)
+
+
+def test_bins_of_amounts_shuffle_counts_only(spark, make_fact):
+    lines = make_fact(*[{"sales": f"{(i * 37) % 101}.{i % 100:02d}"} for i in range(400)])
+    found = histogram.equal_width(lines, "sales", 20)
+    counts, _ = np.histogram([float(r["sales"]) for r in lines.collect()], bins=20)
+    assert {r["bin"]: r["nb_lines"] for r in found.collect()} == {i + 1: c for i, c in enumerate(counts) if c}
+    assert "partial_count" in found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(sales" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_shares_add_up(house):
     shares = explore.delivery_status_share(apply_filters(house.fact()))
     assert shares.agg(F.sum("share_pct")).first()[0] == pytest.approx(100)

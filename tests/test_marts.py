@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.functions import measures as M
-from orderlens.operators.distinct import with_distinct_count
+from orderlens.operators.distinct import with_distinct_count, with_scattered_distinct_count
 from orderlens.plans import marts
 from orderlens.schema import CANCELED, EARLY, LATE, ON_TIME
 
@@ -108,9 +108,44 @@ def test_distinct_count_equals_the_built_in_one(spark, keys):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "40")
     try:
-        split = with_distinct_count(df, keys, "v", "n", [F.sum("x").alias("s"), F.count("*").alias("c")])
+        sums = [F.sum("x").alias("s"), F.count("*").alias("c")]
         plain = df.groupBy(*keys).agg(F.countDistinct("v").alias("n"), F.sum("x").alias("s"), F.count("*").alias("c"))
-        assert split.columns == plain.columns
-        assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+        for counted in (with_distinct_count, with_scattered_distinct_count):
+            for value in ("v", "-v"):
+                rows = df.withColumn("v", F.expr(value))
+                split = counted(rows, keys, "v", "n", sums)
+                assert split.columns == plain.columns
+                assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_distinct_count_of_no_rows(spark):
+    none = spark.range(0).select("id", F.col("id").alias("x"))
+    for counted in (with_distinct_count, with_scattered_distinct_count):
+        row = counted(none, [], "id", "n", [F.count("*").alias("c"), F.sum("x").alias("s")]).first()
+        assert tuple(row) == (0, 0, None)
+
+
+def test_distinct_count_at_bucket_borders(spark):
+    values = [-(1 << 40), -32769, -32768, -1, 0, 1, 32767, 32768, 32769, 65536, 65537, 1 << 40, (1 << 63) - 1, 1, 0, None]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    assert with_distinct_count(df, [], "v", "n", [F.count("*").alias("c")]).first()[:] == (13, 16)
+
+
+@pytest.mark.parametrize("name", marts.MARTS)
+def test_written_marts_equal_direct_ones(house, name):
+    """Every value of the one-pass marts, and their order, against the mart from the lines."""
+    assert [tuple(r) for r in house.mart(name).collect()] == [tuple(r) for r in marts.MARTS[name](house.fact()).collect()]
+
+
+def test_one_pass_keeps_null_keys_apart_from_absent_ones(make_fact):
+    lines = make_fact(
+        {"market": None, "order_region": None, "order_id": 5},
+        {"market": None, "order_region": None, "shipping_mode": None, "category_name": None, "department_name": None, "order_id": 5},
+        {"order_id": None},
+        {"order_id": 70_000, "order_region": None},
+    )
+    totals = marts.totals_of_all(lines)
+    for mart in marts.MARTS.values():
+        assert mart.rolled_up(totals).collect() == mart(lines).collect()

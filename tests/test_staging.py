@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from orderlens import schema as S
 from orderlens.functions.timestamps import month_label, month_start, parse_minutes
 from orderlens.operators.staging import fact, stage
+from orderlens.sources import tables
 
 NINE = dt.datetime(2015, 1, 5, 9, 7)
 
@@ -81,7 +82,8 @@ def test_strict_dates_stop_the_job(spark):
 
 def test_staged_columns_and_types(spark):
     staged = stage(raw_frame(spark, {}))
-    assert [(f.name, f.dataType) for f in staged.schema] == [(f.name, f.dataType) for f in S.FACT_SCHEMA]
+    assert staged.columns == S.FACT_COLUMNS and staged.schema["sales"].dataType == S.WIDE_MONEY
+    assert [(f.name, f.dataType) for f in fact(staged).schema] == [(f.name, f.dataType) for f in S.FACT_SCHEMA]
     row = staged.first()
     assert row["order_month"] == dt.datetime(2015, 1, 1) and row["order_year"] == 2015
     assert row["delay_days"] == -1 and row["sales"] == Decimal("327.75")
@@ -153,6 +155,16 @@ def test_large_amounts_are_in_the_sums(spark):
     assert stage(raw_frame(spark, *rows)).agg(F.sum("sales")).first()[0] == Decimal("12345678912.5")
 
 
+def test_amounts_beyond_the_fact_stop_it_or_make_it_wide(spark, tmp_path):
+    staged = stage(text_frame(spark, **{"Sales": "12345678901.5", "order date (DateOrders)": "1/2/2016 10:00"}))
+    with pytest.raises(PySparkException, match="sales does not fit"):
+        fact(staged).collect()
+    tables.write_fact(fact(staged, wide_amounts=True), str(tmp_path / "wide"))
+    assert tables.read_fact(spark, str(tmp_path / "wide")).first()["sales"] == Decimal("12345678901.5")
+    tables.write_fact(fact(staged).limit(0), str(tmp_path / "none"))
+    assert tables.read_fact(spark, str(tmp_path / "none")).schema["sales"].dataType == S.MONEY
+
+
 def test_fact_keeps_dated_lines_only(spark):
     raw = raw_frame(spark, {}, {"order date (DateOrders)": None}, {"order date (DateOrders)": "n/a"})
     assert fact(stage(raw)).count() == 1
