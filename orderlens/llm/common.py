@@ -4,6 +4,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,29 @@ def saved(spark, df: DataFrame, compression="snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df, name):
+    """``name``, or one like it, that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(spark, docs, name):
+    """``docs`` with a text beside each row that tells rows apart, the same at every reading.
+
+    Rows of files are known by file and place; only what is not read straight from files
+    is written first, with numbers.
+    """
+    try:
+        if "_metadata" in docs.columns:
+            raise AnalysisException("a column of the table itself")
+        place = F.concat(F.col("_metadata.file_path"), F.lit("#"), F.col("_metadata.row_index").cast("string"))
+        return docs.withColumn(name, place)
+    except AnalysisException:
+        return saved(spark, docs.withColumn(name, F.monotonically_increasing_id().cast("string")))
+
+
 def crc_remainder(id_column, divisor):
     """crc32 of the id as text, modulo a divisor; documents without an id count as empty."""
     text = F.coalesce(id_column.cast("string"), F.lit(""))

@@ -9,7 +9,7 @@ to say at the same share of its target.
 
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import WORD, running_totals, saved, table
+from orderlens.llm.common import WORD, free_name, numbered, running_totals, saved, table
 
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
@@ -107,10 +107,12 @@ def _copies(spark, docs, row, id_col="doc_id", text_col="text", source_col="sour
 
 def mixed(spark, docs):
     """The rows of ``docs``, each as often as the mix takes it, also where they share a doc_id or have none."""
-    numbered = saved(spark, docs.withColumn("_row", F.monotonically_increasing_id()))
-    copies = _copies(spark, numbered, F.col("_row")).where("copies > 0").select(F.col("row").alias("_row"), F.col("copies").alias("_copies"))
-    taken = numbered.join(copies, "_row")
-    return taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select(docs.columns)
+    row, number, copy = (free_name(docs, name) for name in ("_row", "_copies", "_copy"))
+    known = numbered(spark, docs, row)
+    copies = _copies(spark, known, F.col(row)).where("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(number))
+    # About as many rows as are taken: never broadcast, at any size.
+    taken = known.join(copies.hint("merge"), row)
+    return taken.withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.col(number).cast("int")))).select(docs.columns)
 
 
 def op2_mixing(spark, sf_dir):

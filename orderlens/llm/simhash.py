@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from orderlens.llm.common import components, saved, table
+from orderlens.llm.common import components, free_name, numbered, saved, table
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -64,11 +64,11 @@ def _fingerprint_batches(batches):
 
 
 def fingerprints(docs, id_col="doc_id", text_col="text", keep=None):
-    """doc_id and fp (the fingerprint as a signed long) of every row; ``keep`` names a long beside them."""
+    """doc_id and fp (the fingerprint as a signed long) of every row; ``keep`` names a string beside them."""
     kept = [keep] if keep else []
     text = F.col(text_col).cast("binary").alias("text")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *kept, text)
-    return rows.mapInArrow(_fingerprint_batches, ", ".join(f"{name} long" for name in ["doc_id", *kept, "fp"]))
+    return rows.mapInArrow(_fingerprint_batches, ", ".join(["doc_id long", *[f"`{name}` string" for name in kept], "fp long"]))
 
 
 def _keys(fp):
@@ -213,18 +213,20 @@ def _rooted(spark, marked):
 def one_of_each_group(spark, docs):
     """One row of ``docs`` of each component, the one with the smallest doc_id.
 
-    Of rows that repeat that doc_id within the component the first in the saved table
+    Of rows that repeat that doc_id within the component the first by file and place
     stays; a row without doc_id stays only where no other has one. Rows of different
     components all stay, also if they share a doc_id or have none.
     """
-    numbered = saved(spark, docs.withColumn("_row", F.monotonically_increasing_id()))
-    marked = saved(spark, fingerprints(numbered, keep="_row"))
+    row = free_name(docs, "_row")
+    known = numbered(spark, docs, row)
+    marked = saved(spark, fingerprints(known, keep=row))
     # Per fingerprint first, so that a large component is one row per task.
-    place = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "_row")).alias("place")
+    place = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", row)).alias("place")
     firsts = marked.groupBy("fp").agg(place)
     firsts = firsts.join(_rooted(spark, marked).select("fp", "root"), "fp")
-    stay = firsts.groupBy("root").agg(F.min("place").alias("place")).select(F.col("place._row").alias("_row"))
-    return numbered.join(saved(spark, stay), "_row", "left_semi").select(docs.columns)
+    stay = firsts.groupBy("root").agg(F.min("place").alias("place")).select(F.col("place")[row].alias(row))
+    # As many rows as stay: never broadcast, at any size.
+    return known.join(saved(spark, stay).hint("merge"), row, "left_semi").select(docs.columns)
 
 
 def op1_simhash(spark, sf_dir):
