@@ -50,10 +50,14 @@ def transcode(spark, args):
 
 
 def build(spark, args):
+    """Rebuild all tables; with a report, run the packaged contract on them."""
     raw = raw_csv.read_order_lines(spark, args.source, args.encoding, args.multiline)
     house = Warehouse(spark, args.warehouse).build(raw, args.strict_dates, args.wide_amounts)
-    house.row_counts().show(truncate=False)
+    spark.createDataFrame(list(house.written.items()), "object string, nb_rows long").show(truncate=False)
     print(f"lines without an order date, not in the fact: {house.undated_lines()}")
+    if args.report:
+        args.contract = None
+        return check(spark, args)
 
 
 def check(spark, args):
@@ -112,6 +116,7 @@ def arguments(argv):
     job.add_argument("--encoding", default="UTF-8")
     job.add_argument("--multiline", action="store_true", help="quoted fields hold line breaks")
     job.add_argument("--strict-dates", action="store_true", help="stop on a date that does not parse")
+    job.add_argument("--report", help="run the packaged contract afterwards and write its report there")
     job.add_argument("--wide-amounts", action="store_true", help="amounts of 10 billion and more occur; slower")
     job.set_defaults(run=build)
 

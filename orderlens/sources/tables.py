@@ -45,6 +45,67 @@ def read_table(spark, path):
     return spark.read.parquet(path)
 
 
+# --- tables that readers see whole ------------------------------------------------
+
+# A snapshot's folder is this and its number; Spark marks a finished write.
+SNAPSHOT = "snapshot-"
+FINISHED = "_SUCCESS"
+
+
+def _files(spark, path):
+    """Spark's file system of a path, and the path as an object of it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def snapshots(spark, path):
+    """Number -> is it finished, of the snapshots of a table."""
+    files, place = _files(spark, path)
+    if not files.exists(place):
+        return {}
+    found = {}
+    for status in files.listStatus(place):
+        name = status.getPath().getName()
+        if name.startswith(SNAPSHOT):
+            done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(status.getPath(), FINISHED)
+            found[int(name[len(SNAPSHOT) :].split("-")[0])] = (name, files.exists(done))
+    return found
+
+
+def current(spark, path):
+    """The folder of a table's latest finished snapshot; the path itself where it has none."""
+    finished = [name for _, (name, done) in sorted(snapshots(spark, path).items()) if done]
+    return f"{path}/{finished[-1]}" if finished else path
+
+
+def replace(spark, path, write):
+    """Replace a table by what ``write`` puts into the folder it is given.
+
+    The table is written beside the old one and becomes current with the marker that
+    Spark's writer leaves last: readers see the old rows or the new ones, never none,
+    and a job that fails on the way leaves the old ones current. The snapshot before
+    stays, for readers that have already listed its files; what is older, or was left
+    unfinished by an earlier job, is deleted. One job at a time may replace a table.
+    """
+    before = snapshots(spark, path)
+    number = max(before, default=0) + 1
+    write(f"{path}/{SNAPSHOT}{number:010d}-{uuid.uuid4().hex[:8]}")
+    kept = max((n for n, (_, done) in before.items() if done), default=None)
+    for old, (name, _) in before.items():
+        if old != kept:
+            files, place = _files(spark, f"{path}/{name}")
+            files.delete(place, True)
+
+
+def counted(df, seen):
+    """``df`` with its rows counted while it is written; ``rows_counted(seen)`` has the number then."""
+    return df.observe(seen, F.count("*").alias("rows"))
+
+
+def rows_counted(seen):
+    return seen.get["rows"]
+
+
 def written_aside(df):
     """A result that several later ones read, written to the scratch folder and read again.
 

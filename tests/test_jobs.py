@@ -3,6 +3,8 @@
 import json
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from orderlens.__main__ import BREAKDOWNS, main
 from orderlens.plans.warehouse import Warehouse
@@ -86,6 +88,33 @@ def test_nothing_is_left_out_of_a_listing(spark, folder, tmp_path, capsys):
     assert capsys.readouterr().out.count("\n|") - 1 == want
 
 
+def test_a_failed_rebuild_leaves_the_old_tables(spark, folder, tmp_path):
+    lines = order_lines(spark, folder)
+    house = Warehouse(spark, str(tmp_path / "house")).build(lines)
+    rows, region = house.fact().count(), house.mart("mart_region").collect()
+    reader = Warehouse(spark, str(tmp_path / "house")).fact()  # has listed its files
+    stop = F.when(F.col("Order Id") > 100, F.raise_error(F.lit("midway"))).otherwise(F.lit("Europe"))
+    for _ in range(2):
+        with pytest.raises(PySparkException, match="midway"):
+            Warehouse(spark, str(tmp_path / "house")).build(lines.withColumn("Market", stop))
+    again = Warehouse(spark, str(tmp_path / "house"))
+    assert again.fact().count() == rows and again.raw().count() == lines.count()
+    assert again.mart("mart_region").collect() == region
+    again.build(lines.where(F.col("Order Id") <= 100))
+    assert 0 < again.fact().count() < rows and reader.count() == rows
+    assert again.written["fct_sales"] == again.fact().count() and again.written["mart_region"] == again.mart("mart_region").count()
+    for _ in range(2):
+        again.build_marts()
+    kept = [p.name for p in (tmp_path / "house" / "mart_region").iterdir() if p.is_dir()]
+    assert len(kept) == 2
+
+
+def test_a_build_may_check_itself(built, tmp_path):
+    failed = main(["build", str(built / "utf8"), str(tmp_path / "house"), "--report", str(tmp_path / "r")])
+    written = json.loads(next((tmp_path / "r").glob("*.json")).read_text())
+    assert written["total_tests"] > 20 and failed == (written["failed"] > 0)
+
+
 def test_rules_on_the_raw_table(built, tmp_path):
     contract = {"tables": [{"name": "raw_order_lines", "columns": [{"name": "Order Id", "tests": ["not_null"]}]}]}
     (tmp_path / "c.json").write_text(json.dumps(contract))
