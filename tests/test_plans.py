@@ -57,10 +57,11 @@ def test_top_k_is_not_a_full_sort(house):
 
 
 def test_no_query_multiplies_rows_or_runs_python(spark, folder):
-    """Nor does any rank or gather all groups in a window without a key."""
+    """Nor does any rank or gather all groups in a window: the only ones number lines within a file's ranges."""
     for name, query in QUERIES.items():
         text = plan(query(spark, folder))
-        for word in ("Window [", "CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
+        assert set(re.findall(r"windowspecdefinition\((\w+)", text)) <= {"file"}, name
+        for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
             assert word not in text, (name, word)
 
 
