@@ -70,8 +70,7 @@ class Mart:
 
     def rolled_up(self, totals):
         """The mart from the rows of ``totals_of_all`` that belong to its keys."""
-        mine = totals.where(F.col("grouped_by") == _grouping_number(self))
-        return self._finished(mine.groupBy(*self.keys).agg(*[F.sum(n).alias(n) for n in ("nb_orders", *_additive())]))
+        return self._finished(totals.where(F.col("grouped_by") == _grouping_number(self)))
 
     def _finished(self, grouped):
         orders = ["nb_orders"] if self.with_orders else []
@@ -139,9 +138,11 @@ def _grouping_number(mart):
 def totals_of_all(fact):
     """Sums and counts of all marts from one scan of the fact.
 
-    One aggregation over grouping sets: a row per group of each mart, or per group and
-    word of order numbers, with ``grouped_by`` telling the marts apart.
+    One aggregation over grouping sets makes a row per group of each mart, or per group and
+    word of order numbers; the words then add up to a row per group. ``grouped_by`` tells
+    the marts apart.
     """
     sets = [[F.col(c) for c in _grouping_set(mart)] for mart in MARTS.values()]
     grouped = with_bucket(fact, "order_id").groupingSets(sets, *_KEYS, BUCKET)
-    return grouped.agg(F.grouping_id().alias("grouped_by"), bits_set().alias("nb_orders"), *_sums())
+    words = grouped.agg(F.grouping_id().alias("grouped_by"), bits_set().alias("nb_orders"), *_sums())
+    return words.groupBy("grouped_by", *_KEYS).agg(*[F.sum(n).alias(n) for n in ("nb_orders", *_additive())])
