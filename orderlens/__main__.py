@@ -4,8 +4,6 @@ import argparse
 import sys
 from datetime import datetime
 
-from pyspark import StorageLevel
-
 from orderlens.contracts import packaged_contract
 from orderlens.operators.filters import Filters, apply_filters
 from orderlens.plans import explore, quality
@@ -74,7 +72,7 @@ def check(spark, args):
 
 
 def explore_selection(spark, args):
-    """Print, or write, breakdowns of one selection; several share its lines."""
+    """Print, or write, breakdowns of one selection; several share one pass over its lines."""
     values = lambda given: tuple(given) if given else None
     filters = Filters(
         args.month_from, args.month_to, values(args.market), values(args.mode), values(args.segment)
@@ -82,8 +80,7 @@ def explore_selection(spark, args):
     selection = apply_filters(Warehouse(spark, args.warehouse).fact(), filters).select(EXPLORED_COLUMNS)
     names = sorted(BREAKDOWNS) if "all" in args.breakdown else list(dict.fromkeys(args.breakdown))
     if len(names) > 1:
-        # Lost blocks are read from the fact again; what memory cannot hold goes to disk.
-        selection = selection.persist(StorageLevel.MEMORY_AND_DISK)
+        selection = explore.breakdown_cube(selection)
     if explore.is_empty(selection):
         print("no order line matches the filters")
     for name in names:
@@ -94,8 +91,6 @@ def explore_selection(spark, args):
         else:
             print(name)
             result.show(args.rows or ALL_ROWS, truncate=False)
-    if len(names) > 1:
-        selection.unpersist()
 
 
 def arguments(argv):

@@ -1,18 +1,14 @@
-"""Value counts and histograms of numeric columns."""
+"""Histograms of numeric columns."""
 
 from pyspark.sql import functions as F
 
 
-def value_counts(df, column, name="nb_lines"):
-    return df.dropna(subset=[column]).groupBy(column).agg(F.count("*").alias(name))
-
-
-def equal_width(df, column, bins=20):
+def equal_width(df, column, bins=20, lines=None):
     """At most ``bins`` equal bins between the smallest and largest value of any numeric column.
 
     One pass finds the bounds, one counts: the bin of a line is computed before the
     partial aggregation, so a task hands on at most ``bins`` rows, however many distinct
-    values there are.
+    values there are. ``lines`` names a column that says how many lines a row stands for.
     """
     value = F.col(column).cast("double")
     ends = df.select(F.struct(F.min(column).cast("double").alias("low"), F.max(column).cast("double").alias("high"))).scalar()
@@ -20,8 +16,9 @@ def equal_width(df, column, bins=20):
     # The largest value closes the last bin; a single value makes a single bin.
     slot = F.floor(F.try_divide((value - low) * bins, spread))
     number = F.least(F.coalesce(slot, F.lit(0)) + 1, F.lit(bins)).cast("int")
-    lines = df.select(column).dropna().withColumn("_ends", ends)
-    counted = lines.groupBy(number.alias("bin")).agg(F.count("*").alias("nb_lines")).withColumn("_ends", ends)
+    rows = df.dropna(subset=[column]).withColumn("_ends", ends)
+    many = F.sum(lines) if lines else F.count("*")
+    counted = rows.groupBy(number.alias("bin")).agg(many.alias("nb_lines")).withColumn("_ends", ends)
     return counted.select(
         "bin",
         (low + spread / bins * (F.col("bin") - 1)).alias("bin_from"),

@@ -1,9 +1,9 @@
 """Exploration queries over a filtered fact.
 
-Each takes the lines kept by ``apply_filters`` and returns a small table. Lines
-without a value in a group key are left out. Rates read only lines that were not
-cancelled, as conditions inside the aggregate, so the lines are scanned once even
-where a result combines all lines with the kept ones.
+Each takes the lines kept by ``apply_filters``, or ``breakdown_cube`` of them, and returns
+a small table. Lines without a value in a group key are left out. Rates read only lines
+that were not cancelled, as conditions inside the aggregate, so the lines are scanned
+once even where a result combines all lines with the kept ones.
 """
 
 from pyspark.sql import functions as F
@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import measures as M
 from orderlens.functions.timestamps import month_label
 from orderlens.operators import histogram, ranking
-from orderlens.operators.distinct import with_distinct_count
-from orderlens.operators.filters import without_null_keys
+from orderlens.operators.cube import Cube, cube, mean, sums
 
 DEFAULT_TARGET = 20
 
@@ -26,24 +25,34 @@ DISCOUNT_SALES_QUANTILE = 0.3
 DELAY_BINS = 20
 
 
-def is_empty(selection):
-    return selection.isEmpty()
-
-
-def _by(selection, *keys):
-    return without_null_keys(selection, *keys).groupBy(*keys)
+#: What the breakdowns group by; those that count orders are named again.
+GROUPINGS = [
+    (),
+    ("order_month",),
+    ("order_month", "customer_segment"),
+    ("delivery_status",),
+    ("shipping_mode",),
+    ("delay_days",),
+    ("order_region",),
+    ("department_name",),
+    ("category_name",),
+    ("market",),
+    ("order_country",),
+    ("customer_segment",),
+    ("customer_segment", "market"),
+]
+WITH_ORDERS = [(), ("market",), ("customer_segment",)]
 
 
-def _sales():
-    return M.total("sales").alias("sales")
+def breakdown_cube(selection):
+    """What all breakdowns need of a selection, from one scan of its lines."""
+    return cube(selection, GROUPINGS, WITH_ORDERS)
 
 
-def _profit():
-    return M.total("profit").alias("profit")
-
-
-def _with_orders(selection, keys, *aggregates):
-    return with_distinct_count(selection, keys, "order_id", "nb_orders", aggregates)
+def is_empty(selection):
+    if isinstance(selection, Cube):
+        return selection.sums((), ["nb_lines"]).first()["nb_lines"] == 0
+    return selection.isEmpty()
 
 
 def _basket():
@@ -55,13 +64,15 @@ def _with_margin(df):
     return df.withColumn("margin", M.margin(F.col("profit"), F.col("sales")))
 
 
-def _kept_rows():
-    return F.count_if(M.kept()).alias("_kept")
+def _amounts(selection, keys, *names):
+    """Sums of amounts, handed out as doubles."""
+    return _handed_out(sums(selection, keys, *names), *names)
 
 
-def _decimals(*names):
-    """Exact sums, to be handed out by ``_handed_out`` after they are added up."""
-    return [F.sum(name).alias(name) for name in names]
+def _late_rates(selection, key):
+    """Late rate of every group that has a kept line."""
+    counts = sums(selection, [key], "_kept", *M.count_names("is_late"))
+    return _having_kept(counts).select(key, M.rate_of_counts("is_late").alias("late_rate"))
 
 
 def _handed_out(df, *names):
@@ -89,7 +100,7 @@ def dimension_options(fact):
 
 
 def header_counts(selection):
-    return _with_orders(selection, [], F.count("*").alias("nb_lines"))
+    return sums(selection, [], "nb_lines", orders=True)
 
 
 def overall_late_rate(selection):
@@ -101,26 +112,17 @@ def overall_on_time_rate(selection):
 
 
 def average_basket(selection):
-    sums = _with_orders(selection, [], M.identified_sales().alias("_identified"))
-    return sums.select(_basket().alias("avg_basket"))
+    return sums(selection, [], "_identified", orders=True).select(_basket().alias("avg_basket"))
 
 
 def kpi_cards(selection, late_target=DEFAULT_TARGET):
-    sums = _with_orders(
-        selection,
-        [],
-        *M.flag_counts("is_late"),
-        *M.flag_counts("is_on_time"),
-        _kept_rows(),
-        *_decimals("sales", "profit", "delay_days"),
-        F.count("delay_days").alias("_delays"),
-        M.identified_sales().alias("_identified"),
-    )
+    counts = [*M.count_names("is_late"), *M.count_names("is_on_time"), "_kept", "_delay_days_sum", "_delay_days_n"]
+    totals = sums(selection, [], "sales", "profit", "_identified", *counts, orders=True)
     late = F.when(F.col("_kept") == 0, 0.0).otherwise(M.rate_of_counts("is_late"))
-    figures = sums.select(
+    figures = totals.select(
         late.alias("late_rate"),
         M.rate_of_counts("is_on_time").alias("on_time_rate"),
-        M.safe_ratio(F.col("delay_days"), F.col("_delays")).alias("avg_delay_days"),
+        mean("delay_days").alias("avg_delay_days"),
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ("sales", "profit")],
         _basket().alias("avg_basket"),
     )
@@ -139,52 +141,53 @@ def kpi_cards(selection, late_target=DEFAULT_TARGET):
 
 
 def monthly_sales_profit(selection):
-    return _by(selection, "order_month").agg(_sales(), _profit()).orderBy("order_month")
+    return _amounts(selection, ["order_month"], "sales", "profit").orderBy("order_month")
 
 
 def monthly_late_rate(selection, late_target=DEFAULT_TARGET):
-    rates = _by(selection.where(M.kept()), "order_month").agg(M.flag_rate("is_late").alias("late_rate"))
+    rates = _late_rates(selection, "order_month")
     return rates.withColumn("target", F.lit(late_target)).orderBy("order_month")
 
 
 def monthly_sales_by_segment(selection):
     keys = ["order_month", "customer_segment"]
-    return _by(selection, *keys).agg(_sales()).orderBy(*keys)
+    return _amounts(selection, keys, "sales").orderBy(*keys)
 
 
 # --- logistics -----------------------------------------------------------------
 
 
 def delivery_status_share(selection):
-    counts = histogram.value_counts(selection, "delivery_status", "n")
+    counts = sums(selection, ["delivery_status"], "nb_lines").withColumnRenamed("nb_lines", "n")
     shares = ranking.share_of_total(counts, "n", "share_pct")
     return shares.orderBy(F.col("n").desc(), F.col("delivery_status"))
 
 
 def late_rate_by_mode(selection):
-    rates = _by(selection.where(M.kept()), "shipping_mode").agg(M.flag_rate("is_late").alias("late_rate"))
+    rates = _late_rates(selection, "shipping_mode")
     toned = rates.withColumn("tone", M.late_rate_tone(F.col("late_rate")))
     return toned.orderBy("late_rate", "shipping_mode")
 
 
 def days_real_vs_scheduled(selection):
-    means = _by(selection, "shipping_mode").agg(
-        F.avg("days_real").alias("avg_days_real"), F.avg("days_scheduled").alias("avg_days_scheduled")
-    )
+    days = ("days_real", "days_scheduled")
+    totals = sums(selection, ["shipping_mode"], *[f"_{c}_{part}" for c in days for part in ("sum", "n")])
+    means = totals.select("shipping_mode", *[mean(c).alias(f"avg_{c}") for c in days])
     return means.orderBy("shipping_mode")
 
 
 def delay_histogram(selection):
-    return histogram.value_counts(selection, "delay_days").orderBy("delay_days")
+    return sums(selection, ["delay_days"], "nb_lines").orderBy("delay_days")
 
 
 def delay_histogram_bins(selection, bins=DELAY_BINS):
+    if isinstance(selection, Cube):
+        return histogram.equal_width(sums(selection, ["delay_days"], "nb_lines"), "delay_days", bins, "nb_lines")
     return histogram.equal_width(selection, "delay_days", bins)
 
 
 def late_rate_top_regions(selection, k=TOP_REGIONS):
-    rates = _by(selection.where(M.kept()), "order_region").agg(M.flag_rate("is_late").alias("late_rate"))
-    return ranking.top_k(rates, "late_rate", "order_region", k)
+    return ranking.top_k(_late_rates(selection, "order_region"), "late_rate", "order_region", k)
 
 
 # --- finance -------------------------------------------------------------------
@@ -192,13 +195,13 @@ def late_rate_top_regions(selection, k=TOP_REGIONS):
 
 def department_top_sales(selection, k=TOP_DEPARTMENTS):
     return ranking.top_k(
-        _by(selection, "department_name").agg(_sales(), _profit()), "sales", "department_name", k
+        _amounts(selection, ["department_name"], "sales", "profit"), "sales", "department_name", k
     )
 
 
 def sales_quantiles(selection, group="category_name", quantiles=(0.3, 0.4)):
     """Interpolated quantiles of the sales per group, one row."""
-    grouped = ranking.grouped_aside(_by(selection, group).agg(_sales()), "sales")
+    grouped = ranking.grouped_aside(_amounts(selection, [group], "sales"), "sales")
     found = grouped.quantiles(quantiles)
     named = [F.lit(value).cast("double").alias(f"q{round(q * 100)}") for q, value in zip(quantiles, found)]
     return grouped.rows.sparkSession.range(1).select(*named)
@@ -206,19 +209,16 @@ def sales_quantiles(selection, group="category_name", quantiles=(0.3, 0.4)):
 
 def category_margin_topflop(selection, group="category_name"):
     """Lowest and highest margins among groups that sell enough."""
-    grouped = ranking.grouped_aside(_by(selection, group).agg(_sales(), _profit()), "sales")
+    grouped = ranking.grouped_aside(_amounts(selection, [group], "sales", "profit"), "sales")
     selling = _with_margin(grouped.above_quantile(MARGIN_SALES_QUANTILE))
     ends = ranking.both_ends(selling, "margin", group, CATEGORY_ENDS)
     return ends.withColumn("tone", M.category_tone(F.col("margin"))).orderBy("side", "position")
 
 
 def discount_vs_margin(selection):
-    grouped = _by(selection, "category_name").agg(
-        (M.mean_of_decimal("discount_rate") * 100.0).alias("discount"),
-        _profit(),
-        _sales(),
-        F.sum("quantity").alias("units"),
-    )
+    totals = sums(selection, ["category_name"], "_discount_rate_sum", "_discount_rate_n", "profit", "sales", "units")
+    discount = (mean("discount_rate") * 100.0).alias("discount")
+    grouped = _handed_out(totals.select("category_name", discount, "profit", "sales", "units"), "profit", "sales")
     selling = ranking.grouped_aside(grouped, "sales").above_quantile(DISCOUNT_SALES_QUANTILE)
     return _with_margin(selling).orderBy("category_name")
 
@@ -227,7 +227,7 @@ def discount_vs_margin(selection):
 
 
 def sales_by_market(selection):
-    return _by(selection, "market").agg(_sales()).orderBy("sales", "market")
+    return _amounts(selection, ["market"], "sales").orderBy("sales", "market")
 
 
 def region_sales_late(selection, k=TOP_REGIONS):
@@ -236,14 +236,13 @@ def region_sales_late(selection, k=TOP_REGIONS):
     Joining the sales of all lines to the rate of kept lines drops a region with
     only cancelled lines; one aggregate and a test on the kept lines does too.
     """
-    grouped = _by(selection, "order_region").agg(
-        _sales(), M.flag_rate("is_late").alias("late_rate"), _kept_rows()
-    )
+    totals = _handed_out(sums(selection, ["order_region"], "sales", "_kept", *M.count_names("is_late")), "sales")
+    grouped = totals.select("order_region", "sales", M.rate_of_counts("is_late").alias("late_rate"), "_kept")
     return ranking.top_k(_having_kept(grouped), "sales", "order_region", k)
 
 
 def country_top_sales(selection, k=TOP_COUNTRIES):
-    return ranking.top_k(_by(selection, "order_country").agg(_sales()), "sales", "order_country", k)
+    return ranking.top_k(_amounts(selection, ["order_country"], "sales"), "sales", "order_country", k)
 
 
 def _having_kept(grouped):
@@ -251,10 +250,8 @@ def _having_kept(grouped):
 
 
 def _summary(selection, key):
-    sums = _with_orders(
-        without_null_keys(selection, key), [key], *_decimals("sales", "profit"), *M.flag_counts("is_late"), _kept_rows()
-    )
-    grouped = _handed_out(sums, "sales", "profit").withColumn("late_rate", M.rate_of_counts("is_late"))
+    totals = sums(selection, [key], "sales", "profit", *M.count_names("is_late"), "_kept", orders=True)
+    grouped = _handed_out(totals, "sales", "profit").withColumn("late_rate", M.rate_of_counts("is_late"))
     return _with_margin(_having_kept(grouped)).drop(*M.count_names("is_late"))
 
 
@@ -272,4 +269,4 @@ def segment_summary(selection):
 
 def profit_segment_market(selection):
     keys = ["customer_segment", "market"]
-    return _by(selection, *keys).agg(_profit()).orderBy(*keys)
+    return _amounts(selection, keys, "profit").orderBy(*keys)
