@@ -24,13 +24,20 @@ def _month(text):
     return F.lit(f"{text}-01").cast("timestamp_ntz")
 
 
-def month_range(month_from=None, month_to=None):
-    """Range on the stored month, repeated on the partition column for pruning."""
+def _number(text):
+    """Months since year 0."""
+    return int(text[:4]) * 12 + int(text[5:])
+
+
+def month_range(month_from=None, month_to=None, number=None):
+    """Range on the stored month, repeated for pruning on the partition column and, by name, the month's number."""
     tests = [F.lit(True)]
     if month_from:
         tests += [F.col("order_month") >= _month(month_from), F.col("order_year") >= int(month_from[:4])]
+        tests += [F.col(number) >= _number(month_from)] if number else []
     if month_to:
         tests += [F.col("order_month") <= _month(month_to), F.col("order_year") <= int(month_to[:4])]
+        tests += [F.col(number) <= _number(month_to)] if number else []
     return _all(tests)
 
 
@@ -49,8 +56,9 @@ def _all(tests):
 
 def apply_filters(fact, filters=Filters()):
     """One conjunction on stored columns, so all of it reaches the scan."""
+    number = fact.schema["order_month"].metadata.get("number")
     return fact.where(
-        month_range(filters.month_from, filters.month_to)
+        month_range(filters.month_from, filters.month_to, number)
         & one_of("market", filters.markets)
         & one_of("shipping_mode", filters.modes)
         & one_of("customer_segment", filters.segments)

@@ -10,31 +10,55 @@ from orderlens.schema import FACT_COLUMNS, FACT_SCHEMA
 from orderlens.session import workspace
 
 
-def write_fact(fact, path):
+#: Bytes of a row group of the fact before compression: a file has a dozen, so that its sort order can skip some.
+ROW_GROUP_BYTES = 32 << 20
+#: Inside a file the lines are sorted by these. A line's market, mode and segment are its order's.
+FACT_ORDER = ("order_year", "order_month", "market", "shipping_mode", "customer_segment", "order_id")
+
+
+#: A stored column that readers do not see: the month counted from year 0. Spark compares no
+#: timestamp without time zone with the bounds of row groups, but it does whole numbers.
+MONTH_NUMBER = "_month_number"
+
+
+def write_fact(fact, path, row_group_bytes=ROW_GROUP_BYTES):
     """Replace the fact, partitioned by order year.
 
     The rebalance gathers each year into few well-sized files and splits a year
-    that holds most of the rows over several tasks. Sorting by month inside a file
-    lets month filters skip row groups; sorting on by order keeps the lines of one
-    order together, so distinct-order counts shrink before they are shuffled.
+    that holds most of the rows over several tasks. Sorted by month, then by the three
+    dimensions, each combination is one run of rows in a file: filters on any of them
+    skip row groups by their bounds and dictionaries, and pages within those they
+    read. Lines of one order stay together, so distinct-order counts shrink before they
+    are shuffled.
     """
+    month = F.col("order_month")
     (
-        fact.hint("rebalance", "order_year", "order_month")
-        .sortWithinPartitions("order_year", "order_month", "order_id")
+        fact.withColumn(MONTH_NUMBER, F.year(month) * 12 + F.month(month))
+        .hint("rebalance", "order_year", "order_month")
+        .sortWithinPartitions(*FACT_ORDER)
         .write.mode("overwrite")
+        .option("parquet.block.size", row_group_bytes)
         .partitionBy("order_year")
         .parquet(path)
     )
 
 
 def read_fact(spark, path):
-    """The fact with its declared columns and types; only the width of amounts is that of its files."""
+    """The fact with its declared columns and types; only the width of amounts is that of its files.
+
+    Where the files have the month's number, ``order_month`` names it in its metadata, and
+    ``apply_filters`` on what is returned here compares it too.
+    """
     try:
         found = spark.read.parquet(path).schema
     except AnalysisException:  # a fact without lines has no files
         found = FACT_SCHEMA
     kinds = [T.StructField(f.name, found[f.name].dataType if isinstance(f.dataType, T.DecimalType) else f.dataType) for f in FACT_SCHEMA]
-    return spark.read.schema(T.StructType(kinds)).parquet(path).select(FACT_COLUMNS)
+    if MONTH_NUMBER not in found.names:
+        return spark.read.schema(T.StructType(kinds)).parquet(path).select(FACT_COLUMNS)
+    kinds.append(T.StructField(MONTH_NUMBER, T.IntegerType()))
+    month = F.col("order_month").alias("order_month", metadata={"number": MONTH_NUMBER})
+    return spark.read.schema(T.StructType(kinds)).parquet(path).select([month if c == "order_month" else c for c in FACT_COLUMNS])
 
 
 def write_table(df, path):

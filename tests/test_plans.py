@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.checks.registry import ALL_FILTERS, QUERIES
-from orderlens.operators.filters import apply_filters
+from orderlens.operators.filters import Filters, apply_filters
 from orderlens.plans import explore, marts, quality
 from orderlens.contracts import packaged_contract
+from orderlens.schema import FACT_COLUMNS
 from orderlens.sources import star, tables
 
 
@@ -110,3 +111,24 @@ def test_a_year_with_most_rows_is_split_over_files(spark, make_fact, tmp_path):
     files = lambda year: len(list(Path(tmp_path / "f" / f"order_year={year}").glob("*.parquet")))
     assert files(2016) > 3 and files(2017) == 1
     assert tables.read_fact(spark, str(tmp_path / "f")).count() == 60_100
+
+
+def test_filters_on_any_dimension_skip_rows_of_a_file(spark, make_fact, tmp_path):
+    places = spark.createDataFrame([(m, s, c) for m in "ABCDE" for s in "FGHI" for c in "XYZ"], "market string, shipping_mode string, customer_segment string")
+    months = make_fact({}, {"order_ts": dt.datetime(2016, 9, 5)}).drop(*places.columns)
+    lines = months.join(F.broadcast(places)).join(spark.range(600))
+    lines = lines.withColumn("product_name", F.sha2(F.monotonically_increasing_id().cast("string"), 256))
+    tables.write_fact(lines.select(FACT_COLUMNS), str(tmp_path / "f"), row_group_bytes=1 << 16)
+    written = tables.read_fact(spark, str(tmp_path / "f"))
+
+    def rows_read(filters):
+        execution = apply_filters(written, filters)._jdf.queryExecution()
+        rows = execution.toRdd().count()
+        return execution.executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value(), rows
+
+    for filters in (
+        Filters(month_from="2016-09"), Filters(markets=("B",)), Filters(modes=("G",)), Filters(segments=("Y",)),
+        Filters("2016-01", "2016-08", ("E",), ("I",), ("X",)),
+    ):
+        read, kept = rows_read(filters)
+        assert 0 < kept <= read < max(2 * kept, 2000), filters
