@@ -1,14 +1,22 @@
 """Repeated lines and passages: normalised units, global digests, first occurrence stays.
 
-A unit is a line, or, within a line, a run of whole sentences: from every start of a
-sentence as many as are needed for ``LEAST_WORDS`` words. So a passage is found inside
-another text wherever a sentence of it begins, however short its sentences are. Units
-are compared by 128-bit digests of their letters and digits, lower-cased; units of
-fewer words repeat by chance and are not looked at.
+Three kinds of units are looked at, all as runs of words, lower-cased:
+
+* every line that has a word, however short;
+* from every start of a sentence or line as many of both as make ``LEAST_WORDS`` words,
+  over line breaks, so that short lines and sentences count together;
+* runs between content-defined cuts, at least ``LEAST_WORDS`` words long. A cut stands before
+  a word whose hash, with the next word, is the smallest of some ``WINDOW`` words in a row.
+  Cuts depend on the words around them alone: a passage of ``SURE_WORDS`` words holds such
+  a unit wherever it stands, also in mid-sentence.
+
+Units are compared by 128-bit digests.
 """
 
 import re
+from bisect import bisect_left
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
@@ -16,111 +24,158 @@ from pyspark.sql import functions as F
 from orderlens.llm.common import saved, table
 
 LEAST_WORDS = 8
-_UNIT = "digest binary, doc_id long, start int, end int, words int"
-_MARKS = re.compile(r"[\W_]+")
+WINDOW = 11
+#: First cut and last cut within WINDOW words and what decides them, LEAST_WORDS and a gap between.
+SURE_WORDS = 4 * WINDOW + LEAST_WORDS
+_UNIT = "digest binary, doc_id long, row long, start int, end int, words int"
+_WORD = re.compile(r"[^\W_]+")
 _SENTENCE_END = re.compile(r"[.!?][\"')\]%$&#*]*\s+")
+_REMEMBERED = 200_000
 
 
-def _bounds(text, start, end):
-    """Sentences of a line as (start, end); a line without an end mark is one."""
-    at = start
-    for mark in _SENTENCE_END.finditer(text, start, end):
-        yield at, mark.end()
-        at = mark.end()
-    if at < end:
-        yield at, end
+class _Hashes(dict):
+    """Hashes of words, most of them remembered."""
 
+    def __missing__(self, word):
+        if len(self) > _REMEMBERED:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return value
 
-def units(text):
-    """(start, end, normalised text, words) of the units of a text, in its own offsets."""
+
+_hashes = _Hashes()
+
+
+def _cuts(words):
+    """Places among the words where content-defined units begin and end."""
+    one = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    two = (one[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ one[1:]
+    two = (two ^ (two >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    if len(two) < WINDOW:
+        return np.zeros(0, np.int64)
+    least = np.lib.stride_tricks.sliding_window_view(two, WINDOW).argmin(axis=1)
+    return np.unique(least + np.arange(len(least)))
+
+
+def _pieces(text):
+    """Lines as (start, end, starts of the sentences in it)."""
     start, size = 0, len(text)
     while start < size:
         end = text.find("\n", start)
         end = size if end < 0 else end
-        sentences = []
-        for a, b in _bounds(text, start, end):
-            norm = _MARKS.sub(" ", text[a:b].lower()).strip()
-            if norm:
-                sentences.append((a, b, norm, norm.count(" ") + 1))
-        total = sum(s[3] for s in sentences)
-        if total >= LEAST_WORDS:
-            if len(sentences) > 1:
-                yield start, end, " ".join(s[2] for s in sentences), total
-            for i, (a, b, norm, words) in enumerate(sentences):
-                j = i + 1
-                while words < LEAST_WORDS and j < len(sentences):
-                    b, norm, words = sentences[j][1], f"{norm} {sentences[j][2]}", words + sentences[j][3]
-                    j += 1
-                if words >= LEAST_WORDS and not (i == 0 and j == len(sentences) > 1):
-                    yield a, b, norm, words
+        yield start, end, [start, *[m.end() for m in _SENTENCE_END.finditer(text, start, end) if m.end() < end]]
         start = end + 1
 
 
+def units(text):
+    """(start, end, normalised text, words) of the units of a text, in its own offsets."""
+    found = list(_WORD.finditer(text))
+    starts, words = [m.start() for m in found], [m.group().lower() for m in found]
+    spans, pieces = {}, []
+    for start, end, sentences in _pieces(text):
+        i, j = bisect_left(starts, start), bisect_left(starts, end)
+        if i < j:
+            spans[i, j] = start, end
+            for a, b in zip(sentences, [*sentences[1:], end]):
+                low, high = bisect_left(starts, a), bisect_left(starts, b)
+                if low < high:
+                    pieces.append((low, high, a, b))
+    last = 0
+    for i, _, a, _ in pieces:
+        while last < len(pieces) and pieces[last][1] - i < LEAST_WORDS:
+            last += 1
+        if last == len(pieces):
+            break
+        spans.setdefault((i, pieces[last][1]), (a, pieces[last][3]))
+    cuts = _cuts(words)
+    to = np.searchsorted(cuts, cuts + LEAST_WORDS)
+    for i, j in zip(cuts[to < len(cuts)].tolist(), cuts[to[to < len(cuts)]].tolist()):
+        spans.setdefault((i, j), (starts[i], found[j - 1].end()))
+    for (i, j), (start, end) in spans.items():
+        yield start, end, " ".join(words[i:j]), j - i
+
+
 def _unit_batches(batches):
     def packed(rows):
-        columns = list(zip(*rows)) or [()] * 5
-        kinds = [pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+        columns = list(zip(*rows)) or [()] * 6
+        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
         arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds)]
         return pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in _UNIT.split(", ")])
 
     for batch in batches:
         rows = []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+        for doc_id, row, text in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), batch.column("text")):
             for start, end, norm, words in units(text.as_py()):
-                rows.append((xxhash.xxh3_128_digest(norm.encode("utf-8", "surrogatepass")), doc_id, start, end, words))
+                rows.append((xxhash.xxh3_128_digest(norm.encode("utf-8", "surrogatepass")), doc_id, row, start, end, words))
             if len(rows) > 50_000:
                 yield packed(rows)
                 rows = []
         yield packed(rows)
 
 
-def repeated_units(spark, docs, id_col="doc_id", text_col="text"):
-    """Every unit that occurred before: doc_id, start, end, words, first_doc_id, first_start.
-
-    Occurrences are ranked by (doc_id, start); the first stays and is named beside the
-    others. Offsets count characters of the original text, end exclusive. Copies of a
-    document repeat all its units. Null and empty texts have no units; rows without
-    doc_id are ranked last and listed with a null; rows that repeat both doc_id and
-    text cannot be told apart, so their units are not repeats of each other. An empty
-    table gives an empty result. Other columns are not read.
-    """
-    texts = docs.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+def _rows(docs, id_col, text_col):
+    return docs.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("row")
     )
+
+
+def _repeats(spark, texts):
+    """Units that occurred before, with the row they are in."""
     found = saved(spark, texts.mapInArrow(_unit_batches, _UNIT))
-    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("start").alias("start"))
+    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("row").alias("row"), F.col("start").alias("start"))
     firsts = found.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     # Saved, so that the join stands alone and a frequent digest can be split among tasks.
     again = found.join(saved(spark, firsts.select("digest", "first")), "digest")
-    later = ~(F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("start") == F.col("first.start")))
-    return again.where(later | F.col("doc_id").isNull()).select(
+    return again.where((F.col("row") != F.col("first.row")) | (F.col("start") != F.col("first.start")))
+
+
+def repeated_units(spark, docs, id_col="doc_id", text_col="text"):
+    """Every unit that occurred before: doc_id, start, end, words, first_doc_id, first_start.
+
+    Occurrences are ranked by (doc_id, row, start), rows without doc_id last; rows that
+    share a doc_id, or have none, are told apart and rank as they stand in the input. The
+    first stays and is named beside the others. Offsets count characters of the original
+    text, end exclusive. Copies of a document repeat all its units. Null, empty and
+    wordless texts have no units; texts of any length are read whole. An empty table gives an
+    empty result. Other columns are not read, whatever their names.
+    """
+    return _repeats(spark, _rows(docs, id_col, text_col)).select(
         "doc_id", "start", "end", "words", F.col("first.id").alias("first_doc_id"), F.col("first.start").alias("first_start")
     )
 
 
-def without_repeats(spark, docs):
+_CUT = "doc_id long, text string, removed array<struct<start:int,end:int>>"
+
+
+def _without(batches):
+    for batch in batches:
+        texts, lists = [], []
+        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+            removed = []
+            for span in sorted(spans, key=lambda s: (s["start"], s["end"])):
+                if removed and span["start"] <= removed[-1]["end"]:
+                    removed[-1]["end"] = max(span["end"], removed[-1]["end"])
+                else:
+                    removed.append(dict(span))
+            ends = [0, *[s["end"] for s in removed]]
+            starts = [*[s["start"] for s in removed], len(text)]
+            texts.append("".join(text[a:b] for a, b in zip(ends, starts)))
+            lists.append(removed)
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        columns = [batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(lists, kind)]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "removed"])
+
+
+def without_repeats(spark, docs, id_col="doc_id", text_col="text"):
     """doc_id, text without its repeated units, and the removed spans in original offsets.
 
-    Only documents that lose something are listed. Spans that touch or overlap count
-    as one. A document's spans are gathered in one place, bounded by its own length.
+    Only rows that lose something are listed, one by one also where they share a doc_id or
+    have none. Spans that touch or overlap count as one. A document's spans are gathered
+    in one place, bounded by its own length.
     """
-    spans = repeated_units(spark, docs).where(F.col("doc_id").isNotNull())
-    spans = spans.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-
-    @F.udf("struct<text:string,removed:array<struct<start:int,end:int>>>")
-    def cut(text, spans):
-        removed = []
-        for start, end in sorted(spans):
-            if removed and start <= removed[-1][1]:
-                removed[-1][1] = max(end, removed[-1][1])
-            else:
-                removed.append([start, end])
-        ends = [0, *[end for _, end in removed]]
-        starts = [*[start for start, _ in removed], len(text)]
-        return "".join(text[a:b] for a, b in zip(ends, starts)), [tuple(r) for r in removed]
-
-    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
-    return texts.join(spans, "doc_id").select("doc_id", cut("text", "spans").alias("c")).select("doc_id", "c.text", "c.removed")
+    texts = saved(spark, _rows(docs, id_col, text_col))
+    spans = _repeats(spark, texts).groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    return texts.join(spans, "row").select("doc_id", "text", "spans").mapInArrow(_without, _CUT)
 
 
 def op8_substring_dedup(spark, sf_dir):

@@ -1,17 +1,46 @@
+import random
 import re
 
+import pytest
+
 from orderlens.llm import substring_dedup as sd
 
 
-def plain(rows):
-    """Every unit of a document that an earlier place holds, by a plain dictionary."""
+def words_at(text):
+    return [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^\W_]+", text)]
+
+
+def plain_units(text):
+    """Lines, and runs of eight words or more from every sentence start, told plainly."""
+    words, out, begins = words_at(text), set(), []
+    for line in re.finditer(r"[^\n]+", text):
+        inside = [w for w in words if line.start() <= w[0] < line.end()]
+        if inside:
+            out.add((line.start(), line.end(), " ".join(w[2] for w in inside)))
+            marks = [m.end() for m in re.finditer(r"[.!?][\"')\]%$&#*]*\s+", line.group())]
+            edges = [0, *[m for m in marks if m < len(line.group())], len(line.group())]
+            for a, b in zip(edges, edges[1:]):
+                if any(line.start() + a <= w[0] < line.start() + b for w in words):
+                    begins.append((line.start() + a, line.start() + b))
+    for k, (a, _) in enumerate(begins):
+        for _, b in begins[k:]:
+            run = [w[2] for w in words if a <= w[0] < b]
+            if len(run) >= 8:
+                out.add((a, b, " ".join(run)))
+                break
+    return out
+
+
+def plain(rows, units):
+    """Every unit that an earlier place holds, by a plain dictionary."""
     first, out = {}, []
-    order = sorted({(i is None, i or 0, t) for i, t in rows if t})
-    for missing, doc_id, text in order:
-        for start, end, norm, words in sd.units(text):
-            place = (missing, doc_id, start)
+    order = sorted((i is None, i or 0, n, t) for n, (i, t) in enumerate(rows) if t)
+    for missing, doc_id, row, text in order:
+        for start, end, norm in sorted(units(text)):
+            place = (missing, doc_id, row, start)
             if norm in first and first[norm] != place:
-                out.append((None if missing else doc_id, start, end, words, first[norm][1], first[norm][2]))
+                kept = None if first[norm][0] else first[norm][1]
+                out.append((None if missing else doc_id, start, end, norm.count(" ") + 1, kept, first[norm][3]))
             first.setdefault(norm, place)
     return sorted(map(str, out))
 
@@ -20,12 +49,56 @@ def result(df):
     return sorted(str((r.doc_id, r.start, r.end, r.words, r.first_doc_id, r.first_start)) for r in df.collect())
 
 
-def test_against_brute_force(spark, make_docs, prose):
+@pytest.fixture
+def corpus(prose):
     passage = prose(6, 77)
     rows = [(i, prose(5, i)) for i in range(20)]
     rows += [(20 + i, f"{prose(2, 300 + i)} and then {passage} {prose(2, 400 + i)}") for i in range(5)]
     rows += [(30, prose(3, 1) + "\n" + prose(3, 3)), (31, None), (32, ""), (33, "short. line. here."), (34, rows[2][1])]
-    assert result(sd.repeated_units(spark, make_docs(rows))) == plain(rows)
+    rows += [(None, prose(3, 1)), (None, "short line\nshort line"), (2, prose(2, 2)), (2, prose(5, 2)), (40, "\n".join("a bc d ef g hi j kl m".split()))]
+    return rows + [(41, "x\n" + "\n".join("a bc d ef g hi j kl m".split()) + "\n\n_ !\ny")]
+
+
+def test_against_brute_force(spark, make_docs, corpus):
+    docs = make_docs(corpus).coalesce(1)
+    found = sd.repeated_units(spark, docs)
+    assert result(found) == plain(corpus, lambda t: {(a, b, n) for a, b, n, _ in sd.units(t)})
+
+
+def test_units_against_a_plain_splitter(corpus):
+    for _, text in corpus:
+        if text:
+            own = {(a, b, n) for a, b, n, _ in sd.units(text)}
+            lines_and_runs = plain_units(text)
+            # Spans of equal words count once; the others lie between content-defined cuts.
+            at = lambda u: (min(w[0] for w in words_at(text) if w[0] >= u[0]), u[2])
+            assert {at(u) for u in lines_and_runs} <= {at(u) for u in own}
+            for a, b, norm in own - lines_and_runs:
+                assert norm == " ".join(w[2] for w in words_at(text[a:b])) and norm.count(" ") + 1 >= sd.LEAST_WORDS
+
+
+def test_every_long_passage_holds_a_unit_wherever_it_stands():
+    draw = random.Random(3)
+    for trial in range(300):
+        new = lambda n, k=60: [f"w{draw.randrange(10 ** (1 + trial % 4))}" for _ in range(n)]
+        passage = new(sd.SURE_WORDS)
+        one, two = (" ".join([*new(30), *passage, *new(30)]) for _ in range(2))
+        inner = " ".join(passage)
+        both = {u[2] for u in sd.units(one)} & {u[2] for u in sd.units(two)}
+        assert any(u in inner for u in both), trial
+
+
+def test_mid_sentence_passages_short_lines_and_one_word_lines(spark, make_docs):
+    draw = random.Random(8)
+    new = lambda n: " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))
+    passage, verse = new(60), new(9).replace(" ", "\n")
+    rows = [(1, f"{new(20)} {passage} {new(20)}"), (2, f"{new(20)} {passage} {new(20)}"), (3, verse), (4, f"{new(12)}\n{verse}")]
+    rows += [(5, f"{new(9)}\nLicensed under the same terms.\n{new(9)}"), (6, f"{new(5)}\nlicensed under the same terms\n{new(7)}"), (7, new(90))]
+    found = sd.repeated_units(spark, make_docs(rows)).collect()
+    assert {r.doc_id for r in found} == {2, 4, 6}
+    covered = {i for r in found if r.doc_id == 2 for i in range(r.start, r.end)}
+    at = rows[1][1].index(passage)
+    assert covered <= set(range(at, at + len(passage))) and len(covered) > 0.4 * len(passage)
 
 
 def test_passages_inside_other_text_are_found(spark, make_docs, prose):
@@ -41,15 +114,15 @@ def test_passages_inside_other_text_are_found(spark, make_docs, prose):
 
 
 def test_text_without_its_repeats(spark, make_docs, prose):
-    docs = make_docs([(1, prose(4, 1)), (2, prose(2, 5) + "\n" + prose(4, 1)), (3, prose(4, 8))])
-    rows = sd.without_repeats(spark, docs).collect()
-    assert [r.doc_id for r in rows] == [2]
-    assert rows[0].text.strip() == prose(2, 5)
-    assert [(s.start, s.end) for s in rows[0].removed] == [(len(prose(2, 5)) + 1, len(prose(2, 5)) + 1 + len(prose(4, 1)))]
+    docs = make_docs([(1, prose(4, 1)), (2, prose(2, 5) + "\n" + prose(4, 1)), (3, prose(4, 8)), (None, prose(4, 8)), (None, "new")])
+    rows = {r.doc_id: r for r in sd.without_repeats(spark, docs).collect()}
+    assert set(rows) == {2, None} and rows[None].text == ""
+    assert rows[2].text.strip() == prose(2, 5)
+    assert [(s.start, s.end) for s in rows[2].removed] == [(len(prose(2, 5)) + 1, len(prose(2, 5)) + 1 + len(prose(4, 1)))]
 
 
 def test_odd_rows_and_empty_table(spark, odd_docs, odd_rows, no_docs):
     found = sd.repeated_units(spark, odd_docs).collect()
-    assert {r.doc_id for r in found} == {8}
+    assert {r.doc_id for r in found} == {1, 8}
     assert sd.repeated_units(spark, no_docs).collect() == []
     assert sd.without_repeats(spark, no_docs).collect() == []
