@@ -5,10 +5,14 @@ Three kinds of units are looked at, all as runs of words, lower-cased:
 * every line that has a word, however short;
 * from every start of a sentence or line as many of both as make ``LEAST_WORDS`` words,
   over line breaks, so that short lines and sentences count together;
-* runs between content-defined cuts, at least ``LEAST_WORDS`` words long. A cut stands before
-  a word whose hash, with the next word, is the smallest of some ``WINDOW`` words in a row.
-  Cuts depend on the words around them alone: a passage of ``SURE_WORDS`` words holds such
-  a unit wherever it stands, also in mid-sentence.
+* where a sentence has more than ``LONG_WORDS`` words, runs between content-defined cuts, at
+  least ``LEAST_WORDS`` words long, that reach into it. A cut stands before a word whose
+  hash, with the next word, is the smallest of some ``WINDOW`` words in a row, so it depends
+  on the words around it alone.
+
+A passage of ``SURE_WORDS`` words holds a whole unit wherever it stands, also in mid-sentence:
+either its own sentences are short and a run of them lies inside, or a long one brings
+cuts, at most ``WINDOW`` words apart and alike from the tenth word to the tenth last.
 
 Units are compared by 128-bit digests.
 """
@@ -25,7 +29,8 @@ from orderlens.llm.common import saved, table
 
 LEAST_WORDS = 8
 WINDOW = 11
-#: First cut and last cut within WINDOW words and what decides them, LEAST_WORDS and a gap between.
+LONG_WORDS = 16
+#: Room for what decides a cut and a gap of cuts on either side, and a unit between.
 SURE_WORDS = 4 * WINDOW + LEAST_WORDS
 _UNIT = "digest binary, doc_id long, row long, start int, end int, words int"
 _WORD = re.compile(r"[^\W_]+")
@@ -87,10 +92,18 @@ def units(text):
         if last == len(pieces):
             break
         spans.setdefault((i, pieces[last][1]), (a, pieces[last][3]))
-    cuts = _cuts(words)
-    to = np.searchsorted(cuts, cuts + LEAST_WORDS)
-    for i, j in zip(cuts[to < len(cuts)].tolist(), cuts[to[to < len(cuts)]].tolist()):
-        spans.setdefault((i, j), (starts[i], found[j - 1].end()))
+    long = [(i, j) for i, j, _, _ in pieces if j - i > LONG_WORDS]
+    if long:
+        reached = np.zeros(len(words) + 1, np.int64)
+        for i, j in long:
+            reached[i + 1 : j + 1] = 1
+        reached = np.cumsum(reached)
+        cuts = _cuts(words)
+        to = np.searchsorted(cuts, cuts + LEAST_WORDS)
+        cuts, ends = cuts[to < len(cuts)], cuts[to[to < len(cuts)]]
+        held = reached[ends] > reached[cuts]
+        for i, j in zip(cuts[held].tolist(), ends[held].tolist()):
+            spans.setdefault((i, j), (starts[i], found[j - 1].end()))
     for (i, j), (start, end) in spans.items():
         yield start, end, " ".join(words[i:j]), j - i
 
