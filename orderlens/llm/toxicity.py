@@ -29,7 +29,6 @@ from orderlens.llm.labelled import labelled_sample, one_in_three
 #: window, marks per token.
 FIT_ROWS = 12_000
 MOST_MARKS = 4_096
-TOKEN_MARKS = 8
 MOST_WINDOWS = 8_192
 WINDOW_TOKENS = 32
 LEAST_DOCUMENTS = 3
@@ -40,6 +39,8 @@ NEAR = 5
 STEPS = 120
 RIDGE = 1e-3
 _PARTS = (4, 5, 6, 7)
+#: The word itself, and a beginning and an ending of each length.
+TOKEN_MARKS = 1 + 2 * len(_PARTS)
 _REMEMBERED = 200_000
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -109,7 +110,7 @@ class _Marked(dict):
     def __missing__(self, word):
         if len(self) > _REMEMBERED:
             self.clear()
-        found = self[word] = tuple(self.index[m] for m in marks(word) if m in self.index)[:TOKEN_MARKS]
+        found = self[word] = tuple(self.index[m] for m in marks(word) if m in self.index)
         return found
 
 

@@ -78,3 +78,10 @@ def test_query_has_all_rows(spark, folder):
     rows = toxicity.op5_toxicity(spark, folder).collect()
     assert len(rows) == spark.read.parquet(f"{folder}/documents.parquet").count()
     assert all(r.predicted == (r.score >= 0.7) for r in rows)
+
+
+def test_every_mark_of_a_word_counts():
+    word = "abcdefghij"
+    assert len(toxicity.marks(word)) == len(set(toxicity.marks(word))) == toxicity.TOKEN_MARKS
+    field = toxicity.Field(toxicity.marks(word))
+    assert len(toxicity._Marked(field.index)[word]) == toxicity.TOKEN_MARKS
