@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from orderlens.llm.common import hash_bitmap, in_bitmap, saved, table
+from orderlens.llm.common import free_name, hash_bitmap, in_bitmap, saved, table
 
 WINDOW = 8
 #: Windows with fewer plain words than this say nothing, unless the item has no others.
@@ -307,10 +307,11 @@ def leaks(spark, docs, benchmark, id_col="doc_id", text_col="text"):
 
 def without_items(spark, docs, benchmark):
     """The rows of ``docs`` that hold no benchmark item, whether they have a doc_id or not."""
-    leaking = saved(spark, _leaking(spark, docs, benchmark).select(*[F.col(c).alias(f"_leaks_{c}") for c in _DOCUMENT]).distinct())
-    marked = docs.withColumn(_TEXT, _digest("text"))
-    same = [F.col(c).eqNullSafe(F.col(f"_leaks_{c}")) for c in _DOCUMENT]
-    return marked.join(leaking, reduce(and_, same), "left_anti").select(docs.columns)
+    digest, *leaking_names = (free_name(docs, name) for name in (_TEXT, "_leaks_id", "_leaks_text"))
+    found = _leaking(spark, docs, benchmark).select(*[F.col(c).alias(name) for c, name in zip(_DOCUMENT, leaking_names)])
+    marked = docs.withColumn(digest, _digest("text"))
+    same = [F.col(c).eqNullSafe(F.col(name)) for c, name in zip(("doc_id", digest), leaking_names)]
+    return marked.join(saved(spark, found.distinct()), reduce(and_, same), "left_anti").select(docs.columns)
 
 
 def clean(spark, docs, benchmark):

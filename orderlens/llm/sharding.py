@@ -18,7 +18,7 @@ from bisect import bisect_left
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import saved, table
+from orderlens.llm.common import free_name, saved, table
 
 SHARDS = 24
 VNODES = 128
@@ -104,45 +104,47 @@ def assign(spark, docs, shards=SHARDS, id_col="doc_id", text_col="text", carry=N
     are placed one by one; which of equal rows gets which slot is fixed by their place
     in the input. An empty table gives an empty result.
     """
+    names = ("_size", "_crc", "_cell", "_row", "_salt", "_n", "_first", "_rank", "_place", "_low", "_high", "_shift")
+    size, crc, cell, row, salt, n, first, rank, place, low, high, shift = (free_name(docs, name) for name in names)
     text = F.coalesce(F.col(text_col), F.lit(""))
     carry = [c for c in carry or [id_col] if c not in ADDED]
     base = saved(
         spark,
         docs.select(
             *[F.col(c) for c in carry],
-            (F.octet_length(text) + 8).cast("long").alias("_size"),
-            F.crc32(text.cast("binary")).alias("_crc"),
-            F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 64 - CELL_BITS).cast("int").alias("_cell"),
-            F.monotonically_increasing_id().alias("_row"),
+            (F.octet_length(text) + 8).cast("long").alias(size),
+            F.crc32(text.cast("binary")).alias(crc),
+            F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 64 - CELL_BITS).cast("int").alias(cell),
+            F.monotonically_increasing_id().alias(row),
         ),
     )
     # At most one row per cell of the ring.
-    counts = {r[0]: r[1] for r in base.groupBy("_cell").count().collect()}
-    crowded = [cell for cell, rows in counts.items() if rows > crowded_rows]
-    order = Window.partitionBy("_cell").orderBy(F.col(id_col), "_row")
+    counts = {r[0]: r[1] for r in base.groupBy(cell).count().collect()}
+    crowded = [number for number, rows in counts.items() if rows > crowded_rows]
+    order = Window.partitionBy(cell).orderBy(F.col(id_col), row)
     if crowded:
-        salt = F.when(F.col("_cell").isin(crowded), F.pmod("_row", F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
-        base = base.withColumn("_salt", salt)
-        earlier = Window.partitionBy("_cell").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-        parts = base.groupBy("_cell", "_salt").agg(F.count("*").alias("_n"))
-        parts = parts.select("_cell", "_salt", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"))
-        order = Window.partitionBy("_cell", "_salt").orderBy(F.col(id_col), "_row")
-        ranked = base.withColumn("_rank", F.row_number().over(order)).join(parts, ["_cell", "_salt"])
-        ranked = ranked.withColumn("_rank", F.col("_rank") - 1 + F.col("_first"))
+        part = F.when(F.col(cell).isin(crowded), F.pmod(row, F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+        base = base.withColumn(salt, part)
+        earlier = Window.partitionBy(cell).orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
+        parts = base.groupBy(cell, salt).agg(F.count("*").alias(n))
+        parts = parts.select(cell, salt, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(first))
+        order = Window.partitionBy(cell, salt).orderBy(F.col(id_col), row)
+        ranked = base.withColumn(rank, F.row_number().over(order)).join(parts, [cell, salt])
+        ranked = ranked.withColumn(rank, F.col(rank) - 1 + F.col(first))
     else:
-        ranked = base.withColumn("_rank", (F.row_number().over(order) - 1).cast("long"))
+        ranked = base.withColumn(rank, (F.row_number().over(order) - 1).cast("long"))
     rows = pieces(counts, shards)
-    places = spark.createDataFrame(rows, "_place int, _low long, _high long, shard int, _shift long")
-    here = (F.col("_cell") == F.col("_place")) & (F.col("_rank") >= F.col("_low")) & (F.col("_rank") < F.col("_high"))
+    places = spark.createDataFrame(rows, f"{place} int, {low} long, {high} long, shard int, {shift} long")
+    here = (F.col(cell) == F.col(place)) & (F.col(rank) >= F.col(low)) & (F.col(rank) < F.col(high))
     # About one row per cell of the ring: bounded whatever the input.
     placed = ranked.join(F.broadcast(places), here)
     return placed.select(
         *[F.col(c) for c in carry],
-        F.col("_size").alias("size"),
-        F.col("_crc").alias("text_crc32"),
+        F.col(size).alias("size"),
+        F.col(crc).alias("text_crc32"),
         F.lit("rows").alias("law"),
         F.col("shard").alias("shard"),
-        (F.col("_rank") + F.col("_shift")).alias("slot"),
+        (F.col(rank) + F.col(shift)).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

@@ -58,3 +58,11 @@ def test_empty_table(spark, folder, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         docs = saved(spark, stage(spark, docs, folder))
     assert docs.count() == 0
+
+
+def test_columns_named_like_those_of_the_stages(spark, folder, make_docs, prose):
+    names = ["_row", "_score", "_copies", "_copy", "_text_digest", "_leaks_id", "_leaks_text", "_cell", "_rank"]
+    docs = make_docs([(i, prose(6, i)) for i in range(12)], names)
+    for _, stage in corpus_pipeline.STAGES:
+        rows = stage(spark, docs, folder).collect()
+        assert rows and {r[name] for r in rows for name in names} == {7}

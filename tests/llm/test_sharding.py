@@ -67,6 +67,15 @@ def test_carried_columns_and_empty_table(spark, odd_docs, no_docs):
     assert sharding.assign(spark, no_docs).collect() == []
 
 
+def test_columns_named_like_its_own(spark, make_docs, prose):
+    names = ["_size", "_crc", "_cell", "_row", "_salt", "_n", "_first", "_rank", "_place", "_low", "_high", "_shift", "_Row_"]
+    docs = make_docs([(i, prose(1, i)) for i in range(30)], names)
+    for crowded_rows in (0, 1 << 20):
+        rows = sharding.assign(spark, docs, 3, carry=docs.columns, crowded_rows=crowded_rows).collect()
+        assert len(rows) == 30 and {r[name] for r in rows for name in names} == {7}
+        check(rows, 3)
+
+
 def test_no_python_in_the_plan(spark, folder):
     plan = sharding.op6_sharding(spark, folder)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
