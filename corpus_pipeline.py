@@ -7,13 +7,14 @@ again before the next. All but the last return the columns of the documents.
 from pyspark.sql import functions as F
 
 from orderlens.llm import decontamination, mixing, quality, sharding, simhash
-from orderlens.llm.common import saved, table
+from orderlens.llm.common import free_name, saved, table
 
 
 def quality_filter(spark, docs, sf_dir):
     """Documents that the quality model does not reject."""
-    marked = quality.scored(docs, table(spark, sf_dir, "labels"), name="_score")
-    return marked.where(F.col("_score") >= 0.5).select(docs.columns)
+    score = free_name(docs, "_score")
+    marked = quality.scored(docs, table(spark, sf_dir, "labels"), name=score)
+    return marked.where(F.col(score) >= 0.5).select(docs.columns)
 
 
 def near_duplicates(spark, docs, sf_dir):
