@@ -2,8 +2,10 @@
 
 Counts are quantised on a logarithmic scale. A token or pair of level q is put into
 the filter once for every level up to q, and its level is read back by probing level
-after level until one is missing. The filter has a bounded size, so it is broadcast;
-what does not fit are the lowest levels, and their mass goes to the smoothing.
+after level until one is missing. The upper levels, as many as a bounded size holds, are
+broadcast. The whole filter, with every level, lies in parts by ranges of the keys; what
+the broadcast levels do not tell is sent to the part that does. So no n-gram is left out
+at any size of the corpus, and what a worker holds stays bounded.
 
 p(w | h) = max(c(hw) - D, 0) / c(h) + g(h) * p(w), with counts from the filter; g is
 what the discounted pairs leave, taken over all histories of the level of h. p(w) is
@@ -26,13 +28,15 @@ LEVELS = 64
 DISCOUNT = 0.75
 PROBES = 4
 BITS_PER_ENTRY = 12
-#: Bounds of the two filters in bytes, whatever the corpus.
+#: Bounds in bytes of the levels that are broadcast, whatever the corpus.
 TOKEN_FILTER_BYTES = 16 << 20
 PAIR_FILTER_BYTES = 32 << 20
 #: At most this many of the most frequent tokens are broadcast with their exact counts.
 HEAD_TOKENS = 1 << 19
 #: Bytes of text per part of the counts.
 PART_BYTES = 16 << 20
+#: A part that is asked more than this is copied, and the questions are dealt out.
+ASKED = 1 << 21
 TOKEN_WIDTH, PAIR_WIDTH = 62, 54
 _LEVEL_BITS = 6
 _CHUNK = 1 << 18
@@ -63,12 +67,16 @@ def token_hashes(text, words):
     return [*map(words.__getitem__, text.lower().split()), END]
 
 
+def pair_key(history, tokens):
+    return _mix(history * _M1 ^ tokens) >> np.uint64(16)
+
+
 def pair_keys(tokens, starts):
-    """Keys of (history, token); the history of a first word is the end."""
+    """Histories and keys of (history, token); the history of a first word is the end."""
     history = np.empty_like(tokens)
     history[1:] = tokens[:-1]
     history[starts] = END
-    return history, _mix(history * _M1 ^ tokens) >> np.uint64(16)
+    return history, pair_key(history, tokens)
 
 
 def levels_of(counts):
@@ -120,7 +128,7 @@ def _slices(keys, width, parts):
         a, b = np.searchsorted(part, [number, number + np.uint64(1)])
         rows.append((int(number), *_pack(values[a:b], counts[a:b])))
     kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
-    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], _names(_SLICE))
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(list(zip(*rows)) or [()] * 8, kinds)], _names(_SLICE))
 
 
 def _in_chunks(batches, column="text"):
@@ -154,6 +162,100 @@ def _sent(keys_of, width, parts, at_least=1 << 21):
     return run
 
 
+_PAIRS_SENT = _SLICE + ", history binary, token binary"
+
+
+def _by_part(part, *columns):
+    """(part, n, bytes of each column) for every part that occurs; an empty column stays so."""
+    order = np.argsort(part, kind="stable")
+    numbers, first = np.unique(part[order], return_index=True)
+    ends = [*first[1:], len(part)]
+    columns = [c[order] if len(c) else c for c in columns]
+    return [(int(p), int(b - a), *[c[a:b].tobytes() for c in columns]) for p, a, b in zip(numbers, first, ends)]
+
+
+def _sent_pairs(tokens_filter, parts, at_least=1 << 21):
+    """Slices of pairs with their history's level; pairs of other histories, for the part that knows them."""
+
+    def flush(closed, histories, tokens):
+        keys = np.concatenate(closed)
+        if len(keys):
+            batch = _slices(keys, PAIR_WIDTH, parts)
+            nothing = [pa.nulls(batch.num_rows, pa.binary())] * 2
+            yield pa.RecordBatch.from_arrays([*batch.columns, *nothing], _names(_PAIRS_SENT))
+        histories, tokens = np.concatenate(histories), np.concatenate(tokens)
+        if len(histories):
+            rows = _by_part(part_of(histories, TOKEN_WIDTH, parts), histories, tokens)
+            number, n, *asked = zip(*rows)
+            own = [pa.array(number, pa.int32()), pa.array(n, pa.int32()), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.int64())]
+            nothing = [pa.nulls(len(rows), pa.binary())] * 4
+            yield pa.RecordBatch.from_arrays([*own, *nothing, *[pa.array(x, pa.binary()) for x in asked]], _names(_PAIRS_SENT))
+
+    def run(batches):
+        held = tokens_filter.value
+        closed, histories, others, size = [], [], [], 0
+        for _, tokens, starts in _in_chunks(batches):
+            history, keys = pair_keys(tokens, starts)
+            seen, where = np.unique(history, return_inverse=True)
+            level = held.levels(seen)[where]
+            known = (level > 0) | (held.least == 1)
+            closed.append(keys[known] << np.uint64(_LEVEL_BITS) | level[known].astype(np.uint64))
+            histories.append(history[~known])
+            others.append(tokens[~known])
+            size += len(tokens)
+            if size >= at_least:
+                yield from flush(closed, histories, others)
+                closed, histories, others, size = [], [], [], 0
+        if size:
+            yield from flush(closed, histories, others)
+
+    return run
+
+
+def _joined(cells, kind):
+    return np.frombuffer(b"".join(x.as_py() for x in cells), kind)
+
+
+def _counts(counted, tokens):
+    """Exact counts of tokens of one part."""
+    n = np.zeros(len(tokens), np.int64)
+    for held in counted.select(_names(_SLICE)[1:]).to_pylist():
+        keys, counts = _unpack(*held.values())
+        at = np.minimum(np.searchsorted(keys, tokens), len(keys) - 1)
+        n = np.where(keys[at] == tokens, counts[at], n)
+    return n
+
+
+def _levels_told(counted, tokens):
+    """Levels of tokens of one part, 0 for those that do not occur."""
+    return np.where((n := _counts(counted, tokens)) > 0, levels_of(np.maximum(n, 1)), 0)
+
+
+def _with_level(parts):
+    """Slices of the pairs whose history's level a part of the tokens tells; a copy may be asked nothing."""
+
+    def run(asked, counted):
+        history, tokens = _joined(asked["history"], np.uint64), _joined(asked["token"], np.uint64)
+        level = _levels_told(counted, history).astype(np.uint64)
+        return pa.Table.from_batches([_slices(pair_key(history, tokens) << np.uint64(_LEVEL_BITS) | level, PAIR_WIDTH, parts)])
+
+    return run
+
+
+def _asked(questions, held, answer, schema):
+    """Answers of the parts of ``held`` to the questions that are addressed to them.
+
+    A part that is asked much is copied, so that no task gets more than about ASKED
+    questions, however often one key is asked for.
+    """
+    loads = questions.groupBy("part").agg(F.ceil(F.sum("n") / ASKED).cast("int").alias("copies"))
+    dealt = questions.join(loads, "part").withColumn("copy", F.pmod(F.xxhash64(*[c for c in questions.columns if c != "part"]), "copies"))
+    dealt = dealt.drop("copies")
+    numbers = loads.select("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies").cast("long") - 1)).alias("copy"))
+    copies = held.join(numbers, "part")
+    return dealt.groupBy("part", "copy").cogroup(copies.groupBy("part", "copy")).applyInArrow(answer, schema)
+
+
 _COUNTED = _SLICE + ", total long, stats array<long>"
 
 
@@ -201,7 +303,10 @@ def _summed(counted, size):
 
 
 class CountFilter:
-    """Quantised counts by membership: parts of equal numbers of bits, side by side."""
+    """Quantised counts by membership: parts of equal numbers of bits, side by side.
+
+    Levels under ``least`` are not held.
+    """
 
     def __init__(self, width, parts, bits, least, cells=None):
         self.width, self.parts, self.bits, self.least, self.cells = width, parts, bits, least, cells
@@ -245,8 +350,23 @@ def _least_level(per_level, most):
     return int(fits[0]) + 1 if len(fits) else LEVELS - 1, entries
 
 
+def filter_parts(spark, counted, width, keys_of):
+    """The whole filter, all levels: the cells of every part, saved."""
+
+    def run(batches):
+        for batch in batches:
+            cells = []
+            for row in batch.select(_names(_SLICE)).to_pylist():
+                keys, counts = _unpack(*[row[c] for c in _names(_SLICE)[1:]])
+                bits = -(-int(levels_of(counts).sum()) * BITS_PER_ENTRY // 8) * 8 + 64
+                cells.append(CountFilter(width, 1, bits, 1).part(keys_of(keys), counts).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array(cells, pa.binary())], ["part", "cells"])
+
+    return saved(spark, counted.select(_names(_SLICE)).mapInArrow(run, "part int, cells binary"))
+
+
 def build_filter(counted, per_level, width, parts, most_bytes, keys_of=lambda keys: keys):
-    """A CountFilter of at most ``most_bytes`` from packed counts, a part at a time."""
+    """A CountFilter of the upper levels, ``most_bytes`` at most, from packed counts, a part at a time."""
     least, entries = _least_level(per_level, most_bytes * 8 // BITS_PER_ENTRY)
     bits = max(64, -(-int(entries[least]) * BITS_PER_ENTRY // parts // 8) * 8 + 8)
     bits = min(bits, max(64, most_bytes * 8 // parts // 8 * 8))
@@ -293,30 +413,72 @@ def head_tokens(counted, per_level):
 
 _SCORED = (
     "doc_id long, held_out boolean, row long, n_tokens long, log_sum double, known long, score double, "
-    "part int, rows binary, tokens binary"
+    "kind int, part int, n int, rows binary, keys binary, tokens binary, levels binary"
 )
+#: What a part is asked: the count of a token; the level of a pair; of a history; of a token after a known history.
+_COUNT, _PAIR, _HISTORY, _TOKEN = range(4)
+_QUESTION = "part int, n int, rows binary, keys binary, tokens binary, levels binary"
+_ANSWER = "row long, log_sum double, known long, score double"
+
+
+def _questions(part, rows, keys, tokens, levels):
+    """A row per part: of n positions the rows, up to two hashes and the levels known so far."""
+    columns = list(zip(*_by_part(part, rows, keys, tokens, levels))) or [()] * 6
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], _names(_QUESTION))
+
+
+def _read(asked):
+    kinds = {"rows": np.int64, "keys": np.uint64, "tokens": np.uint64, "levels": np.int8}
+    return [_joined(asked[name], kind) for name, kind in kinds.items()]
+
+
+class _Smoothing:
+    """Probabilities from levels."""
+
+    def __init__(self, total, distinct, rest):
+        self.total, self.rest = total, rest
+        self.divisor = total + 0.1 * (distinct + 1)
+
+    def logs(self, history_level, token_level, pair_level):
+        """log10 p of tokens after their histories."""
+        alone = (LEVEL_VALUES[token_level] + 0.1) / self.divisor
+        history = LEVEL_VALUES[history_level]
+        pair = np.minimum(LEVEL_VALUES[pair_level], history)
+        p = np.maximum(pair - DISCOUNT, 0) / np.maximum(history, 1) + self.rest[history_level] * alone
+        return np.log10(np.minimum(p, 1.0))
 
 
 class _Model:
-    def __init__(self, total, distinct, tokens, pairs, rest, head):
-        self.total, self.distinct, self.tokens, self.pairs, self.rest = total, distinct, tokens, pairs, rest
+    def __init__(self, smoothing, tokens, pairs, head):
+        self.smoothing, self.tokens, self.pairs = smoothing, tokens, pairs
         self.head_keys, self.head_counts = head
-        self.divisor = total + 0.1 * (distinct + 1)
 
     def score(self, tokens, starts):
-        """log10 probabilities of the texts."""
+        """log10 probabilities of the texts as far as the broadcast levels tell, and the rest of the positions.
+
+        Those come as (kind, places, keys, tokens, levels known of history and token).
+        """
         seen, where = np.unique(tokens, return_inverse=True)
         token_level = self.tokens.levels(seen)[where]
         history_level = np.empty_like(token_level)
         history_level[1:] = token_level[:-1]
-        end = self.tokens.levels(np.array([END], np.uint64))[0]
-        history_level[starts] = end
-        pair_level = self.pairs.levels(pair_keys(tokens, starts)[1])
-        alone = (LEVEL_VALUES[token_level] + 0.1) / self.divisor
-        history = LEVEL_VALUES[history_level]
-        pair = np.minimum(LEVEL_VALUES[pair_level], history)
-        p = np.maximum(pair - DISCOUNT, 0) / np.maximum(history, 1) + self.rest[history_level] * alone
-        return np.add.reduceat(np.log10(np.minimum(p, 1.0)), starts)
+        history_level[starts] = self.tokens.levels(np.array([END], np.uint64))[0]
+        history, keys = pair_keys(tokens, starts)
+        pair_level = self.pairs.levels(keys)
+        levels = history_level.astype(np.int8), token_level.astype(np.int8)
+        left, asked = np.ones(len(tokens), bool), []
+        seen = (history_level > 0) & (token_level > 0)  # else there is no such pair
+        for kind, filters, open_, first in (
+            (_HISTORY, self.tokens, history_level == 0, history),
+            (_TOKEN, self.tokens, token_level == 0, keys),
+            (_PAIR, self.pairs, seen & (pair_level == 0), keys),
+        ):
+            at = np.flatnonzero(left & open_) if filters.least > 1 else np.zeros(0, np.int64)
+            left[at] = False
+            asked.append((kind, at, first[at], tokens[at], np.stack([x[at] for x in levels], axis=1)))
+        logs = np.where(left, self.smoothing.logs(history_level, token_level, pair_level), 0.0)
+        return np.add.reduceat(logs, starts), asked
 
     def exact(self, tokens, starts):
         """Of the head tokens: sums of log10(c + 0.1) and counts per text; which others there are."""
@@ -327,48 +489,108 @@ class _Model:
         return np.add.reduceat(logs, starts), np.add.reduceat(held.astype(np.int64), starts), np.flatnonzero(~held)
 
 
-def _scorer(model, parts):
+def _address(kind, keys, tokens, parts):
+    if kind == _PAIR:
+        return part_of(keys, PAIR_WIDTH - _LEVEL_BITS, parts)
+    return part_of(keys if kind == _HISTORY else tokens, TOKEN_WIDTH, parts)
+
+
+def _scorer(model, parts, at_least=1 << 20):
+    def sent(held):
+        for kind, found in held.items():
+            rows, keys, tokens, levels = (np.concatenate(x) for x in zip(*found))
+            batch = _questions(_address(kind, keys, tokens, parts), rows, keys, tokens, levels)
+            n = batch.num_rows
+            empty = [pa.nulls(n, k) for k in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64())]
+            yield pa.RecordBatch.from_arrays([*empty, pa.array([kind] * n, pa.int32()), *batch.columns], _names(_SCORED))
+
     def run(batches):
         m = model.value
+        held, size = {}, 0
         for rows, tokens, starts in _in_chunks(batches):
             ids = rows.column("row").to_numpy()
             sizes = np.diff(np.append(starts, len(tokens)))
             logs, known, others = m.exact(tokens, starts)
+            score, asked = m.score(tokens, starts)
             n = len(ids)
-            nothing = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())]
+            nothing = [pa.nulls(n, pa.int32())] * 3 + [pa.nulls(n, pa.binary())] * 4
             own = [rows.column("doc_id"), rows.column("held_out")]
-            own += [pa.array(x) for x in (ids, sizes.astype(np.int64), logs, known, m.score(tokens, starts))]
+            own += [pa.array(x) for x in (ids, sizes.astype(np.int64), logs, known, score)]
             yield pa.RecordBatch.from_arrays([*own, *nothing], _names(_SCORED))
-            if len(others):
-                part = part_of(tokens[others], TOKEN_WIDTH, parts)
-                order = np.argsort(part, kind="stable")
-                others, part = others[order], part[order]
-                row = np.repeat(ids, sizes)[others]
-                numbers, first = np.unique(part, return_index=True)
-                ends = [*first[1:], len(part)]
-                sent = [[x[a:b].tobytes() for a, b in zip(first, ends)] for x in (row, tokens[others])]
-                n = len(numbers)
-                kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64())
-                empty = [pa.nulls(n, k) for k in kinds]
-                columns = [pa.array(numbers.astype(np.int32)), *[pa.array(x, pa.binary()) for x in sent]]
-                yield pa.RecordBatch.from_arrays([*empty, *columns], _names(_SCORED))
+            row = np.repeat(ids, sizes)
+            asked.append((_COUNT, others, tokens[:0], tokens[others], np.zeros((0, 2), np.int8)))
+            for kind, at, *found in asked:
+                if len(at):
+                    held.setdefault(kind, []).append((row[at], *_needed(kind, *found)))
+                    size += len(at)
+            if size >= at_least:
+                yield from sent(held)
+                held, size = {}, 0
+        yield from sent(held)
 
     return run
 
 
+def _needed(kind, keys, tokens, levels):
+    """keys, tokens and levels, without those that this kind of question has no use for."""
+    if kind == _COUNT:
+        return keys[:0], tokens, levels[:0]
+    return keys, tokens[:0] if kind == _PAIR else tokens, levels
+
+
+def _summed_by_row(rows, logs, known, score):
+    ids, at = np.unique(rows, return_inverse=True)
+    sums = [np.bincount(at, x, len(ids)) if len(ids) else np.zeros(0) for x in (logs, known, score)]
+    kinds = (np.float64, np.int64, np.float64)
+    return pa.table([pa.array(ids.astype(np.int64)), *[pa.array(x.astype(k)) for x, k in zip(sums, kinds)]], _names(_ANSWER))
+
+
 def _tail(asked, counted):
     """Sums of log10(c + 0.1) and numbers of known tokens, per row, of one part's rare tokens."""
-    rows = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in asked["rows"]]) if len(asked) else np.zeros(0, np.int64)
-    tokens = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in asked["tokens"]]) if len(asked) else np.zeros(0, np.uint64)
-    n = np.zeros(len(tokens), np.int64)
-    for held in counted.select(_names(_SLICE)[1:]).to_pylist():
-        keys, counts = _unpack(*held.values())
-        at = np.minimum(np.searchsorted(keys, tokens), len(keys) - 1)
-        n = np.where(keys[at] == tokens, counts[at], n)
-    ids, at = np.unique(rows, return_inverse=True)
-    logs = np.bincount(at, np.log10(n + 0.1), len(ids))
-    known = np.bincount(at, n > 0, len(ids)).astype(np.int64)
-    return pa.table({"row": pa.array(ids, pa.int64()), "log_sum": pa.array(logs, pa.float64()), "known": pa.array(known, pa.int64())})
+    rows, _, tokens, _ = _read(asked)
+    n = _counts(counted, tokens)
+    return _summed_by_row(rows, np.log10(n + 0.1), n > 0, np.zeros(len(n)))
+
+
+def _history_told(parts):
+    """Questions for the token, now that the history's level is known."""
+
+    def run(asked, counted):
+        rows, history, tokens, levels = _read(asked)
+        levels = levels.reshape(-1, 2).copy()
+        levels[:, 0] = _levels_told(counted, history)
+        part = _address(_TOKEN, None, tokens, parts)
+        return pa.Table.from_batches([_questions(part, rows, pair_key(history, tokens), tokens, levels)])
+
+    return run
+
+
+def _token_told(parts):
+    """Questions for the pair, now that the token's level is known too."""
+
+    def run(asked, counted):
+        rows, keys, tokens, levels = _read(asked)
+        levels = levels.reshape(-1, 2).copy()
+        levels[:, 1] = _levels_told(counted, tokens)
+        return pa.Table.from_batches([_questions(_address(_PAIR, keys, None, parts), rows, keys, tokens[:0], levels)])
+
+    return run
+
+
+def _pair_told(smoothing):
+    """Sums of log10 p, per row, of the positions whose pair one part of the filter holds, if any does."""
+
+    def run(asked, held):
+        rows, keys, _, levels = _read(asked)
+        levels = levels.reshape(-1, 2).astype(np.int64)
+        pair = np.zeros(len(keys), np.int64)
+        for cells in held["cells"]:
+            cells = np.frombuffer(cells.as_py(), np.uint8)
+            pair = CountFilter(PAIR_WIDTH - _LEVEL_BITS, 1, len(cells) * 8, 1, cells).levels(keys)
+        nothing = np.zeros(len(keys))
+        return _summed_by_row(rows, nothing, nothing, smoothing.logs(levels[:, 0], levels[:, 1], pair))
+
+    return run
 
 
 def held_out(id_column):
@@ -397,39 +619,49 @@ def scored(spark, docs, id_col="doc_id", text_col="text"):
     token_filter = build_filter(tokens, per_level, TOKEN_WIDTH, parts, TOKEN_FILTER_BYTES)
     token_cells = sc.broadcast(token_filter)
 
-    def with_history(found, starts):
-        history, keys = pair_keys(found, starts)
-        seen, where = np.unique(history, return_inverse=True)
-        level = token_cells.value.levels(seen)[where].astype(np.uint64)
-        return keys << np.uint64(_LEVEL_BITS) | level
-
-    sent = training.mapInArrow(_sent(with_history, PAIR_WIDTH, parts), _SLICE)
-    pairs = saved(spark, sent.groupBy("part").applyInArrow(_merged(_pair_stats), _COUNTED))
+    sent = training.mapInArrow(_sent_pairs(token_cells, parts), _PAIRS_SENT)
+    slices = _names(_SLICE)
+    if token_filter.least > 1:
+        sent = saved(spark, sent)
+        rare = sent.where(F.col("history").isNotNull()).select("part", "n", "history", "token")
+        sent = sent.where(F.col("history").isNull()).select(slices).unionByName(_asked(rare, tokens.select(slices), _with_level(parts), _SLICE))
+    pairs = saved(spark, sent.select(slices).groupBy("part").applyInArrow(_merged(_pair_stats), _COUNTED))
     distinct, occurrences = _summed(pairs, 2 * LEVELS**2).reshape(2, LEVELS, LEVELS)
-    pair_filter = build_filter(
-        pairs, distinct.sum(axis=0), PAIR_WIDTH - _LEVEL_BITS, parts, PAIR_FILTER_BYTES, lambda keys: keys >> np.uint64(_LEVEL_BITS)
-    )
-    kept = np.arange(LEVELS) >= pair_filter.least
-    seen = (occurrences - DISCOUNT * distinct)[:, kept].sum(axis=1)
-    rest = np.where(occurrences.sum(axis=1) > 0, 1 - seen / np.maximum(occurrences.sum(axis=1), 1), 1.0)
+    width, keys_of = PAIR_WIDTH - _LEVEL_BITS, lambda keys: keys >> np.uint64(_LEVEL_BITS)
+    pair_filter = build_filter(pairs, distinct.sum(axis=0), width, parts, PAIR_FILTER_BYTES, keys_of)
+    rest = np.where(occurrences.sum(axis=1) > 0, DISCOUNT * distinct.sum(axis=1) / np.maximum(occurrences.sum(axis=1), 1), 1.0)
     rest[0] = 1.0
-    model = _Model(int(total), int(per_level.sum()), token_filter, pair_filter, rest, head_tokens(tokens, per_level))
+    smoothing = _Smoothing(int(total), int(per_level.sum()), rest)
+    model = _Model(smoothing, token_filter, pair_filter, head_tokens(tokens, per_level))
     held = sc.broadcast(model)
 
     numbered = rows.withColumn("row", F.monotonically_increasing_id())
     out = saved(spark, numbered.mapInArrow(_scorer(held, parts), _SCORED))
-    asked = out.where(F.col("part").isNotNull()).select("part", "rows", "tokens")
-    rare = asked.groupBy("part").cogroup(tokens.select(_names(_SLICE)).groupBy("part")).applyInArrow(_tail, "row long, log_sum double, known long")
-    rare = rare.groupBy("row").agg(F.sum("log_sum").alias("rare_sum"), F.sum("known").alias("rare_known"))
-    base = F.col("log_sum") + F.coalesce("rare_sum", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(np.log10(model.divisor)))
-    return out.where(F.col("part").isNull()).join(rare, "row", "left").select(
+
+    def asked(kind):
+        return out.where(F.col("kind") == kind).select(_names(_QUESTION))
+
+    counts = tokens.select(slices)
+    answers, about_pairs = _asked(asked(_COUNT), counts, _tail, _ANSWER), asked(_PAIR)
+    if token_filter.least > 1:
+        about_tokens = asked(_TOKEN).unionByName(_asked(asked(_HISTORY), counts, _history_told(parts), _QUESTION))
+        told = _asked(saved(spark, about_tokens), counts, _token_told(parts), _QUESTION)
+        about_pairs = saved(spark, about_pairs.unionByName(told))
+    if max(token_filter.least, pair_filter.least) > 1:
+        cells = filter_parts(spark, pairs, width, keys_of)
+        answers = answers.unionByName(_asked(about_pairs, cells, _pair_told(smoothing), _ANSWER))
+    rare = answers.groupBy("row").agg(
+        F.sum("log_sum").alias("rare_sum"), F.sum("known").alias("rare_known"), F.sum("score").alias("rare_score")
+    )
+    base = F.col("log_sum") + F.coalesce("rare_sum", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(np.log10(smoothing.divisor)))
+    return out.where(F.col("kind").isNull()).join(rare, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"),
+        F.lit(smoothing.total).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("rare_score", F.lit(0.0))).alias("score"),
     )
 
 

@@ -70,6 +70,59 @@ def test_model_beats_the_base_on_held_out_text(spark, folder):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
+def plain_scores(rows):
+    """The scores by plain dictionaries, and the model's p(token | history) for all tokens that occur."""
+    texts = [[*(t or "").encode().lower().split(), None] for _, t in rows]
+    held = [zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i, _ in rows]
+    tokens, pairs = Counter(), Counter()
+    for words, h in zip(texts, held):
+        if not h:
+            tokens.update(words)
+            pairs.update(zip([None, *words], words))
+    n, v = sum(tokens.values()), len(tokens)
+    level = {k: int(lm.levels_of(np.array([c]))[0]) for c in (tokens, pairs) for k, c in c.items()}
+    mass, times = Counter(), Counter()
+    for (h, _), c in pairs.items():
+        mass[level[h]] += lm.DISCOUNT
+        times[level[h]] += c
+
+    def p(h, w):
+        alone = (lm.LEVEL_VALUES[level.get(w, 0)] + 0.1) / (n + 0.1 * (v + 1))
+        if h not in tokens:
+            return min(alone, 1.0)
+        history = lm.LEVEL_VALUES[level[h]]
+        pair = min(lm.LEVEL_VALUES[level.get((h, w), 0)], history)
+        return min(max(pair - lm.DISCOUNT, 0) / history + mass[level[h]] / times[level[h]] * alone, 1.0)
+
+    scores = [sum(math.log10(p(h, w)) for h, w in zip([None, *words], words)) for words in texts]
+    return sorted((str(i), round(x, 6)) for (i, _), x in zip(rows, scores)), tokens, p
+
+
+@pytest.mark.parametrize("token_bytes, pair_bytes, asked", [(16 << 20, 32 << 20, 1 << 21), (16 << 20, 400, 50), (300, 400, 50), (8, 8, 1 << 21)])
+def test_score_against_brute_force_however_little_is_broadcast(spark, make_docs, prose, odd_rows, monkeypatch, token_bytes, pair_bytes, asked):
+    monkeypatch.setattr(lm, "TOKEN_FILTER_BYTES", token_bytes)
+    monkeypatch.setattr(lm, "PAIR_FILTER_BYTES", pair_bytes)
+    monkeypatch.setattr(lm, "BITS_PER_ENTRY", 96)  # no false positives to speak of
+    monkeypatch.setattr(lm, "ASKED", asked)
+    monkeypatch.setattr(lm, "PART_BYTES", 4_000)
+    rows = [(i, t) for i, t, *_ in odd_rows if t is None or len(t) < 10_000] + [(i, prose(4, i)) for i in range(10, 80)]
+    rows += [(200 + i, "again and again an unknownword " * 40) for i in range(8)]
+    found = sorted((str(r.doc_id), round(r.score, 6)) for r in lm.scored(spark, make_docs(rows)).collect())
+    want, _, _ = plain_scores(rows)
+    assert [i for i, _ in found] == [i for i, _ in want]
+    near = [abs(a - b) <= 1e-4 for (_, a), (_, b) in zip(found, want)]
+    assert np.mean(near) > 0.97
+    assert abs(sum(x for _, x in found) / sum(x for _, x in want) - 1) < 1e-3
+
+
+def test_probabilities_after_a_history_add_up(prose):
+    """Over all tokens and one unseen; what the rounding of counts adds or takes is small on average."""
+    _, tokens, p = plain_scores([(i, prose(6, i)) for i in range(300)])
+    sums = {h: sum(p(h, w) for w in tokens) + p(h, b"no such token") for h in tokens}
+    mean = sum(sums[h] * c for h, c in tokens.items()) / sum(tokens.values())
+    assert 0.85 < mean < 1.15
+
+
 def test_empty_table(spark, no_docs, make_docs):
     assert lm.scored(spark, no_docs).collect() == []
     only_held_out = next(i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 == 0)
