@@ -162,34 +162,75 @@ def _sent(keys_of, width, parts, at_least=1 << 21):
     return run
 
 
-_PAIRS_SENT = _SLICE + ", history binary, token binary"
+_KINDS = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
+_ZSTD = {"codec": "zstd"}
 
 
-def _by_part(part, *columns):
-    """(part, n, bytes of each column) for every part that occurs; an empty column stays so."""
-    order = np.argsort(part, kind="stable")
-    numbers, first = np.unique(part[order], return_index=True)
-    ends = [*first[1:], len(part)]
-    columns = [c[order] if len(c) else c for c in columns]
-    return [(int(p), int(b - a), *[c[a:b].tobytes() for c in columns]) for p, a, b in zip(numbers, first, ends)]
+def _padded(batch, schema):
+    """A batch with all columns of a schema, null where it has none."""
+    columns = [c.split() for c in schema.split(", ")]
+    arrays = [batch.column(n) if n in batch.schema.names else pa.nulls(batch.num_rows, _KINDS[k]) for n, k in columns]
+    return pa.RecordBatch.from_arrays(arrays, [n for n, _ in columns])
+
+
+def _planes(values):
+    """Bytes of numbers, the lowest of all first, compressed; nothing for no numbers."""
+    if not len(values):
+        return b""
+    return pa.compress(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes(), asbytes=True, **_ZSTD)
+
+
+def _from_planes(data, n, kind, width=1):
+    if not data:
+        return np.zeros(0, kind) if width == 1 else np.zeros((0, width), kind)
+    size = np.dtype(kind).itemsize * width
+    values = np.frombuffer(pa.decompress(data, n * size, **_ZSTD), np.uint8).reshape(size, n).T.copy().view(kind)
+    return values[:, 0] if width == 1 else values
+
+
+_QUESTION = "part int, n int, low long, keys binary, first long, rows binary, others binary, levels binary"
+
+
+def _questions(keys, width, parts, rows, others, levels):
+    """A row for every part that the keys reach: its keys in order, what comes with each beside them.
+
+    rows, others (hashes) and levels (of history and token) may be empty.
+    """
+    order = np.argsort(keys)
+    keys, rows, others, levels = (x[order] if len(x) else x for x in (keys, rows, others, levels))
+    numbers, begins = np.unique(part_of(keys, width, parts), return_index=True)
+    out = []
+    for number, a, b in zip(numbers, begins, [*begins[1:], len(keys)]):
+        first = int(rows[a:b].min(initial=np.iinfo(np.int64).max)) if len(rows) else 0
+        gaps, places = np.diff(keys[a:b], prepend=keys[a]), rows[a:b] - first
+        out.append((int(number), int(b - a), int(keys[a]), _planes(gaps), first, _planes(places), _planes(others[a:b]), _planes(levels[a:b])))
+    names = _names(_QUESTION)
+    kinds = [_KINDS[c.split()[1]] for c in _QUESTION.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(list(zip(*out)) or [()] * len(names), kinds)], names)
+
+
+def _read(asked):
+    """keys, rows, others and levels of questions, one after the other."""
+    found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros((0, 2), np.int8))]
+    for q in asked.select(_names(_QUESTION)).to_pylist():
+        n = q["n"]
+        keys = np.cumsum(_from_planes(q["keys"], n, np.uint64)) + np.uint64(q["low"])
+        rows = _from_planes(q["rows"], n, np.int64) + q["first"]
+        found.append((keys, rows, _from_planes(q["others"], n, np.uint64), _from_planes(q["levels"], n, np.int8, 2)))
+    return [np.concatenate(x) for x in zip(*found)]
+
+
+_NO_ROWS, _NO_HASHES, _NO_LEVELS = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros((0, 2), np.int8)
+_PAIRS_SENT = _SLICE + ", keys binary, first long, rows binary, others binary, levels binary"
 
 
 def _sent_pairs(tokens_filter, parts, at_least=1 << 21):
     """Slices of pairs with their history's level; pairs of other histories, for the part that knows them."""
 
     def flush(closed, histories, tokens):
-        keys = np.concatenate(closed)
-        if len(keys):
-            batch = _slices(keys, PAIR_WIDTH, parts)
-            nothing = [pa.nulls(batch.num_rows, pa.binary())] * 2
-            yield pa.RecordBatch.from_arrays([*batch.columns, *nothing], _names(_PAIRS_SENT))
-        histories, tokens = np.concatenate(histories), np.concatenate(tokens)
-        if len(histories):
-            rows = _by_part(part_of(histories, TOKEN_WIDTH, parts), histories, tokens)
-            number, n, *asked = zip(*rows)
-            own = [pa.array(number, pa.int32()), pa.array(n, pa.int32()), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.int64())]
-            nothing = [pa.nulls(len(rows), pa.binary())] * 4
-            yield pa.RecordBatch.from_arrays([*own, *nothing, *[pa.array(x, pa.binary()) for x in asked]], _names(_PAIRS_SENT))
+        yield _padded(_slices(np.concatenate(closed), PAIR_WIDTH, parts), _PAIRS_SENT)
+        asked = _questions(np.concatenate(histories), TOKEN_WIDTH, parts, _NO_ROWS, np.concatenate(tokens), _NO_LEVELS)
+        yield _padded(asked, _PAIRS_SENT)
 
     def run(batches):
         held = tokens_filter.value
@@ -212,10 +253,6 @@ def _sent_pairs(tokens_filter, parts, at_least=1 << 21):
     return run
 
 
-def _joined(cells, kind):
-    return np.frombuffer(b"".join(x.as_py() for x in cells), kind)
-
-
 def _counts(counted, tokens):
     """Exact counts of tokens of one part."""
     n = np.zeros(len(tokens), np.int64)
@@ -235,7 +272,7 @@ def _with_level(parts):
     """Slices of the pairs whose history's level a part of the tokens tells; a copy may be asked nothing."""
 
     def run(asked, counted):
-        history, tokens = _joined(asked["history"], np.uint64), _joined(asked["token"], np.uint64)
+        history, _, tokens, _ = _read(asked)
         level = _levels_told(counted, history).astype(np.uint64)
         return pa.Table.from_batches([_slices(pair_key(history, tokens) << np.uint64(_LEVEL_BITS) | level, PAIR_WIDTH, parts)])
 
@@ -249,7 +286,7 @@ def _asked(questions, held, answer, schema):
     questions, however often one key is asked for.
     """
     loads = questions.groupBy("part").agg(F.ceil(F.sum("n") / ASKED).cast("int").alias("copies"))
-    dealt = questions.join(loads, "part").withColumn("copy", F.pmod(F.xxhash64(*[c for c in questions.columns if c != "part"]), "copies"))
+    dealt = questions.join(loads, "part").withColumn("copy", F.pmod(F.xxhash64("keys", "rows"), "copies"))
     dealt = dealt.drop("copies")
     numbers = loads.select("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies").cast("long") - 1)).alias("copy"))
     copies = held.join(numbers, "part")
@@ -311,18 +348,23 @@ class CountFilter:
     def __init__(self, width, parts, bits, least, cells=None):
         self.width, self.parts, self.bits, self.least, self.cells = width, parts, bits, least, cells
 
-    def _places(self, keys, level):
+    def _places(self, first, step, probe):
+        mixed = (first + np.uint64(probe) * step) >> np.uint64(32)
+        return ((mixed * np.uint64(self.bits)) >> np.uint64(32)).astype(np.int64)
+
+    @staticmethod
+    def _steps(keys, level):
         first = _mix(keys + np.array([level], np.uint64) * _M1)
-        step = _mix(first ^ _M2) | np.uint64(1)
-        for probe in range(PROBES):
-            yield ((first + np.uint64(probe) * step) % np.uint64(self.bits)).astype(np.int64)
+        return first, _mix(first ^ _M2) | np.uint64(1)
 
     def part(self, keys, counts):
         """The bits of one part."""
         cells = np.zeros(self.bits // 8, np.uint8)
         levels = levels_of(counts)
         for level in range(self.least, int(levels.max(initial=0)) + 1):
-            for place in self._places(keys[levels >= level], level):
+            steps = self._steps(keys[levels >= level], level)
+            for probe in range(PROBES):
+                place = self._places(*steps, probe)
                 np.bitwise_or.at(cells, place >> 3, (1 << (place & 7)).astype(np.uint8))
         return cells
 
@@ -332,10 +374,11 @@ class CountFilter:
         base = part_of(keys, self.width, self.parts).astype(np.int64) * (self.bits // 8)
         left = np.arange(len(keys))
         for level in range(self.least, LEVELS):
-            held = np.ones(len(left), bool)
-            for place in self._places(keys[left], level):
-                held &= (self.cells[base[left] + (place >> 3)] >> (place & 7).astype(np.uint8)) & 1 == 1
-            left = left[held]
+            first, step = self._steps(keys, level)
+            for probe in range(PROBES):
+                place = self._places(first, step, probe)
+                held = (self.cells[base + (place >> 3)] >> (place & 7).astype(np.uint8)) & 1 == 1
+                keys, base, left, first, step = keys[held], base[held], left[held], first[held], step[held]
             if not len(left):
                 break
             out[left] = level
@@ -413,26 +456,14 @@ def head_tokens(counted, per_level):
 
 _SCORED = (
     "doc_id long, held_out boolean, row long, n_tokens long, log_sum double, known long, score double, "
-    "kind int, part int, n int, rows binary, keys binary, tokens binary, levels binary"
+    "kind int, " + _QUESTION
 )
 #: What a part is asked: the count of a token; the level of a pair; of a history; of a token after a known history.
 _COUNT, _PAIR, _HISTORY, _TOKEN = range(4)
-_QUESTION = "part int, n int, rows binary, keys binary, tokens binary, levels binary"
+_WIDTHS = {_COUNT: TOKEN_WIDTH, _PAIR: PAIR_WIDTH - _LEVEL_BITS, _HISTORY: TOKEN_WIDTH, _TOKEN: TOKEN_WIDTH}
 _ANSWER = "row long, log_sum double, known long, score double"
 
 
-def _questions(part, rows, keys, tokens, levels):
-    """A row per part: of n positions the rows, up to two hashes and the levels known so far."""
-    columns = list(zip(*_by_part(part, rows, keys, tokens, levels))) or [()] * 6
-    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
-    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], _names(_QUESTION))
-
-
-def _read(asked):
-    kinds = {"rows": np.int64, "keys": np.uint64, "tokens": np.uint64, "levels": np.int8}
-    return [_joined(asked[name], kind) for name, kind in kinds.items()]
-
-
 class _Smoothing:
     """Probabilities from levels."""
 
@@ -455,54 +486,48 @@ class _Model:
         self.head_keys, self.head_counts = head
 
     def score(self, tokens, starts):
-        """log10 probabilities of the texts as far as the broadcast levels tell, and the rest of the positions.
+        """Per text the log10 probability, the sum of log10(c + 0.1) and the number of known tokens.
 
-        Those come as (kind, places, keys, tokens, levels known of history and token).
+        All as far as broadcast counts tell. Then, for other places, what is asked of
+        the parts: (kind, places, keys, others, levels known of history and token).
         """
-        seen, where = np.unique(tokens, return_inverse=True)
-        token_level = self.tokens.levels(seen)[where]
+        words, where = np.unique(tokens, return_inverse=True)
+        token_level = self.tokens.levels(words)[where]
         history_level = np.empty_like(token_level)
         history_level[1:] = token_level[:-1]
         history_level[starts] = self.tokens.levels(np.array([END], np.uint64))[0]
         history, keys = pair_keys(tokens, starts)
         pair_level = self.pairs.levels(keys)
-        levels = history_level.astype(np.int8), token_level.astype(np.int8)
         left, asked = np.ones(len(tokens), bool), []
         seen = (history_level > 0) & (token_level > 0)  # else there is no such pair
-        for kind, filters, open_, first in (
-            (_HISTORY, self.tokens, history_level == 0, history),
-            (_TOKEN, self.tokens, token_level == 0, keys),
-            (_PAIR, self.pairs, seen & (pair_level == 0), keys),
+        for kind, filters, unknown, first, second in (
+            (_HISTORY, self.tokens, history_level == 0, history, tokens),
+            (_TOKEN, self.tokens, token_level == 0, tokens, keys),
+            (_PAIR, self.pairs, seen & (pair_level == 0), keys, None),
         ):
-            at = np.flatnonzero(left & open_) if filters.least > 1 else np.zeros(0, np.int64)
+            at = np.flatnonzero(left & unknown) if filters.least > 1 else _NO_ROWS
             left[at] = False
-            asked.append((kind, at, first[at], tokens[at], np.stack([x[at] for x in levels], axis=1)))
+            levels = np.stack([history_level[at], token_level[at]], axis=1).astype(np.int8)
+            asked.append((kind, at, first[at], _NO_HASHES if second is None else second[at], levels))
         logs = np.where(left, self.smoothing.logs(history_level, token_level, pair_level), 0.0)
-        return np.add.reduceat(logs, starts), asked
-
-    def exact(self, tokens, starts):
-        """Of the head tokens: sums of log10(c + 0.1) and counts per text; which others there are."""
-        at = np.minimum(np.searchsorted(self.head_keys, tokens), max(0, len(self.head_keys) - 1))
-        held = self.head_keys[at] == tokens if len(self.head_keys) else np.zeros(len(tokens), bool)
-        logs = np.zeros(len(tokens))
-        logs[held] = np.log10(self.head_counts[at[held]] + 0.1)
-        return np.add.reduceat(logs, starts), np.add.reduceat(held.astype(np.int64), starts), np.flatnonzero(~held)
 
-
-def _address(kind, keys, tokens, parts):
-    if kind == _PAIR:
-        return part_of(keys, PAIR_WIDTH - _LEVEL_BITS, parts)
-    return part_of(keys if kind == _HISTORY else tokens, TOKEN_WIDTH, parts)
+        place = np.minimum(np.searchsorted(self.head_keys, words), max(0, len(self.head_keys) - 1))
+        held = self.head_keys[place] == words if len(self.head_keys) else np.zeros(len(words), bool)
+        exact = np.zeros(len(words))
+        exact[held] = np.log10(self.head_counts[place[held]] + 0.1)
+        at = np.flatnonzero(~held[where])
+        asked.append((_COUNT, at, tokens[at], _NO_HASHES, _NO_LEVELS))
+        sums = [np.add.reduceat(x, starts) for x in (logs, exact[where], held[where].astype(np.int64))]
+        return *sums, asked
 
 
 def _scorer(model, parts, at_least=1 << 20):
     def sent(held):
         for kind, found in held.items():
-            rows, keys, tokens, levels = (np.concatenate(x) for x in zip(*found))
-            batch = _questions(_address(kind, keys, tokens, parts), rows, keys, tokens, levels)
-            n = batch.num_rows
-            empty = [pa.nulls(n, k) for k in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64())]
-            yield pa.RecordBatch.from_arrays([*empty, pa.array([kind] * n, pa.int32()), *batch.columns], _names(_SCORED))
+            rows, keys, others, levels = (np.concatenate(x) for x in zip(*found))
+            batch = _questions(keys, _WIDTHS[kind], parts, rows, others, levels)
+            batch = batch.append_column("kind", pa.array([kind] * batch.num_rows, pa.int32()))
+            yield _padded(batch, _SCORED)
 
     def run(batches):
         m = model.value
@@ -510,18 +535,13 @@ def _scorer(model, parts, at_least=1 << 20):
         for rows, tokens, starts in _in_chunks(batches):
             ids = rows.column("row").to_numpy()
             sizes = np.diff(np.append(starts, len(tokens)))
-            logs, known, others = m.exact(tokens, starts)
-            score, asked = m.score(tokens, starts)
-            n = len(ids)
-            nothing = [pa.nulls(n, pa.int32())] * 3 + [pa.nulls(n, pa.binary())] * 4
-            own = [rows.column("doc_id"), rows.column("held_out")]
-            own += [pa.array(x) for x in (ids, sizes.astype(np.int64), logs, known, score)]
-            yield pa.RecordBatch.from_arrays([*own, *nothing], _names(_SCORED))
+            score, logs, known, asked = m.score(tokens, starts)
+            own = [rows.column("doc_id"), rows.column("held_out"), *[pa.array(x) for x in (ids, sizes.astype(np.int64), logs, known, score)]]
+            yield _padded(pa.RecordBatch.from_arrays(own, _names(_SCORED)[: len(own)]), _SCORED)
             row = np.repeat(ids, sizes)
-            asked.append((_COUNT, others, tokens[:0], tokens[others], np.zeros((0, 2), np.int8)))
             for kind, at, *found in asked:
                 if len(at):
-                    held.setdefault(kind, []).append((row[at], *_needed(kind, *found)))
+                    held.setdefault(kind, []).append((row[at], *found))
                     size += len(at)
             if size >= at_least:
                 yield from sent(held)
@@ -531,13 +551,6 @@ def _scorer(model, parts, at_least=1 << 20):
     return run
 
 
-def _needed(kind, keys, tokens, levels):
-    """keys, tokens and levels, without those that this kind of question has no use for."""
-    if kind == _COUNT:
-        return keys[:0], tokens, levels[:0]
-    return keys, tokens[:0] if kind == _PAIR else tokens, levels
-
-
 def _summed_by_row(rows, logs, known, score):
     ids, at = np.unique(rows, return_inverse=True)
     sums = [np.bincount(at, x, len(ids)) if len(ids) else np.zeros(0) for x in (logs, known, score)]
@@ -547,7 +560,7 @@ def _summed_by_row(rows, logs, known, score):
 
 def _tail(asked, counted):
     """Sums of log10(c + 0.1) and numbers of known tokens, per row, of one part's rare tokens."""
-    rows, _, tokens, _ = _read(asked)
+    tokens, rows, _, _ = _read(asked)
     n = _counts(counted, tokens)
     return _summed_by_row(rows, np.log10(n + 0.1), n > 0, np.zeros(len(n)))
 
@@ -556,11 +569,9 @@ def _history_told(parts):
     """Questions for the token, now that the history's level is known."""
 
     def run(asked, counted):
-        rows, history, tokens, levels = _read(asked)
-        levels = levels.reshape(-1, 2).copy()
+        history, rows, tokens, levels = _read(asked)
         levels[:, 0] = _levels_told(counted, history)
-        part = _address(_TOKEN, None, tokens, parts)
-        return pa.Table.from_batches([_questions(part, rows, pair_key(history, tokens), tokens, levels)])
+        return pa.Table.from_batches([_questions(tokens, TOKEN_WIDTH, parts, rows, pair_key(history, tokens), levels)])
 
     return run
 
@@ -569,10 +580,9 @@ def _token_told(parts):
     """Questions for the pair, now that the token's level is known too."""
 
     def run(asked, counted):
-        rows, keys, tokens, levels = _read(asked)
-        levels = levels.reshape(-1, 2).copy()
+        tokens, rows, keys, levels = _read(asked)
         levels[:, 1] = _levels_told(counted, tokens)
-        return pa.Table.from_batches([_questions(_address(_PAIR, keys, None, parts), rows, keys, tokens[:0], levels)])
+        return pa.Table.from_batches([_questions(keys, _WIDTHS[_PAIR], parts, rows, _NO_HASHES, levels)])
 
     return run
 
@@ -581,12 +591,12 @@ def _pair_told(smoothing):
     """Sums of log10 p, per row, of the positions whose pair one part of the filter holds, if any does."""
 
     def run(asked, held):
-        rows, keys, _, levels = _read(asked)
-        levels = levels.reshape(-1, 2).astype(np.int64)
+        keys, rows, _, levels = _read(asked)
+        levels = levels.astype(np.int64)
         pair = np.zeros(len(keys), np.int64)
         for cells in held["cells"]:
             cells = np.frombuffer(cells.as_py(), np.uint8)
-            pair = CountFilter(PAIR_WIDTH - _LEVEL_BITS, 1, len(cells) * 8, 1, cells).levels(keys)
+            pair = CountFilter(_WIDTHS[_PAIR], 1, len(cells) * 8, 1, cells).levels(keys)
         nothing = np.zeros(len(keys))
         return _summed_by_row(rows, nothing, nothing, smoothing.logs(levels[:, 0], levels[:, 1], pair))
 
@@ -623,8 +633,8 @@ def scored(spark, docs, id_col="doc_id", text_col="text"):
     slices = _names(_SLICE)
     if token_filter.least > 1:
         sent = saved(spark, sent)
-        rare = sent.where(F.col("history").isNotNull()).select("part", "n", "history", "token")
-        sent = sent.where(F.col("history").isNull()).select(slices).unionByName(_asked(rare, tokens.select(slices), _with_level(parts), _SLICE))
+        rare = sent.where(F.col("keys").isNotNull()).select(_names(_QUESTION))
+        sent = sent.where(F.col("keys").isNull()).select(slices).unionByName(_asked(rare, tokens.select(slices), _with_level(parts), _SLICE))
     pairs = saved(spark, sent.select(slices).groupBy("part").applyInArrow(_merged(_pair_stats), _COUNTED))
     distinct, occurrences = _summed(pairs, 2 * LEVELS**2).reshape(2, LEVELS, LEVELS)
     width, keys_of = PAIR_WIDTH - _LEVEL_BITS, lambda keys: keys >> np.uint64(_LEVEL_BITS)

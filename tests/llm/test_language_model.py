@@ -98,17 +98,20 @@ def plain_scores(rows):
     return sorted((str(i), round(x, 6)) for (i, _), x in zip(rows, scores)), tokens, p
 
 
-@pytest.mark.parametrize("token_bytes, pair_bytes, asked", [(16 << 20, 32 << 20, 1 << 21), (16 << 20, 400, 50), (300, 400, 50), (8, 8, 1 << 21)])
+@pytest.mark.parametrize("token_bytes, pair_bytes, asked", [(16 << 20, 32 << 20, 1 << 21), (16 << 20, 400, 50), (3000, 3000, 50), (3000, 3000, 1 << 21)])
 def test_score_against_brute_force_however_little_is_broadcast(spark, make_docs, prose, odd_rows, monkeypatch, token_bytes, pair_bytes, asked):
     monkeypatch.setattr(lm, "TOKEN_FILTER_BYTES", token_bytes)
     monkeypatch.setattr(lm, "PAIR_FILTER_BYTES", pair_bytes)
     monkeypatch.setattr(lm, "BITS_PER_ENTRY", 96)  # no false positives to speak of
     monkeypatch.setattr(lm, "ASKED", asked)
     monkeypatch.setattr(lm, "PART_BYTES", 4_000)
+    least, choose = [], lm._least_level
+    monkeypatch.setattr(lm, "_least_level", lambda *a: least.append(choose(*a)) or least[-1])
     rows = [(i, t) for i, t, *_ in odd_rows if t is None or len(t) < 10_000] + [(i, prose(4, i)) for i in range(10, 80)]
     rows += [(200 + i, "again and again an unknownword " * 40) for i in range(8)]
     found = sorted((str(r.doc_id), round(r.score, 6)) for r in lm.scored(spark, make_docs(rows)).collect())
     want, _, _ = plain_scores(rows)
+    assert [level > 1 for level, _ in least] == [token_bytes < 1 << 20, pair_bytes < 1 << 20]
     assert [i for i, _ in found] == [i for i, _ in want]
     near = [abs(a - b) <= 1e-4 for (_, a), (_, b) in zip(found, want)]
     assert np.mean(near) > 0.97
