@@ -29,18 +29,19 @@ DISCOUNT = 0.75
 PROBES = 4
 BITS_PER_ENTRY = 12
 #: Bounds in bytes of the levels that are broadcast, whatever the corpus.
-TOKEN_FILTER_BYTES = 16 << 20
-PAIR_FILTER_BYTES = 32 << 20
+TOKEN_FILTER_BYTES = 8 << 20
+PAIR_FILTER_BYTES = 8 << 20
 #: At most this many of the most frequent tokens are broadcast with their exact counts.
 HEAD_TOKENS = 1 << 19
 #: Bytes of text per part of the counts.
 PART_BYTES = 16 << 20
 #: A part that is asked more than this is copied, and the questions are dealt out.
 ASKED = 1 << 21
+#: The list of such parts is broadcast up to this number of them, joined by a shuffle beyond.
+COPIED_PARTS = 1 << 18
 TOKEN_WIDTH, PAIR_WIDTH = 62, 54
 _LEVEL_BITS = 6
-_CHUNK = 1 << 18
-_REMEMBERED = 200_000
+_CHUNK_BYTES = 3 << 19
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -49,22 +50,41 @@ def _mix(x):
     return (x ^ (x >> np.uint64(27))) * _M1
 
 
-class _Words(dict):
-    """Hashes of words, most of them remembered."""
-
-    def __missing__(self, word):
-        if len(self) > _REMEMBERED:
-            self.clear()
-        value = self[word] = xxh64_intdigest(word) >> 2
-        return value
-
-
 END = xxh64_intdigest(b"\n") >> 2  # no word holds a line break
-
-
-def token_hashes(text, words):
-    """Hashes of the lower-cased words of a text given as bytes, then of the end."""
-    return [*map(words.__getitem__, text.lower().split()), END]
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_LOW_BYTES = np.array([2 ** (8 * n) - 1 for n in range(9)], np.uint64)
+_LONG = 64
+
+
+def _word_hashes(data, first, end):
+    """Hashes of the words data[first:end], eight bytes at a time; of long ones by XXH64. Data goes on for 8 bytes."""
+    eights = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    size = end - first
+    out = size.astype(np.uint64) * _M1
+    left, at = np.arange(len(first)), first
+    while len(left):
+        here = eights[at] & _LOW_BYTES[np.minimum(end[left] - at, 8)]
+        out[left] = _mix(out[left] ^ here)
+        more = (end[left] - at > 8) & (at - first[left] < _LONG)
+        left, at = left[more], at[more] + 8
+    for word in np.flatnonzero(size > _LONG):
+        out[word] = xxh64_intdigest(data[first[word] : end[word]])
+    return out >> np.uint64(2)
+
+
+def token_hashes(texts):
+    """Hashes of the lower-cased words of texts given as bytes, with the end after each; where the texts start."""
+    data = b" ".join([*texts, b" " * 8]).lower()
+    space = _SPACE[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(np.diff(space, prepend=True))
+    first, end = edges[0::2], edges[1::2]
+    begins = np.cumsum([0, *[len(text) + 1 for text in texts]])
+    before = np.searchsorted(first, begins)
+    ends = before[1:] + np.arange(len(texts))
+    tokens, word = np.empty(len(first) + len(texts), np.uint64), np.ones(len(first) + len(texts), bool)
+    word[ends] = False
+    tokens[ends], tokens[word] = END, _word_hashes(data, first, end)
+    return tokens, np.concatenate([[0], ends[:-1] + 1])
 
 
 def pair_key(history, tokens):
@@ -132,17 +152,16 @@ def _slices(keys, width, parts):
 
 
 def _in_chunks(batches, column="text"):
-    """(rows of a batch, token hashes, starts of their texts), about _CHUNK tokens at a time."""
-    words = _Words()
+    """(rows of a batch, token hashes, starts of their texts), about _CHUNK_BYTES of text at a time."""
     for batch in batches:
-        tokens, starts, first = [], [], 0
+        texts, size, first = [], 0, 0
         cells = batch.column(column)
         for row in range(batch.num_rows):
-            starts.append(len(tokens))
-            tokens += token_hashes(cells[row].as_py(), words)
-            if len(tokens) >= _CHUNK or row == batch.num_rows - 1:
-                yield batch.slice(first, row + 1 - first), np.array(tokens, np.uint64), np.array(starts)
-                tokens, starts, first = [], [], row + 1
+            texts.append(cells[row].as_py())
+            size += len(texts[-1])
+            if size >= _CHUNK_BYTES or row == batch.num_rows - 1:
+                yield batch.slice(first, row + 1 - first), *token_hashes(texts)
+                texts, size, first = [], 0, row + 1
 
 
 def _sent(keys_of, width, parts, at_least=1 << 21):
@@ -285,11 +304,14 @@ def _asked(questions, held, answer, schema):
     A part that is asked much is copied, so that no task gets more than about ASKED
     questions, however often one key is asked for.
     """
-    loads = questions.groupBy("part").agg(F.ceil(F.sum("n") / ASKED).cast("int").alias("copies"))
-    dealt = questions.join(loads, "part").withColumn("copy", F.pmod(F.xxhash64("keys", "rows"), "copies"))
-    dealt = dealt.drop("copies")
-    numbers = loads.select("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies").cast("long") - 1)).alias("copy"))
-    copies = held.join(numbers, "part")
+    loads = questions.groupBy("part").agg(F.ceil(F.sum("n") / ASKED).cast("long").alias("copies")).where("copies > 1")
+    loads = saved(questions.sparkSession, loads)
+    if loads.count() <= COPIED_PARTS:
+        loads = F.broadcast(loads)
+    dealt = questions.join(loads, "part", "left")
+    dealt = dealt.withColumn("copy", F.pmod(F.xxhash64("keys", "rows"), F.coalesce("copies", F.lit(1).cast("long")))).drop("copies")
+    number = F.sequence(F.lit(0).cast("long"), F.coalesce("copies", F.lit(1).cast("long")) - 1)
+    copies = held.join(loads, "part", "left").select(*held.columns, F.explode(number).alias("copy"))
     return dealt.groupBy("part", "copy").cogroup(copies.groupBy("part", "copy")).applyInArrow(answer, schema)
 
 
@@ -509,7 +531,8 @@ class _Model:
             left[at] = False
             levels = np.stack([history_level[at], token_level[at]], axis=1).astype(np.int8)
             asked.append((kind, at, first[at], _NO_HASHES if second is None else second[at], levels))
-        logs = np.where(left, self.smoothing.logs(history_level, token_level, pair_level), 0.0)
+        logs, at = np.zeros(len(tokens)), np.flatnonzero(left)
+        logs[at] = self.smoothing.logs(history_level[at], token_level[at], pair_level[at])
 
         place = np.minimum(np.searchsorted(self.head_keys, words), max(0, len(self.head_keys) - 1))
         held = self.head_keys[place] == words if len(self.head_keys) else np.zeros(len(words), bool)

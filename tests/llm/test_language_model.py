@@ -126,6 +126,19 @@ def test_probabilities_after_a_history_add_up(prose):
     assert 0.85 < mean < 1.15
 
 
+def test_words_against_split(odd_rows):
+    """Equal words have equal hashes and others have others, whatever stands beside them."""
+    texts = [(t or "").encode() for _, t, *_ in odd_rows]
+    texts += [b"", b" \t", b"a A b\x00 b\x00\x00 b", b"x" * 64, b"y " + b"x" * 65, b"x" * 64 + b"X" * 3 + b"\v" + b"x" * 9, "\u00a0 \u0085 \u3000".encode()]
+    got, starts = lm.token_hashes(texts)
+    want = [w for t in texts for w in [*t.lower().split(), None]]
+    assert starts.tolist() == [0, *np.cumsum([len(t.split()) + 1 for t in texts])[:-1].tolist()]
+    assert len(got) == len(want) and len(set(zip(got.tolist(), want))) == len(set(want)) == len(set(got.tolist()))
+    for text in texts:
+        alone, _ = lm.token_hashes([text])
+        assert dict(zip([*text.lower().split(), None], alone.tolist())).items() <= dict(zip(want, got.tolist())).items()
+
+
 def test_empty_table(spark, no_docs, make_docs):
     assert lm.scored(spark, no_docs).collect() == []
     only_held_out = next(i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 == 0)
