@@ -483,7 +483,10 @@ _SCORED = (
 #: What a part is asked: the count of a token; the level of a pair; of a history; of a token after a known history.
 _COUNT, _PAIR, _HISTORY, _TOKEN = range(4)
 _WIDTHS = {_COUNT: TOKEN_WIDTH, _PAIR: PAIR_WIDTH - _LEVEL_BITS, _HISTORY: TOKEN_WIDTH, _TOKEN: TOKEN_WIDTH}
-_ANSWER = "row long, log_sum double, known long, score double"
+#: Partial sums of up to 2**_BUCKET_BITS consecutive rows in one.
+_ANSWER = "bucket long, rows binary, log_sums binary, knowns binary, scores binary"
+_BUCKET_BITS = 10
+_SUMS = "row long, rare_sum double, rare_known long, rare_score double"
 
 
 class _Smoothing:
@@ -574,11 +577,26 @@ def _scorer(model, parts, at_least=1 << 20):
     return run
 
 
-def _summed_by_row(rows, logs, known, score):
+def _by_row(rows, *values):
+    """The distinct rows and the sums of the values of each."""
     ids, at = np.unique(rows, return_inverse=True)
-    sums = [np.bincount(at, x, len(ids)) if len(ids) else np.zeros(0) for x in (logs, known, score)]
-    kinds = (np.float64, np.int64, np.float64)
-    return pa.table([pa.array(ids.astype(np.int64)), *[pa.array(x.astype(k)) for x, k in zip(sums, kinds)]], _names(_ANSWER))
+    return ids, *[np.bincount(at, x, len(ids)) if len(ids) else np.zeros(0) for x in values]
+
+
+def _summed_by_row(rows, logs, known, score):
+    sums = _by_row(rows, logs, known, score)
+    numbers, begins = np.unique(sums[0] >> _BUCKET_BITS, return_index=True)
+    ends = [*begins[1:], len(sums[0])]
+    packed = [pa.array([x[a:b].tobytes() for a, b in zip(begins, ends)], pa.binary()) for x in sums]
+    return pa.table([pa.array(numbers.astype(np.int64)), *packed], _names(_ANSWER))
+
+
+def _added(answers):
+    """The answers about some consecutive rows, added up."""
+    kinds = (np.int64, np.float64, np.float64, np.float64)
+    columns = [np.frombuffer(b"".join(answers[c].to_pylist()), kind) for c, kind in zip(_names(_ANSWER)[1:], kinds)]
+    rows, logs, known, score = _by_row(*columns)
+    return pa.table([pa.array(rows), pa.array(logs), pa.array(known.astype(np.int64)), pa.array(score)], _names(_SUMS))
 
 
 def _tail(asked, counted):
@@ -683,9 +701,7 @@ def scored(spark, docs, id_col="doc_id", text_col="text"):
     if max(token_filter.least, pair_filter.least) > 1:
         cells = filter_parts(spark, pairs, width, keys_of)
         answers = answers.unionByName(_asked(about_pairs, cells, _pair_told(smoothing), _ANSWER))
-    rare = answers.groupBy("row").agg(
-        F.sum("log_sum").alias("rare_sum"), F.sum("known").alias("rare_known"), F.sum("score").alias("rare_score")
-    )
+    rare = answers.groupBy("bucket").applyInArrow(_added, _SUMS)
     base = F.col("log_sum") + F.coalesce("rare_sum", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(np.log10(smoothing.divisor)))
     return out.where(F.col("kind").isNull()).join(rare, "row", "left").select(
         "doc_id",
