@@ -97,6 +97,26 @@ def test_line_breaks_at_borders_of_ranges(spark, tmp_path, size, encoding):
     assert ranges > 10 or size == 100_000
 
 
+@pytest.mark.parametrize("name", ["UTF-8", "ISO-8859-1"])
+def test_compressed_files_are_read_without_a_shuffle(spark, tmp_path, monkeypatch, name):
+    """Many small files in place of few that need dividing; texts come back as they were."""
+    monkeypatch.setattr(raw_csv, "RECORDS_A_FILE", 40)
+    draw = random.Random(5)
+    pieces = ["\n", "\n\n", '"', ",", "x", "é", " ", "word", '\n"', "a,b\n1,2,3"]
+    rows = [(str(i), "".join(draw.choices(pieces, k=draw.randint(0, 9))) or None, draw.choice([None, "Tent", "Ü"])) for i in range(300)]
+    given = spark.createDataFrame(rows, "`Order Id` string, Sales string, `Product Name` string").coalesce(2)
+    raw_csv.write_order_lines(given, str(tmp_path / "in"), name, "gzip")
+    files = list((tmp_path / "in").glob("*.csv.gz"))
+    assert len(files) >= 8 and not list((tmp_path / "in").glob("*.csv"))
+    found = raw_csv.read_order_lines(spark, str(tmp_path / "in"), name, multiline=True)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect()), key=lambda r: int(r[0])) == rows
+    if name != "UTF-8":
+        raw_csv.transcode(spark, str(tmp_path / "in"), str(tmp_path / "out"), name, True, "gzip")
+        again = raw_csv.read_order_lines(spark, str(tmp_path / "out"), multiline=True)
+        assert sorted(map(tuple, again.collect()), key=lambda r: int(r[0])) == rows
+
+
 def test_headers_are_compared_in_divided_files(spark, tmp_path):
     write(tmp_path / "a.csv", ["Order Id,Sales", '1,"2\n5"'])
     write(tmp_path / "b.csv", ["Sales,Order Id", "2.5,1"])
