@@ -199,6 +199,27 @@ def test_fact_roundtrip_keeps_types_and_rows(spark, make_fact, tmp_path):
     assert tables.read_fact(spark, str(tmp_path / "f")).count() == 1
 
 
+def test_texts_of_a_fact_come_back_whatever_they_hold(spark, make_fact, tmp_path):
+    odd = ["", None, "\x1f", "\x1b", "\x1bn", "\x1bs", "\x1be\x1f\x1b", "a\x1fb\x1f", "é,\n\"\\", " "]
+    lines = make_fact(*[{"market": a, "product_name": b, "payment_type": b} for a in odd for b in odd])
+    tables.write_fact(lines, str(tmp_path / "f"))
+    back = tables.read_fact(spark, str(tmp_path / "f"))
+    assert sorted(back.collect(), key=lambda r: r["order_id"]) == sorted(lines.collect(), key=lambda r: r["order_id"])
+
+
+def test_a_fact_is_shuffled_in_less_room_than_its_rows(spark, make_fact, tmp_path):
+    """Texts cross the shuffle as one column beside the numbers, and files are compressed by zstd."""
+    seen = []
+    plain = tables._joined
+    tables._joined = lambda texts: seen.append(texts) or plain(texts)
+    try:
+        tables.write_fact(make_fact({}, {}), str(tmp_path / "f"))
+    finally:
+        tables._joined = plain
+    assert len(seen) == 1 and {"market", "product_name", "payment_type"} <= set(seen[0])
+    assert all(".zstd." in f.name for f in (tmp_path / "f").glob("*/*.parquet"))
+
+
 DOCUMENT = {
     "tables": [
         {"name": "raw", "columns": []},
