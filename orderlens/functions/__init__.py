@@ -1 +1 @@
-"""Column expressions: timestamps, measures and bands."""
+"""Column expressions: timestamps, measures, bands and joined texts."""

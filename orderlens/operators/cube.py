@@ -62,8 +62,8 @@ class Cube:
 def cube(lines, groupings, with_orders=()):
     """The sums of every grouping, a tuple of columns each, from one scan of the lines.
 
-    Groupings in ``with_orders`` also count distinct orders: their rows are made per word
-    of 64 order numbers first, and the words then add up, like everything else. What is
+    Groupings in ``with_orders`` also count distinct orders: their rows are made per bucket
+    of 1,024 order numbers first, and the buckets then add up, like everything else. What is
     written has a row per group.
     """
     keys = list(dict.fromkeys(k for g in groupings for k in g))

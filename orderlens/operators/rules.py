@@ -59,8 +59,8 @@ def count_breaks(df, rules):
 def duplicate_surplus(df, column):
     """Rows beyond the first of each value; NULL is a value of its own.
 
-    Of whole numbers the words of 64 bits are counted (see ``distinct``), so the shuffle
-    has a row for 64 neighbours; of other types every value is counted.
+    Of whole numbers the bits of buckets are counted (see ``distinct``), so the shuffle
+    has a row for 1,024 neighbours; of other types every value is counted.
     """
     if isinstance(df.schema[column].dataType, T.IntegralType):
         found = with_distinct_count(df, [], column, "known", [F.count("*").alias("n"), F.count_if(F.col(f"`{column}`").isNull()).alias("missing")])

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.functions import measures as M
-from orderlens.operators.distinct import with_distinct_count
+from orderlens.operators.distinct import BUCKET, with_bucket, with_distinct_count
 from orderlens.plans import marts
 from orderlens.schema import CANCELED, EARLY, LATE, ON_TIME
 
@@ -130,6 +130,16 @@ def test_distinct_count_at_borders_of_words(spark):
     assert tuple(with_distinct_count(df, [], "v", "n", [F.count("*").alias("c")]).first()) == (15, 19)
 
 
+def test_a_bucket_holds_a_thousand_neighbours(spark):
+    """A row of the shuffle for each, beside sums that take more room than its words."""
+    ids = spark.range(-1024, 4096)
+    assert with_bucket(ids, "id").select(BUCKET).distinct().count() == 5
+    groups = ids.union(ids).withColumn("k", F.col("id") % 3)
+    found = with_distinct_count(groups, ["k"], "id", "n", [F.count("*").alias("c")]).orderBy("k").collect()
+    want = {k: sum(1 for v in range(-1024, 4096) if int(f"{'-' if v < 0 else ''}{abs(v) % 3}") == k) for k in (-2, -1, 0, 1, 2)}
+    assert {r["k"]: (r["n"], r["c"]) for r in found} == {k: (n, 2 * n) for k, n in want.items()}
+
+
 @pytest.mark.parametrize("name", marts.MARTS)
 def test_written_marts_equal_direct_ones(house, name):
     """Every value of the one-pass marts, and their order, against the mart from the lines."""

@@ -2,6 +2,7 @@ import csv
 import datetime as dt
 import io
 import random
+import re
 import json
 import subprocess
 import sys
@@ -11,14 +12,16 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from orderlens import schema as S
 from orderlens.contracts import packaged_contract
+from orderlens.functions import texts
 from orderlens.operators.staging import fact, stage
 from orderlens.plans.warehouse import Warehouse
 from orderlens.session import initial_partitions, workspace
-from orderlens.sources import contract, raw_csv, report, tables
+from orderlens.sources import contract, raw_csv, report, star, tables
 
 ROOT = str(Path(__file__).resolve().parents[1])
 HEADER = ["Order Id", "Customer Email", "Sales", "Product Name", "order date (DateOrders)", "Order Item Quantity"]
@@ -220,6 +223,55 @@ def test_a_fact_is_shuffled_in_less_room_than_its_rows(spark, make_fact, tmp_pat
     assert all(".zstd." in f.name for f in (tmp_path / "f").glob("*/*.parquet"))
 
 
+def test_joined_columns_come_back(spark):
+    odd = ["", None, "\x1f", "\x1b", "\x1bn", "\x1bs", "\x1be\x1f\x1b", "a\x1fb\x1f", "é", " "]
+    kinds = {"s": "string", "i": "int", "b": "boolean", "d": "decimal(6,2)", "t": "string"}
+    rows = [(a, i, b, d, a) for a in odd for i in (None, -(2**31), 7) for b in (None, True, False) for d in (None, Decimal("-0.05"), Decimal("9999.99"))]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} {k}" for n, k in kinds.items()))
+    one = df.select(texts.joined(kinds).alias("x")).withColumns(texts.parted("x", kinds)).drop("x")
+    assert one.dtypes == df.dtypes and sorted(map(repr, one.collect())) == sorted(map(repr, df.collect()))
+    # Joined apart and chained, one part of it not there.
+    chained = texts.chained(texts.joined({"s": "string"}), texts.absent(2), texts.joined({"t": "string"}))
+    back = df.select(chained.alias("x")).withColumns(texts.parted("x", dict.fromkeys("sabt", "string")))
+    assert sorted(map(repr, back.select("s", "a", "b", "t").collect())) == sorted(repr(Row(s=r[0], a=None, b=None, t=r[0])) for r in rows)
+    assert tuple(df.limit(1).select(F.lit(None).cast("string").alias("x")).withColumns(texts.parted("x", kinds)).drop("x").first()) == (None,) * 5
+
+
+def test_whole_lines_equal_those_of_single_columns(spark, tmp_path):
+    """Lines with odd texts, and without part, supplier, order, customer or nation; keys come twice and are null."""
+    odd = ["", None, "\x1f", "\x1bn", "a\x1fb"]
+    put = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    put("region", [(0, "\x1f"), (1, None)], "r_regionkey long, r_name string")
+    put("nation", [(0, "é", 0), (1, None, 1), (2, "\x1bs", 7)], "n_nationkey long, n_name string, n_regionkey long")
+    put("customer", [(i, i % 4, odd[i % 5]) for i in range(6)], "c_custkey long, c_nationkey long, c_mktsegment string")
+    put("supplier", [(0, 0), (1, 1), (2, None), (2, 2)], "s_suppkey long, s_nationkey long")
+    put("part", [(i % 4, odd[i], odd[-i], odd[i - 1], [1.25, None, 3.0][i % 3]) for i in range(5)], "p_partkey long, p_type string, p_brand string, p_name string, p_retailprice double")
+    day = dt.datetime(1996, 1, 2)
+    orders = [(i or None, i % 8, odd[i % 5], day if i % 3 else None, ["1-URGENT", None, "2-HIGH"][i % 3]) for i in range(7)] + [(3, 1, "F", day, "x")]
+    put("orders", orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string")
+    lines = [
+        (i % 9 or None, i % 6 or None, i % 5, [1, None, 7][i % 3], [5.0, None][i % 2], [100.25, None, -3.5][i % 3], [0.07, -0.1, None][i % 3], odd[i % 5], ["F", None][i % 2])
+        for i in range(90)
+    ]
+    put("lineitem", lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string")
+    one, single = (star.order_lines(spark, str(tmp_path), whole=whole) for whole in (True, False))
+    assert one.dtypes == single.dtypes and one.count() > 90
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, single.collect()))
+
+
+def test_whole_lines_are_shuffled_in_less_room(spark, folder):
+    """Beside the key a line has two amounts and one text when it is shuffled by order."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = star.order_lines(spark, folder, whole=True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    below = re.search(r"Exchange hashpartitioning\(l_orderkey.*\n[^\n]*?Project \[(.*)\]", plan).group(1)
+    assert re.match(r"l_orderkey#\d+L, sales#\d+, .* AS unit_cost#\d+, concat_ws\(.*\) AS _line_texts#\d+$", below), below
+    assert not re.search("quantity|l_suppkey|p_name|l_returnflag", below)
+
+
 DOCUMENT = {
     "tables": [
         {"name": "raw", "columns": []},
