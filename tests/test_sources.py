@@ -272,6 +272,15 @@ def test_whole_lines_are_shuffled_in_less_room(spark, folder):
     assert not re.search("quantity|l_suppkey|p_name|l_returnflag", below)
 
 
+def test_fast_gzip_holds_the_same_records(spark, tmp_path):
+    lines = spark.range(20_000).select(F.col("id").cast("string").alias("Order Id"), F.sha2(F.col("id").cast("string"), 256).alias("Sales"))
+    for name, fast in (("fast", True), ("small", False)):
+        raw_csv.write_order_lines(lines.coalesce(1), str(tmp_path / name), compression="gzip", fast=fast)
+    size = lambda name: sum(f.stat().st_size for f in (tmp_path / name).glob("*.gz"))
+    assert size("fast") > size("small")
+    assert sorted(raw_csv.read_order_lines(spark, str(tmp_path / "fast"), multiline=True).collect()) == sorted(lines.collect())
+
+
 DOCUMENT = {
     "tables": [
         {"name": "raw", "columns": []},

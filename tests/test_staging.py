@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -7,8 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens import schema as S
+from orderlens.functions import texts
 from orderlens.functions.timestamps import month_label, month_start, parse_minutes
-from orderlens.operators.staging import fact, stage
+from orderlens.operators.staging import fact, stage, with_double_amounts
 from orderlens.sources import tables
 
 NINE = dt.datetime(2015, 1, 5, 9, 7)
@@ -174,3 +176,41 @@ def test_long_decimals_survive(spark):
     raw = raw_frame(spark, {"Sales": Decimal("314.64001460"), "Order Item Discount Rate": Decimal("0.050000001")})
     row = stage(raw).first()
     assert row["sales"] == Decimal("314.6400146") and row["discount_rate"] == Decimal("0.050000001")
+
+
+@pytest.mark.parametrize("kind", ["int", "long"])
+def test_whole_numbers_however_they_are_written(spark, kind):
+    name = {"int": "Order Item Quantity", "long": "Order Id"}[kind]
+    known = {"3": 3, "3.0": 3, "2.5": 2, "3.5": 4, "-1.5": -2, "1e3": 1000, " 4 ": 4, "+5": 5, "7.": 7, "\x7f8": 8, None: None}
+    if kind == "long":
+        known |= {"9007199254740993": 2**53 + 1, "-9223372036854775808": -(2**63)}
+    column = {"int": "quantity", "long": "order_id"}[kind]
+    for text, want in known.items():
+        assert stage(text_frame(spark, **{name: text})).first()[column] == want, text
+
+
+def code_size(df):
+    """Bytes of the longest method of a plan; the JVM leaves one of over 8,000 uncompiled."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    return max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", df._jdf.queryExecution().explainString(mode))))
+
+
+def test_staging_of_a_file_is_compiled(spark, tmp_path):
+    text_frame(spark).write.parquet(str(tmp_path / "raw"))
+    staged = stage(spark.read.parquet(str(tmp_path / "raw")))
+    assert 0 < code_size(with_double_amounts(staged)) < 8000
+    staged.write.parquet(str(tmp_path / "staged"))
+    narrowed = fact(spark.read.parquet(str(tmp_path / "staged")))
+    kinds = {f.name: f.dataType.simpleString() for f in narrowed.schema if isinstance(f.dataType, T.StringType)}
+    packed = narrowed.select(*[c for c in narrowed.columns if c not in kinds], texts.joined(kinds).alias("t"))
+    assert code_size(packed) < 8000
+
+
+def test_no_value_of_a_file_is_cast_in_vain(spark):
+    """A text with a point fails as a whole number, at the price of an exception a line."""
+    staged = stage(text_frame(spark)).select("days_real", "order_id")
+    plan = staged._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"coalesce\(try_cast\(rint\(try_cast\(Days for shipping \(real\)#\d+ as double\)\)", plan, re.I) or re.search(
+        r"coalesce\(cast\(rint\(cast\(Days for shipping \(real\)#\d+ as double\)\)", plan, re.I
+    ), plan
+    assert "Contains(Order Id" in plan, plan
